@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from eventcraft.session import ensure_checkpoint_dir
+
 HASH_HEX_DIGITS = 4  # 16**4 = 65,536 hash buckets per group
 
 
@@ -94,34 +96,39 @@ def _bucket_splits(df: DataFrame, key: str, n_buckets: int, rel_err: float) -> l
 
 
 def running_totals(df: DataFrame, key: str, value_cols: list[str], unique: bool = False,
-                   n_buckets: int | None = None, rel_err: float = 1e-3) -> DataFrame:
-    """Per distinct numeric ``key``: sums of ``value_cols`` over keys < and <= it.
-
-    Output columns: key, each value col (sum at that key), ``{c}_lt`` and
-    ``{c}_le``. Rows are first aggregated by key (unless ``unique``), so a hot
-    key is one row. Buckets come from ``approxQuantile`` (bounded list on
-    the driver); the bucket offset table has at most ``n_buckets`` rows and
-    is broadcast on that proven bound.
+                   group_cols: list[str] | None = None, n_buckets: int | None = None,
+                   rel_err: float = 1e-3) -> DataFrame:
+    """Per distinct numeric ``key`` (within ``group_cols``): sums of ``value_cols``
+    over keys < and <= it.
+
+    Output columns: groups, key, each value col (sum at that key), ``{c}_lt``
+    and ``{c}_le``. Rows are first aggregated by (groups, key) unless
+    ``unique``, so a hot key is one row. Bucket edges come from
+    ``approxQuantile`` (a bounded list on the driver); the offset table has
+    #groups x #buckets rows and is broadcast only when there are no groups
+    (its size is then at most ``n_buckets``).
     """
+    g = list(group_cols or [])
     spark = df.sparkSession
     if n_buckets is None:
         sp = int(spark.conf.get("spark.sql.shuffle.partitions"))
         n_buckets = max(16, min(4096, 4 * sp))
-    base = df.select(key, *value_cols)
+    base = df.select(*g, key, *value_cols)
     if not unique:
-        base = base.groupBy(key).agg(*[F.sum(c).alias(c) for c in value_cols])
+        base = base.groupBy(*g, key).agg(*[F.sum(c).alias(c) for c in value_cols])
     base = base.where(F.col(key).isNotNull())
     splits = _bucket_splits(base, key, n_buckets, rel_err)
     bz = Bucketizer(splits=splits, inputCol="__kd", outputCol="__bkt", handleInvalid="keep")
     d = bz.transform(base.withColumn("__kd", F.col(key).cast("double"))).drop("__kd")
-    per_b = d.groupBy("__bkt").agg(*[F.sum(c).alias(f"__bt_{c}") for c in value_cols])
-    w_prev = Window.orderBy("__bkt").rowsBetween(Window.unboundedPreceding, -1)  # <= n_buckets rows
-    offs = per_b.select("__bkt", *[F.coalesce(F.sum(f"__bt_{c}").over(w_prev), F.lit(0))
-                                   .alias(f"__off_{c}") for c in value_cols])
-    w_in = (Window.partitionBy("__bkt").orderBy(key)
+    per_b = d.groupBy(*g, "__bkt").agg(*[F.sum(c).alias(f"__bt_{c}") for c in value_cols])
+    w_prev = (Window.partitionBy(*[F.col(c) for c in g]).orderBy("__bkt")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offs = per_b.select(*g, "__bkt", *[F.coalesce(F.sum(f"__bt_{c}").over(w_prev), F.lit(0))
+                                       .alias(f"__off_{c}") for c in value_cols])
+    w_in = (Window.partitionBy(*[F.col(c) for c in g], F.col("__bkt")).orderBy(key)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     d = d.withColumns({f"__in_{c}": F.sum(c).over(w_in) for c in value_cols})
-    d = d.join(F.broadcast(offs), "__bkt")
+    d = _null_safe_join(d, offs, [*g, "__bkt"], broadcast_right=not g)
     cols = {}
     for c in value_cols:
         cols[f"{c}_le"] = F.col(f"__off_{c}") + F.col(f"__in_{c}")
@@ -149,6 +156,7 @@ def dense_codes(values: DataFrame, group_col: str, value_col: str,
     code. The sorted table is checkpointed (reliable) so both passes see the
     same partitioning.
     """
+    ensure_checkpoint_dir(values.sparkSession)
     s = (values.select(group_col, value_col).orderBy(group_col, value_col)
          .withColumn("__mid", F.monotonically_increasing_id()))
     s = s.checkpoint(eager=True)

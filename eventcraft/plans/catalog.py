@@ -54,3 +54,476 @@ def q_calendar(spark, sf):
     df = add_calendar(event_log(spark, sf))
     return df.select("row_id", "hour", "day_of_week", "day_of_month", "month", "year",
                      "time_period", "is_weekend")
+
+
+# --- shared inputs ------------------------------------------------------------------------
+
+def _el(spark, sf, udmap="props"):
+    return event_log(spark, sf, udmap=udmap)
+
+
+def _split(spark, sf):
+    el = _el(spark, sf)
+    return el.where(F.col("split") == "train"), el.where(F.col("split") == "test")
+
+
+def _lineitem_scores(spark, sf):
+    """Metric fixture with many tied scores: label l_returnflag = 'R', score l_discount."""
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    return li.select((F.col("l_returnflag") == "R").cast("int").alias("y"),
+                     F.col("l_discount").alias("score"))
+
+
+def _orders_scores(spark, sf):
+    """Metric fixture with nearly unique scores: label o_orderstatus = 'F', score o_totalprice."""
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    return o.select(F.col("o_orderkey").alias("row_id"),
+                    (F.col("o_orderstatus") == "F").cast("int").alias("y"),
+                    F.col("o_totalprice").alias("score"))
+
+
+def _r6(c, name):
+    return F.round(F.col(c).cast("double") if isinstance(c, str) else c.cast("double"), 6).alias(name)
+
+
+# --- scans, sinks, slicing ----------------------------------------------------------------
+
+@query("typed_scan")
+def q_typed_scan(spark, sf):
+    """S5 then S1: write the event log (JSON cells with quotes and commas) as header CSV
+    to the shared scratch folder and read it back with the fixed schema."""
+    from eventcraft.sources.csv_io import read_events_csv, scratch_path, write_csv
+    from eventcraft.sources.schema import event_schema
+    el = _el(spark, sf, "bad_rows")
+    path = scratch_path(spark, "typed-scan")
+    write_csv(el.select("row_id", *event_schema().fieldNames()), path)
+    back = read_events_csv(spark, path, with_row_id=True)
+    return back.select("row_id", "did", "mid", "eid", "device_brand", "appver", "channel",
+                       "common_ts", "udmap", "is_new_did")
+
+
+@query("null_counts")
+def q_null_counts(spark, sf):
+    """M1: null count of every event-log column (one aggregate pass)."""
+    from eventcraft.operators.missing import null_counts
+    return null_counts(_el(spark, sf, "bad_rows"))
+
+
+@query("label_counts")
+def q_label_counts(spark, sf):
+    """Label value counts, most frequent first."""
+    return (_el(spark, sf).groupBy("is_new_did").agg(F.count(F.lit(1)).alias("n"))
+            .orderBy(F.col("n").desc()))
+
+
+@query("label_rate")
+def q_label_rate(spark, sf):
+    """Share of positive labels."""
+    return _el(spark, sf).agg(_r6(F.avg("is_new_did"), "label_rate"))
+
+
+@query("first_rows")
+def q_first_rows(spark, sf):
+    """S3: the first 2,000 rows in input order (the small-data mode; the limit is the feature)."""
+    return (_el(spark, sf).orderBy("row_id").limit(2000)
+            .select("row_id", "did", "eid", "common_ts"))
+
+
+@query("row_range_split")
+def q_row_range_split(spark, sf):
+    """Ten contiguous row ranges of ceil(n/10) rows, named train_01 ... train_10."""
+    from eventcraft.sources.slicing import assign_row_ranges
+    return assign_row_ranges(_el(spark, sf), 10, "train").select("row_id", "part_name")
+
+
+# --- JSON ---------------------------------------------------------------------------------
+
+@query("json_keys_text")
+def q_json_keys_text(spark, sf):
+    """the object's keys sorted and joined by spaces ('' when none)."""
+    df = _el(spark, sf, "bad_rows")
+    return df.select("row_id", jsonmap.sorted_keys_text(F.col("udmap")).alias("udmap_keys_str"))
+
+
+@query("json_flatten")
+def q_json_flatten(spark, sf):
+    """chosen keys of the JSON object become columns."""
+    return jsonmap.flatten(_el(spark, sf, "bad_rows"), "udmap", prefix="udmap_").select(
+        "row_id", "udmap_botId", "udmap_pluginId")
+
+
+@query("json_default")
+def q_json_default(spark, sf):
+    """key values as text with unknown_* defaults for missing or unparsable cells."""
+    df = jsonmap.extract_keys_default(_el(spark, sf, "bad_rows"), "udmap")
+    return df.select("row_id", "botId", "pluginId")
+
+
+# --- device aggregates --------------------------------------------------------------------
+
+@query("device_stats")
+def q_device_stats(spark, sf):
+    """A1: per device count/distinct of mid and eid, distinct brands, min/max ts, span."""
+    from eventcraft.operators.device import device_stats
+    d = device_stats(_el(spark, sf))
+    return d.withColumn("ts_span", F.round("ts_span", 6))
+
+
+@query("device_stats_union")
+def q_device_stats_union(spark, sf):
+    """A2 + U1: device stats over train (label dropped) union all test."""
+    from eventcraft.operators.device import device_stats_union
+    tr, te = _split(spark, sf)
+    return device_stats_union(tr, te).withColumn("ts_span", F.round("ts_span", 6))
+
+
+@query("device_first_last")
+def q_device_first_last(spark, sf):
+    """A3: time-ordered first/last timestamp and first eid per device."""
+    from eventcraft.operators.device import device_first_last
+    return device_first_last(_el(spark, sf)).withColumn("ts_span", F.round("ts_span", 6))
+
+
+@query("user_stats")
+def q_user_stats(spark, sf):
+    """A4 + P6: size, distinct mid/eid/brand, avg/max/min of appver read as a number."""
+    from eventcraft.operators.device import user_stats
+    d = user_stats(_el(spark, sf))
+    return d.withColumn("user_avg_appver", F.round("user_avg_appver", 6))
+
+
+@query("user_stats_span")
+def q_user_stats_span(spark, sf):
+    """A5: user stats plus active span in seconds."""
+    from eventcraft.operators.device import user_stats
+    d = user_stats(_el(spark, sf), with_span=True)
+    return d.withColumns({"user_avg_appver": F.round("user_avg_appver", 6),
+                          "ts_span": F.round("ts_span", 6)})
+
+
+@query("device_profile")
+def q_device_profile(spark, sf):
+    """A6 + A7: device profile with span hours, events per hour and modal mid/eid."""
+    from eventcraft.operators.device import device_profile
+    d = device_profile(_el(spark, sf))
+    return d.withColumns({"ts_span_hours": F.round("ts_span_hours", 6),
+                          "avg_events_per_hour": F.round("avg_events_per_hour", 6)})
+
+
+@query("device_mode")
+def q_device_mode(spark, sf):
+    """Most frequent channel per device, smallest on ties, 0 when none."""
+    from eventcraft.operators.device import group_mode
+    return group_mode(_el(spark, sf), "did", "channel", default=0)
+
+
+# --- ordering features --------------------------------------------------------------------
+
+@query("event_rank")
+def q_event_rank(spark, sf):
+    """1-based event position in its device by (ts, row_id)."""
+    from eventcraft.operators.sequence import event_rank
+    return event_rank(_el(spark, sf)).select("row_id", "did", "event_rank")
+
+
+@query("first_event")
+def q_first_event(spark, sf):
+    """First timestamp and first eid of the device on every row."""
+    from eventcraft.operators.sequence import add_first_and_elapsed
+    return add_first_and_elapsed(_el(spark, sf)).select("row_id", "common_ts_min", "first_eid")
+
+
+@query("since_first")
+def q_since_first(spark, sf):
+    """Seconds since the device's first event."""
+    from eventcraft.operators.sequence import add_first_and_elapsed
+    d = add_first_and_elapsed(_el(spark, sf))
+    return d.select("row_id", F.round("time_since_first", 6).alias("time_since_first"))
+
+
+@query("two_key_join")
+def q_two_key_join(spark, sf):
+    """J2 + W1-W3: rank and elapsed features computed on train union test, joined back
+    onto the train rows (one feature row per event, keyed by row_id)."""
+    from eventcraft.plans.features import sequential_features
+    from eventcraft.operators.device import join_on_time, union_events
+    tr, te = _split(spark, sf)
+    full = union_events(tr, te)
+    feats = sequential_features(full).select("row_id", "did", "common_ts", "event_rank",
+                                             "time_since_first")
+    out = join_on_time(tr.select("row_id", "did", "common_ts"), feats)
+    return out.select("row_id", "event_rank", F.round("time_since_first", 6).alias(
+        "time_since_first"))
+
+
+@query("trailing_sequence")
+def q_trailing_sequence(spark, sf):
+    """W4 + F18: last 50 eids of the device up to this event, left-padded with '0'."""
+    from eventcraft.operators.sequence import event_rank, sequence_text, trailing_sequence
+    r = event_rank(_el(spark, sf))
+    s = trailing_sequence(r, "eid", pad="0")
+    return s.select("row_id", sequence_text("seq").alias("seq"))
+
+
+@query("encoded_sequence")
+def q_encoded_sequence(spark, sf):
+    """W5 + E2: eid encoded (vocabulary fitted on train, <UNK> for unseen, codes from 1,
+    0 reserved for padding), then the trailing sequence of codes."""
+    from eventcraft.operators.encode import UNK, encode, fit_vocab
+    from eventcraft.operators.sequence import event_rank, sequence_text, trailing_sequence
+    el = _el(spark, sf)
+    vocab = fit_vocab(el.where(F.col("split") == "train"), ["eid"], marker=UNK, first_code=1)
+    enc = encode(el, vocab, ["eid"], marker=UNK)
+    s = trailing_sequence(event_rank(enc), "eid_encoded", pad=0)
+    return s.select("row_id", sequence_text("seq").alias("seq"))
+
+
+# --- missing values -----------------------------------------------------------------------
+
+def _appver_num(df):
+    from eventcraft.functions.mathfn import to_number
+    return df.withColumn("appver_num", to_number(F.col("appver")))
+
+
+@query("fill_median")
+def q_fill_median(spark, sf):
+    """M2: exact median fill of appver read as a number (nulls from bad text)."""
+    from eventcraft.operators.missing import fill_median
+    d = fill_median(_appver_num(_el(spark, sf)), ["appver_num"])
+    return d.select("row_id", F.round("appver_num", 6).alias("appver_num"))
+
+
+@query("fill_mode")
+def q_fill_mode(spark, sf):
+    """M3: mode fill (smallest on ties) of id columns with nulls."""
+    from eventcraft.operators.missing import fill_mode
+    d = fill_mode(_el(spark, sf), ["device_brand", "appver"])
+    return d.select("row_id", "device_brand", "appver")
+
+
+@query("fill_mean")
+def q_fill_mean(spark, sf):
+    """M5: mean fitted on the train split, applied to every row."""
+    from eventcraft.operators.missing import fill_mean, fit_means
+    el = _appver_num(_el(spark, sf))
+    means = fit_means(el.where(F.col("split") == "train"), ["appver_num"])
+    d = fill_mean(el, ["appver_num"], means)
+    return d.select("row_id", F.round("appver_num", 6).alias("appver_num"))
+
+
+@query("fill_constant")
+def q_fill_constant(spark, sf):
+    """M4: constant fill: -1 for a numeric id, a text marker for a text id."""
+    from eventcraft.operators.missing import fill_constant
+    d = fill_constant(_el(spark, sf), {"device_brand": -1, "appver": "unknown_appver"})
+    return d.select("row_id", "device_brand", "appver")
+
+
+# --- encoding and scaling -----------------------------------------------------------------
+
+VOCAB_COLS = ["eid", "appver", "channel", "did"]
+
+
+@query("vocab")
+def q_vocab(spark, sf):
+    """Sorted distinct values + ___UNSEEN___ per column, code = position (train split)."""
+    from eventcraft.operators.encode import fit_vocab
+    tr, _ = _split(spark, sf)
+    return fit_vocab(tr, VOCAB_COLS)
+
+
+@query("encode_unseen")
+def q_encode_unseen(spark, sf):
+    """E1 transform + P9/J4: test rows encoded with the train vocabulary; unseen -> marker."""
+    from eventcraft.operators.encode import encode, fit_vocab
+    tr, te = _split(spark, sf)
+    v = fit_vocab(tr, VOCAB_COLS)
+    return encode(te, v, VOCAB_COLS).select("row_id", *[f"{c}_encoded" for c in VOCAB_COLS])
+
+
+@query("code_width")
+def q_code_width(spark, sf):
+    """Vocabulary size and embedding width per column."""
+    from eventcraft.operators.encode import fit_vocab, vocab_sizes
+    tr, _ = _split(spark, sf)
+    return vocab_sizes(fit_vocab(tr, VOCAB_COLS)).withColumnRenamed("column", "column_name")
+
+
+@query("standard_scale")
+def q_standard_scale(spark, sf):
+    """(x - mean) / population std with train statistics, zero std -> 1."""
+    from eventcraft.operators.encode import fit_scaler, scale
+    tr, te = _split(spark, sf)
+    cols = ["mid", "channel", "common_ts", "os_type"]
+    st = fit_scaler(tr, cols)
+    d = scale(_el(spark, sf), st)
+    return d.select("row_id", *[F.round(c, 6).alias(c) for c in cols])
+
+
+@query("bag_vocab")
+def q_bag_vocab(spark, sf):
+    """E4 fit: top-50 terms of the sorted-key text, indexed alphabetically."""
+    from eventcraft.operators.encode import fit_bag
+    d = _el(spark, sf, "bad_rows").select(jsonmap.sorted_keys_text(F.col("udmap")).alias("k"))
+    return fit_bag(d, "k")
+
+
+@query("bag_of_keys")
+def q_bag_of_keys(spark, sf):
+    """E4 transform: per row, counts of each vocabulary term (non-zero, long form)."""
+    from eventcraft.operators.encode import bag_long, fit_bag
+    d = _el(spark, sf, "bad_rows").select(
+        "row_id", jsonmap.sorted_keys_text(F.col("udmap")).alias("k"))
+    return bag_long(d, "k", fit_bag(d, "k"))
+
+
+# --- splits -------------------------------------------------------------------------------
+
+@query("stratified_folds")
+def q_stratified_folds(spark, sf):
+    """5 stratified folds by per-label rank of md5('42|row_id')."""
+    from eventcraft.operators.split import stratified_folds
+    return stratified_folds(_el(spark, sf), "is_new_did", 5, 42).select(
+        "row_id", "is_new_did", "fold")
+
+
+@query("holdout")
+def q_holdout(spark, sf):
+    """R2: stratified 80/20 holdout, seed 42."""
+    from eventcraft.operators.split import holdout
+    return holdout(_el(spark, sf), "is_new_did", 0.2, 42).select("row_id", "is_valid")
+
+
+@query("undersample")
+def q_undersample(spark, sf):
+    """Majority undersampled to 2 rows per minority row, on the train split."""
+    from eventcraft.operators.split import undersample
+    tr, _ = _split(spark, sf)
+    return undersample(tr, "is_new_did", 0.5, 42).select("row_id", "is_new_did")
+
+
+@query("class_weight")
+def q_class_weight(spark, sf):
+    """A11 + R4: class counts and pos_weight = neg / pos."""
+    from eventcraft.operators.split import class_counts
+    return class_counts(_el(spark, sf), "is_new_did").withColumn(
+        "pos_weight", F.round("pos_weight", 6))
+
+
+# --- metrics on fixed scores --------------------------------------------------------------
+
+@query("auc")
+def q_auc(spark, sf):
+    """V1: exact AUC with many ties (lineitem: returnflag R vs discount)."""
+    from eventcraft.operators.evaluate import auc
+    return auc(_lineitem_scores(spark, sf), "y", "score").withColumn("auc", F.round("auc", 6))
+
+
+@query("auc_few_ties")
+def q_auc_few_ties(spark, sf):
+    """V1: exact AUC with nearly unique scores (orders: status F vs total price)."""
+    from eventcraft.operators.evaluate import auc
+    return auc(_orders_scores(spark, sf), "y", "score").withColumn("auc", F.round("auc", 6))
+
+
+@query("pr_curve")
+def q_pr_curve(spark, sf):
+    """V2: precision/recall per distinct score (score >= t)."""
+    from eventcraft.operators.evaluate import pr_curve
+    c = pr_curve(_lineitem_scores(spark, sf), "y", "score")
+    return c.select(F.round("threshold", 6).alias("threshold"), "tp", "fp",
+                    F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
+
+
+@query("best_f1")
+def q_best_f1(spark, sf):
+    """V3: best guarded-F1 threshold, first maximum (nearly unique scores)."""
+    from eventcraft.operators.evaluate import best_f1
+    b = best_f1(_orders_scores(spark, sf), "y", "score")
+    return b.select(F.round("threshold", 6).alias("threshold"), F.round("f1", 6).alias("f1"))
+
+
+@query("best_f1_strict")
+def q_best_f1_strict(spark, sf):
+    """V4: best unguarded F1, p + r > 0 only, strict improvement (many ties)."""
+    from eventcraft.operators.evaluate import best_f1_strict
+    b = best_f1_strict(_lineitem_scores(spark, sf), "y", "score")
+    return b.select(F.round("threshold", 6).alias("threshold"), F.round("f1", 6).alias("f1"))
+
+
+@query("accuracy")
+def q_accuracy(spark, sf):
+    """V5 + P7: accuracy of score >= 0.05."""
+    from eventcraft.functions.mathfn import label_at
+    from eventcraft.operators.evaluate import accuracy
+    d = _lineitem_scores(spark, sf).withColumn("pred", label_at(F.col("score"), 0.05))
+    return accuracy(d, "y", "pred").withColumn("accuracy", F.round("accuracy", 6))
+
+
+@query("f1_at")
+def q_f1_at(spark, sf):
+    """V6 + P8: confusion counts and F1 of score > 0.05."""
+    from eventcraft.operators.evaluate import f1_at
+    return f1_at(_lineitem_scores(spark, sf), "y", "score", 0.05, inclusive=False).withColumn(
+        "f1", F.round("f1", 6))
+
+
+@query("report")
+def q_report(spark, sf):
+    """V7: classification report of score >= 0.05."""
+    from eventcraft.functions.mathfn import label_at
+    from eventcraft.operators.evaluate import classification_report
+    d = _lineitem_scores(spark, sf).withColumn("pred", label_at(F.col("score"), 0.05))
+    r = classification_report(d, "y", "pred")
+    return r.select("class_name", *[F.round(c, 6).alias(c) for c in ("precision", "recall",
+                                                                     "f1_score")], "support")
+
+
+@query("fold_thresholds")
+def q_fold_thresholds(spark, sf):
+    """V8 + R1: best-F1 threshold per stratified fold, plus OOF and Average rows."""
+    from eventcraft.operators.evaluate import fold_thresholds
+    from eventcraft.operators.split import stratified_folds
+    d = stratified_folds(_orders_scores(spark, sf), "y", 5, 42)
+    t = fold_thresholds(d, "y", "score")
+    return t.select("fold", F.round("f1_score", 6).alias("f1_score"),
+                    F.round("threshold", 6).alias("threshold"))
+
+
+@query("log_loss")
+def q_log_loss(spark, sf):
+    """V9: mean cross-entropy of discount read as a probability (clamped)."""
+    from eventcraft.operators.evaluate import log_loss
+    return log_loss(_lineitem_scores(spark, sf), "y", prob="score").withColumn(
+        "log_loss", F.round("log_loss", 6))
+
+
+@query("two_labelings")
+def q_two_labelings(spark, sf):
+    """Positive rate under the OOF threshold and under the mean fold threshold."""
+    from eventcraft.operators.evaluate import two_labelings
+    from eventcraft.operators.split import stratified_folds
+    d = stratified_folds(_orders_scores(spark, sf), "y", 5, 42)
+    t = two_labelings(d, "y", "score")
+    return t.select(*[F.round(c, 6).alias(c) for c in t.columns])
+
+
+@query("mean_fold_metric")
+def q_mean_fold_metric(spark, sf):
+    """A14 + V1: AUC per stratified fold and their mean."""
+    from eventcraft.operators.evaluate import auc
+    from eventcraft.operators.split import stratified_folds
+    d = stratified_folds(_orders_scores(spark, sf), "y", 5, 42)
+    per = auc(d, "y", "score", ["fold"])
+    return per.agg(F.round(F.avg("auc"), 6).alias("mean_auc"),
+                   F.count(F.lit(1)).alias("n_folds"))
+
+
+@query("prediction_summary")
+def q_prediction_summary(spark, sf):
+    """A10: mean and population std of scores, share labelled positive at 0.05."""
+    from eventcraft.functions.mathfn import label_at
+    d = _lineitem_scores(spark, sf)
+    return d.agg(F.round(F.avg("score"), 6).alias("mean_score"),
+                 F.round(F.stddev_pop("score"), 6).alias("std_score"),
+                 F.round(F.avg(label_at(F.col("score"), 0.05)), 6).alias("positive_rate"))

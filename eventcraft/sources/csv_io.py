@@ -25,15 +25,15 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 
 def read_events_csv(spark: SparkSession, path: str, with_label: bool = True,
-                    extra: list[T.StructField] | None = None) -> DataFrame:
+                    with_row_id: bool = False) -> DataFrame:
     """Read an event file with the fixed event schema.
 
     Train and scoring files share one schema (the scoring file has no
     label), which removes the type drift an inferring reader would give.
     """
     st = event_schema(with_label)
-    for f in extra or []:
-        st = st.add(f)
+    if with_row_id:  # files written by this library carry row_id first
+        st = T.StructType([T.StructField("row_id", T.LongType())] + st.fields)
     return read_csv_typed(spark, path, st)
 
 
