@@ -527,3 +527,201 @@ def q_prediction_summary(spark, sf):
     return d.agg(F.round(F.avg("score"), 6).alias("mean_score"),
                  F.round(F.stddev_pop("score"), 6).alias("std_score"),
                  F.round(F.avg(label_at(F.col("score"), 0.05)), 6).alias("positive_rate"))
+
+
+# --- reports on importance / registry stand-ins -------------------------------------------
+
+def _importance_standin(spark, sf):
+    """Rows shaped like a per-fold importance table, read from lineitem."""
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    feat = F.concat(F.lit("part_"), F.col("l_partkey").cast("string"),
+                    F.when(F.col("l_returnflag") == "R", F.lit("_encoded")).otherwise(F.lit("")))
+    return li.select(feat.alias("feature"), F.col("l_extendedprice").alias("importance"),
+                     F.col("l_linenumber").alias("fold"))
+
+
+@query("mean_importance")
+def q_mean_importance(spark, sf):
+    """Mean importance per feature."""
+    from eventcraft.operators.reports import mean_importance
+    m = mean_importance(_importance_standin(spark, sf))
+    return m.withColumn("importance_mean", F.round("importance_mean", 6))
+
+
+@query("top_features")
+def q_top_features(spark, sf):
+    """K2: top 20 features by mean importance (the limit is the report)."""
+    from eventcraft.operators.reports import top_features
+    t = top_features(_importance_standin(spark, sf), 20)
+    return t.withColumn("importance_mean", F.round("importance_mean", 6))
+
+
+@query("wide_importance")
+def q_wide_importance(spark, sf):
+    """One column per fold plus the mean across folds."""
+    from eventcraft.operators.reports import wide_importance
+    w = wide_importance(_importance_standin(spark, sf))
+    return w.select("feature", *[F.round(c, 6).alias(c) for c in w.columns if c != "feature"])
+
+
+@query("importance_cut")
+def q_importance_cut(spark, sf):
+    """K3 + F20: features whose importance share exceeds 0.0003, by kind."""
+    from eventcraft.operators.reports import importance_cut
+    c = importance_cut(_importance_standin(spark, sf), 0.0003)
+    return c.withColumn("share", F.round("share", 6))
+
+
+@query("distinct_values")
+def q_distinct_values(spark, sf):
+    """Distinct event ids."""
+    from eventcraft.operators.reports import distinct_values
+    return distinct_values(_el(spark, sf), "eid")
+
+
+@query("shape_report")
+def q_shape_report(spark, sf):
+    """Row count, column count and per-column type of the event log."""
+    from eventcraft.operators.reports import shape_report
+    return shape_report(_el(spark, sf))
+
+
+def _registry_standin(spark, sf):
+    """Rows shaped like a model registry (file name with its F1, save time), from orders."""
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    path = F.concat(F.lit("best_model_f1_0."),
+                    F.lpad((F.col("o_orderkey") % 10000).cast("string"), 4, "0"),
+                    F.lit("_epoch_"), F.col("o_custkey").cast("string"), F.lit(".pth"))
+    return o.select(path.alias("path"),
+                    F.unix_micros(F.col("o_orderdate").cast("timestamp")).alias("saved_at"))
+
+
+@query("registry_best")
+def q_registry_best(spark, sf):
+    """S9 + F19: the saved model whose name carries the best F1."""
+    from eventcraft.plans.registry import registry_best
+    return registry_best(_registry_standin(spark, sf)).withColumn("f1", F.round("f1", 6))
+
+
+@query("registry_newest")
+def q_registry_newest(spark, sf):
+    """The most recently saved model."""
+    from eventcraft.plans.registry import registry_newest
+    return registry_newest(_registry_standin(spark, sf))
+
+
+@query("trials_left")
+def q_trials_left(spark, sf):
+    """Planned ids (orders) with no finished record (a returned line) - a left anti join."""
+    from eventcraft.plans.registry import trials_left
+    planned = spark.read.parquet(f"{sf}/orders.parquet").select(
+        F.col("o_orderkey").alias("trial_id"))
+    done = (spark.read.parquet(f"{sf}/lineitem.parquet").where(F.col("l_returnflag") == "R")
+            .select(F.col("l_orderkey").alias("trial_id")))
+    return trials_left(planned, done)
+
+
+# --- model fits (rows-only checks: Spark ML scores are not SQL) ---------------------------
+
+GBT_DEMO = {"maxIter": 30}
+
+
+def _model_frames(spark, sf):
+    d = features.tree_model_frame(_el(spark, sf, "bad_rows"))
+    return d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
+
+
+@query("gbt_oof")
+def q_gbt_oof(spark, sf):
+    """L1 + L2 + R1: 5-fold boosted trees, each fold's early stop on its own fold;
+    one out-of-fold score per train row."""
+    from eventcraft.plans.model import gbt, out_of_fold
+    tr, _ = _model_frames(spark, sf)
+    res = out_of_fold(tr, features.TREE_MODEL_FEATURES, "is_new_did", 5, 42,
+                      make_estimator=lambda: gbt(label="is_new_did", validation_col="__is_val",
+                                                 **GBT_DEMO))
+    return res["oof"]
+
+
+@query("fold_mean_scores")
+def q_fold_mean_scores(spark, sf):
+    """L3 + L4 + R3: test rows scored by the mean of the fold models (train folds
+    undersampled 2:1); importance table per fold alongside."""
+    from eventcraft.plans.model import gbt, out_of_fold
+    tr, te = _model_frames(spark, sf)
+    res = out_of_fold(tr, features.TREE_MODEL_FEATURES, "is_new_did", 5, 42, test=te,
+                      undersample_ratio=0.5,
+                      make_estimator=lambda: gbt(label="is_new_did", validation_col="__is_val",
+                                                 **GBT_DEMO))
+    return res["test"]
+
+
+@query("forest_select")
+def q_forest_select(spark, sf):
+    """L5 + K3: 100-tree forest importances; features above 0.005 kept, split by kind."""
+    from eventcraft.plans.model import forest_select
+    tr, _ = _model_frames(spark, sf)
+    return forest_select(tr, features.TREE_MODEL_FEATURES, "is_new_did", 0.005)
+
+
+@query("net_scores")
+def q_net_scores(spark, sf):
+    """L6 + L7 + E1 + E3 + R2: category codes (train vocabulary) one-hot, numbers scaled
+    with train statistics, a feed-forward net trained in warm-started rounds with
+    patience on an 80/20 stratified holdout; validation rows scored by the best round."""
+    from eventcraft.operators.encode import encode, fit_scaler, fit_vocab, scale
+    from eventcraft.operators.split import holdout
+    from eventcraft.plans.model import fit_with_patience, mlp_round, net_inputs, positive_score
+    el = _el(spark, sf, "bad_rows")
+    d = features.net_features(el.where(F.col("split") == "train"))
+    d = holdout(d, "is_new_did", 0.2, 42)
+    tr, va = d.where(F.col("is_valid") == 0), d.where(F.col("is_valid") == 1)
+    cats = ["mid", "device_brand", "channel", "appver", "botId", "pluginId", "hour", "dayofweek"]
+    nums = ["user_total_events", "user_unique_mids", "user_unique_device_brands",
+            "time_since_first", "event_rank"]
+    vocab = fit_vocab(tr, cats)
+    st = fit_scaler(tr, nums)
+    codes = [f"{c}_encoded" for c in cats]
+    tr, va = (scale(encode(x, vocab, cats), st, fill_zero=True) for x in (tr, va))
+    inputs = net_inputs(codes, nums).fit(tr)
+    # the assembled frames are read once per training iteration: cut their lineage
+    tr, va = (inputs.transform(x).select("row_id", "is_new_did", "features").checkpoint()
+              for x in (tr, va))
+    width = tr.first()["features"].size
+    rounds = mlp_round(width, "is_new_did", iters_per_round=5, hidden=(32, 16))
+    best, _hist = fit_with_patience(tr, va, rounds, "is_new_did", rounds=3, patience=1)
+    return positive_score(best.transform(va)).select("row_id", "is_new_did", "score")
+
+
+@query("search_best")
+def q_search_best(spark, sf):
+    """L8 + S11 + S12: seeded trials, each scored by 3-fold OOF AUC; the ledger in the
+    shared folder is read first so a rerun only runs missing trials."""
+    from eventcraft.plans.model import search
+    from eventcraft.sources.csv_io import scratch_path
+    tr, _ = _model_frames(spark, sf)
+    ledger = scratch_path(spark, "trial-ledger")
+    return search(tr, features.TREE_MODEL_FEATURES, "is_new_did", n_trials=2, k=3, seed=42,
+                  ledger_path=ledger)
+
+
+@query("score_saved")
+def q_score_saved(spark, sf):
+    """S7 + S8 + L9 + V3 + P8 + J5: fit on train, pick the best-F1 threshold on a holdout,
+    save model and config, load them back and label the test rows (score > threshold)."""
+    from eventcraft.operators.evaluate import best_f1
+    from eventcraft.operators.split import holdout
+    from eventcraft.plans.model import fit_pipeline, gbt, positive_score, score_events
+    from eventcraft.plans.registry import load_state, save_state
+    from eventcraft.sources.csv_io import scratch_path
+    tr, te = _model_frames(spark, sf)
+    h = holdout(tr, "is_new_did", 0.2, 42)
+    fit_in = h.withColumn("__is_val", F.col("is_valid") == 1)
+    m = fit_pipeline(fit_in, features.TREE_MODEL_FEATURES,
+                     gbt(label="is_new_did", validation_col="__is_val", **GBT_DEMO))
+    va = positive_score(m.transform(h.where(F.col("is_valid") == 1)))
+    t = best_f1(va, "is_new_did", "score").first()["threshold"]
+    path = scratch_path(spark, "state")
+    save_state(spark, m, {"features": features.TREE_MODEL_FEATURES, "threshold": t}, path)
+    m2, cfg = load_state(spark, path)
+    return score_events(m2, te, cfg["threshold"]).orderBy("row_id")

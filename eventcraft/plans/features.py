@@ -73,3 +73,24 @@ def net_features(events: DataFrame, with_sequence_feats: bool = True) -> DataFra
         d = d.withColumn("first_eid", F.coalesce(F.col("first_eid"), F.lit("-1")))
     stats = device.user_stats(d, with_span=with_sequence_feats)
     return d.join(stats, DEVICE, "left")
+
+
+# Features of the boosted-tree fits. eid-derived columns are left out: in the
+# stand-in data the label is a function of eid.
+TREE_MODEL_FEATURES = [
+    "mid", "device_brand", "ntt", "operator", "common_country", "common_province", "common_city",
+    "channel", "os_type", "appver_num", "hour", "day_of_week", "day_of_month", "month",
+    "time_period", "is_weekend", "botId", "pluginId", "udmap_is_valid", "mid_count",
+    "mid_nunique", "device_brand_nunique", "ts_span",
+]
+
+
+def tree_model_frame(events: DataFrame, fill: float = -1.0) -> DataFrame:
+    """Tree features with numeric appver and nulls set to ``fill`` (M4); keeps row_id,
+    did, split and the label when present."""
+    from eventcraft.functions.mathfn import to_number
+    d = tree_features(events).withColumn("appver_num", to_number(F.col("appver")))
+    d = d.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(fill))
+                       for c in TREE_MODEL_FEATURES})
+    keep = ["row_id", "did"] + [c for c in ("split", "is_new_did") if c in d.columns]
+    return d.select(*keep, *TREE_MODEL_FEATURES)

@@ -511,3 +511,77 @@ SQL["prediction_summary"] = f"""{LI}
 SELECT round(avg(score), 6) AS mean_score, round(stddev_pop(score), 6) AS std_score,
        round(avg(CAST(score >= 0.05 AS INTEGER)), 6) AS positive_rate FROM d
 """
+
+# --- reports on importance / registry stand-ins -------------------------------------------
+
+IMP = """WITH imp AS (
+  SELECT 'part_' || CAST(l_partkey AS VARCHAR) || CASE WHEN l_returnflag = 'R' THEN '_encoded'
+         ELSE '' END AS feature, l_extendedprice AS importance, l_linenumber AS fold
+  FROM lineitem)"""
+
+SQL["mean_importance"] = f"""{IMP}
+SELECT feature, round(avg(importance), 6) AS importance_mean FROM imp GROUP BY feature
+"""
+
+SQL["top_features"] = f"""{IMP}
+SELECT feature, round(avg(importance), 6) AS importance_mean FROM imp GROUP BY feature
+ORDER BY avg(importance) DESC, feature LIMIT 20
+"""
+
+SQL["wide_importance"] = f"""{IMP},
+per AS (SELECT feature, fold, avg(importance) AS v FROM imp GROUP BY feature, fold)
+SELECT feature, """ + ", ".join(
+    f"round(max(CASE WHEN fold = {k} THEN v END), 6) AS fold_{k}" for k in range(1, 8)) + """,
+       round(avg(v), 6) AS mean
+FROM per GROUP BY feature
+"""
+
+SQL["importance_cut"] = f"""{IMP},
+m AS (SELECT feature, avg(importance) AS mi FROM imp GROUP BY feature),
+s AS (SELECT feature, mi / (SELECT sum(mi) FROM m) AS share FROM m)
+SELECT CASE WHEN suffix(feature, '_encoded') THEN left(feature, length(feature) - 8)
+            ELSE feature END AS column_name,
+       CASE WHEN suffix(feature, '_encoded') THEN 'categorical' ELSE 'numeric' END AS kind,
+       round(share, 6) AS share
+FROM s WHERE share > 0.0003
+"""
+
+SQL["distinct_values"] = f"""{EL}
+SELECT DISTINCT eid FROM event_log
+"""
+
+_SHAPE_TYPES = [("row_id", "bigint"), ("did", "string"), ("mid", "int"), ("eid", "string"),
+                ("device_brand", "smallint"), ("ntt", "tinyint"), ("operator", "tinyint"),
+                ("common_country", "smallint"), ("common_province", "smallint"),
+                ("common_city", "smallint"), ("appver", "string"), ("channel", "smallint"),
+                ("os_type", "tinyint"), ("common_ts", "bigint"), ("udmap", "string"),
+                ("is_new_did", "tinyint"), ("split", "string")]
+SQL["shape_report"] = f"""{EL},
+t(position, column_name, data_type) AS (VALUES """ + ", ".join(
+    f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(_SHAPE_TYPES)) + """)
+SELECT CAST(position AS INTEGER) AS position, column_name, data_type,
+       (SELECT count(*) FROM event_log) AS n_rows,
+       CAST((SELECT count(*) FROM t) AS INTEGER) AS n_columns
+FROM t
+"""
+
+REG = """WITH reg AS (
+  SELECT 'best_model_f1_0.' || lpad(CAST(o_orderkey % 10000 AS VARCHAR), 4, '0') || '_epoch_'
+         || CAST(o_custkey AS VARCHAR) || '.pth' AS path, epoch_us(o_orderdate) AS saved_at
+  FROM orders),
+r AS (SELECT path, saved_at,
+             TRY_CAST(nullif(regexp_extract(path, 'f1_([0-9]+\\.[0-9]+)', 1), '') AS DOUBLE) AS f1
+      FROM reg)"""
+
+SQL["registry_best"] = f"""{REG}
+SELECT path, round(f1, 6) AS f1 FROM r WHERE f1 IS NOT NULL ORDER BY f1 DESC, path DESC LIMIT 1
+"""
+
+SQL["registry_newest"] = f"""{REG}
+SELECT path, saved_at FROM r ORDER BY saved_at DESC, path DESC LIMIT 1
+"""
+
+SQL["trials_left"] = """
+SELECT o_orderkey AS trial_id FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey = o_orderkey)
+"""
