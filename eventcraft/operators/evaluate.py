@@ -28,13 +28,11 @@ def pr_curve(df: DataFrame, label: str, score: str, groups: list[str] | None = N
     g = list(groups or [])
     sc = score_counts(df, label, score, g)
     rt = running_totals(sc, "threshold", ["pos", "neg"], unique=True, group_cols=g)
-    tot = sc.groupBy(*g).agg(F.sum("pos").alias("__P"), F.sum("neg").alias("__N"))
-    rt = rt.join(F.broadcast(tot), g) if g else rt.withColumns(
-        dict(zip(["__P", "__N"], [F.lit(v) for v in tot.first()])))
-    tp = F.col("__P") - F.col("pos_lt")
-    fp = F.col("__N") - F.col("neg_lt")
+    tp = F.col("pos_total") - F.col("pos_lt")
+    fp = F.col("neg_total") - F.col("neg_lt")
     out = rt.select(*g, "threshold", tp.cast("bigint").alias("tp"), fp.cast("bigint").alias("fp"),
-                    F.col("__P").alias("n_pos"), F.col("__N").alias("n_neg"))
+                    F.col("pos_total").cast("bigint").alias("n_pos"),
+                    F.col("neg_total").cast("bigint").alias("n_neg"))
     return out.withColumns({
         "precision": F.when(F.col("tp") + F.col("fp") > 0,
                             F.col("tp") / (F.col("tp") + F.col("fp"))).otherwise(F.lit(0.0)),
@@ -46,9 +44,7 @@ def auc(df: DataFrame, label: str, score: str, groups: list[str] | None = None)
     """V1: exact ROC AUC per group; null when only one class is present."""
     g = list(groups or [])
     sc = score_counts(df, label, score, g)
-    rt = running_totals(sc, "threshold", ["neg"], unique=True, group_cols=g).select(
-        *g, "threshold", "neg", "neg_lt")
-    rt = rt.join(sc.select(*g, "threshold", "pos"), [*g, "threshold"])
+    rt = running_totals(sc, "threshold", ["pos", "neg"], unique=True, group_cols=g)
     pairs = F.col("pos").cast("double") * (F.col("neg_lt").cast("double") + F.col("neg") / 2.0)
     agg = rt.groupBy(*g).agg(F.sum(pairs).alias("__s"), F.sum("pos").alias("n_pos"),
                              F.sum("neg").alias("n_neg"))

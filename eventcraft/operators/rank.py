@@ -97,16 +97,18 @@ def _bucket_splits(df: DataFrame, key: str, n_buckets: int, rel_err: float) -> l
 
 def running_totals(df: DataFrame, key: str, value_cols: list[str], unique: bool = False,
                    group_cols: list[str] | None = None, n_buckets: int | None = None,
-                   rel_err: float = 1e-3) -> DataFrame:
+                   rel_err: float = 1e-3, materialize: bool = True) -> DataFrame:
     """Per distinct numeric ``key`` (within ``group_cols``): sums of ``value_cols``
-    over keys < and <= it.
-
-    Output columns: groups, key, each value col (sum at that key), ``{c}_lt``
-    and ``{c}_le``. Rows are first aggregated by (groups, key) unless
-    ``unique``, so a hot key is one row. Bucket edges come from
-    ``approxQuantile`` (a bounded list on the driver); the offset table has
-    #groups x #buckets rows and is broadcast only when there are no groups
-    (its size is then at most ``n_buckets``).
+    over keys < and <= it, and the group total.
+
+    Output columns: groups, key, each value col (sum at that key), ``{c}_lt``,
+    ``{c}_le`` and ``{c}_total``. Rows are first aggregated by (groups, key)
+    unless ``unique``, so a hot key is one row. The aggregated table is read
+    three times (quantiles, bucket sums, windows), so it is checkpointed once
+    to reliable storage: the source is scanned a single time. Bucket edges
+    come from ``approxQuantile`` (a bounded list on the driver); the offset
+    table has #groups x #buckets rows and is broadcast only when there are
+    no groups (its size is then at most ``n_buckets``).
     """
     g = list(group_cols or [])
     spark = df.sparkSession
@@ -117,14 +119,20 @@ def running_totals(df: DataFrame, key: str, value_cols: list[str], unique: bool
     if not unique:
         base = base.groupBy(*g, key).agg(*[F.sum(c).alias(c) for c in value_cols])
     base = base.where(F.col(key).isNotNull())
+    if materialize:
+        ensure_checkpoint_dir(spark)
+        base = base.checkpoint(eager=True)
     splits = _bucket_splits(base, key, n_buckets, rel_err)
     bz = Bucketizer(splits=splits, inputCol="__kd", outputCol="__bkt", handleInvalid="keep")
     d = bz.transform(base.withColumn("__kd", F.col(key).cast("double"))).drop("__kd")
     per_b = d.groupBy(*g, "__bkt").agg(*[F.sum(c).alias(f"__bt_{c}") for c in value_cols])
     w_prev = (Window.partitionBy(*[F.col(c) for c in g]).orderBy("__bkt")
               .rowsBetween(Window.unboundedPreceding, -1))
-    offs = per_b.select(*g, "__bkt", *[F.coalesce(F.sum(f"__bt_{c}").over(w_prev), F.lit(0))
-                                       .alias(f"__off_{c}") for c in value_cols])
+    w_all = Window.partitionBy(*[F.col(c) for c in g])
+    offs = per_b.select(*g, "__bkt",
+                        *[F.coalesce(F.sum(f"__bt_{c}").over(w_prev), F.lit(0))
+                          .alias(f"__off_{c}") for c in value_cols],
+                        *[F.sum(f"__bt_{c}").over(w_all).alias(f"{c}_total") for c in value_cols])
     w_in = (Window.partitionBy(*[F.col(c) for c in g], F.col("__bkt")).orderBy(key)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     d = d.withColumns({f"__in_{c}": F.sum(c).over(w_in) for c in value_cols})
@@ -141,7 +149,8 @@ def running_totals(df: DataFrame, key: str, value_cols: list[str], unique: bool
 def row_index(df: DataFrame, id_col: str, index_col: str = "row_index") -> DataFrame:
     """0-based position of each row in ``id_col`` order (``id_col`` unique, numeric)."""
     d = df.withColumn("__one", F.lit(1))
-    t = running_totals(d.select(id_col, "__one"), id_col, ["__one"], unique=True)
+    t = running_totals(d.select(id_col, "__one"), id_col, ["__one"], unique=True,
+                       materialize=False)
     t = t.select(F.col(id_col).alias("__id"), F.col("__one_lt").cast("bigint").alias(index_col))
     return df.join(t, df[id_col] == t["__id"]).drop("__id")
 
