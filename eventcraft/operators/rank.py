@@ -51,27 +51,45 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str],
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
+def _group_keys(df: DataFrame, group_cols: list[str]) -> tuple[DataFrame, list[str]]:
+    """Non-null surrogate keys (is-null flag, value as text) for each group column, so
+    joins can use plain equality - which keeps the hash partitioning of the big side -
+    while null still forms a group of its own."""
+    keys, cols = [], {}
+    for i, c in enumerate(group_cols):
+        cols[f"__gn{i}"] = F.col(c).isNull()
+        cols[f"__gv{i}"] = F.coalesce(F.col(c).cast("string"), F.lit(""))
+        keys += [f"__gn{i}", f"__gv{i}"]
+    return (df.withColumns(cols) if cols else df), keys
+
+
 def bucketed_rank(df: DataFrame, group_cols: list[str], bucket: Column,
                   order: list[Column], rank_col: str = "rank",
                   offsets_broadcast: bool = False) -> DataFrame:
     """1-based rank of each row within ``group_cols`` by ``order``.
 
     ``bucket`` must be monotone in ``order`` within a group and ``order``
-    must be a total order (end it with a unique id). ``offsets_broadcast``
-    may be set only when #groups x #buckets is known to be small.
+    must be a total order (end it with a unique id). The rows are shuffled
+    once, by (group, bucket), for the row number inside the bucket. Counts per
+    (group, bucket) come from a partial aggregation (only count rows cross
+    the network); their running offsets are a window over that small table.
+    The join back uses plain equality on the same keys, so the big side keeps
+    its partitioning. ``offsets_broadcast`` may be set only when
+    #groups x #buckets is known to be small.
     """
     b = "__bkt"
-    d = df.withColumn(b, bucket)
-    counts = d.groupBy(*group_cols, b).agg(F.count(F.lit(1)).alias("__n"))
-    w_prev = (Window.partitionBy(*[F.col(c) for c in group_cols]).orderBy(b)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*group_cols, b,
-                            F.coalesce(F.sum("__n").over(w_prev), F.lit(0)).alias("__off"))
-    within = Window.partitionBy(*[F.col(c) for c in group_cols], F.col(b)).orderBy(*order)
+    d, gk = _group_keys(df.withColumn(b, bucket), group_cols)
+    within = Window.partitionBy(*gk, b).orderBy(*order)
     ranked = d.withColumn("__r", F.row_number().over(within))
-    out = _null_safe_join(ranked, offsets, [*group_cols, b], broadcast_right=offsets_broadcast)
+    counts = d.groupBy(*gk, b).agg(F.count(F.lit(1)).alias("__n"))
+    w_prev = (Window.partitionBy(*gk).orderBy(b)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(*gk, b, F.coalesce(F.sum("__n").over(w_prev), F.lit(0)).alias("__off"))
+    if offsets_broadcast:
+        offsets = F.broadcast(offsets)
+    out = ranked.join(offsets, [*gk, b])
     return out.withColumn(rank_col, (F.col("__off") + F.col("__r")).cast("bigint")).drop(
-        b, "__off", "__r")
+        b, "__off", "__r", *gk)
 
 
 def hash_rank(df: DataFrame, group_cols: list[str], id_col: str, seed: int | str = 42,

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference work has no streaming part - no watermark, event-time window,
+stateful operator or late-data rule; every job reads whole files. Nothing is
+built here so as not to add operators the reference does not have. Batch
+scoring with saved state (``eventcraft.plans.model.score_events`` with
+``eventcraft.plans.registry.load_state``) is what a scoring service calls.
+"""
