@@ -57,13 +57,11 @@ def device_first_last(df: DataFrame, key: str = DEVICE) -> DataFrame:
     """
     o = _order_key()
     eid_first = F.min_by(F.col("eid"), F.struct(F.col("eid").isNull(), o))
-    ts_first = F.min_by(F.col(TS), F.struct(F.col(TS).isNull(), o))
-    ts_last = F.max_by(F.col(TS), F.struct(F.col(TS).isNotNull(), o))
     return df.groupBy(key).agg(
         F.count("mid").alias("mid_count"),
         F.count_distinct("eid").alias("eid_nunique"),
-        ts_first.alias("common_ts_min"),
-        ts_last.alias("common_ts_max"),
+        F.min(TS).alias("common_ts_min"),   # first / last non-null time in time order
+        F.max(TS).alias("common_ts_max"),
         eid_first.alias("first_eid"),
     ).withColumn("ts_span", seconds_between(F.col("common_ts_max"), F.col("common_ts_min")))
 
@@ -94,12 +92,33 @@ def group_mode(df: DataFrame, key: str, col: str, out: str | None = None,
     (-count, value). Groups with no non-null value get ``default``.
     """
     out = out or f"most_common_{col}"
-    vc = df.where(F.col(col).isNotNull()).groupBy(key, col).agg(F.count(F.lit(1)).alias("__n"))
-    m = vc.groupBy(key).agg(F.min_by(F.col(col), F.struct(-F.col("__n"), F.col(col))).alias(out))
+    # null values are counted too, so every group survives the first aggregation;
+    # the filter keeps them out of the choice (all-null groups get ``default``)
+    vc = df.groupBy(key, col).agg(F.count(F.lit(1)).alias("__n"))
+    pick = F.expr(f"min_by(`{col}`, struct(-__n, `{col}`)) FILTER (WHERE `{col}` IS NOT NULL)")
+    m = vc.groupBy(key).agg(pick.alias(out))
     if default is None:
         return m
-    keys = df.select(key).distinct()
-    return keys.join(m, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit(default)))
+    return m.withColumn(out, F.coalesce(F.col(out), F.lit(default).cast(df.schema[col].dataType)))
+
+
+def group_modes(df: DataFrame, key: str, cols: list[str], prefix: str = "most_common_") -> DataFrame:
+    """A7 for several columns in one pass: each row is exploded into (column, value)
+    pairs, counted per (group, column, value), then one filtered ``min_by`` per
+    column over (-count, value) - smallest value on ties, typed order kept."""
+    from pyspark.sql import types as T
+    numeric = {c: isinstance(df.schema[c].dataType, T.NumericType) for c in cols}
+    items = F.array(*[F.struct(F.lit(i).alias("i"),
+                               (F.col(c).cast("double") if numeric[c] else F.lit(None).cast("double"))
+                               .alias("num"), F.col(c).cast("string").alias("s"))
+                      for i, c in enumerate(cols)])
+    ex = df.select(key, F.explode(items).alias("e")).select(key, "e.*").where(F.col("s").isNotNull())
+    vc = ex.groupBy(key, "i", "num", "s").agg(F.count(F.lit(1)).alias("n"))
+    aggs = [F.expr(f"min_by(s, struct(-n, num, s)) FILTER (WHERE i = {i})").alias(f"__m{i}")
+            for i in range(len(cols))]
+    m = vc.groupBy(key).agg(*aggs)
+    return m.select(key, *[F.col(f"__m{i}").cast(df.schema[c].dataType).alias(f"{prefix}{c}")
+                           for i, c in enumerate(cols)])
 
 
 def device_profile(df: DataFrame, key: str = DEVICE) -> DataFrame:
@@ -117,9 +136,8 @@ def device_profile(df: DataFrame, key: str = DEVICE) -> DataFrame:
         F.count_distinct(weekday(t)).alias("day_diversity"),
     ).withColumn("avg_events_per_hour",
                  F.col("total_events") / F.greatest(F.col("ts_span_hours"), F.lit(1.0)))
-    mm = group_mode(df, key, "mid")
-    me = group_mode(df, key, "eid")
-    return (base.join(mm, key, "left").join(me, key, "left")
+    modes = group_modes(df, key, ["mid", "eid"])
+    return (base.join(modes, key, "left")
             .withColumns({"most_common_mid": F.coalesce("most_common_mid", F.lit(0)),
                           "most_common_eid": F.coalesce("most_common_eid", F.lit("0"))}))
 

@@ -115,13 +115,15 @@ def _bucket_splits(df: DataFrame, key: str, n_buckets: int, rel_err: float) -> l
 
 def running_totals(df: DataFrame, key: str, value_cols: list[str], unique: bool = False,
                    group_cols: list[str] | None = None, n_buckets: int | None = None,
-                   rel_err: float = 1e-3, materialize: bool = True) -> DataFrame:
+                   rel_err: float = 1e-3, materialize: bool = True,
+                   carry: list[str] | None = None) -> DataFrame:
     """Per distinct numeric ``key`` (within ``group_cols``): sums of ``value_cols``
     over keys < and <= it, and the group total.
 
     Output columns: groups, key, each value col (sum at that key), ``{c}_lt``,
-    ``{c}_le`` and ``{c}_total``. Rows are first aggregated by (groups, key)
-    unless ``unique``, so a hot key is one row. The aggregated table is read
+    ``{c}_le`` and ``{c}_total``, plus ``carry`` columns (unique keys only).
+    Rows are first aggregated by (groups, key) unless ``unique``, so a hot
+    key is one row. The aggregated table is read
     three times (quantiles, bucket sums, windows), so it is checkpointed once
     to reliable storage: the source is scanned a single time. Bucket edges
     come from ``approxQuantile`` (a bounded list on the driver); the offset
@@ -129,11 +131,14 @@ def running_totals(df: DataFrame, key: str, value_cols: list[str], unique: bool
     no groups (its size is then at most ``n_buckets``).
     """
     g = list(group_cols or [])
+    carry = [c for c in (carry or []) if c not in (*g, key, *value_cols)]
+    if carry and not unique:
+        raise ValueError("carry needs unique keys")
     spark = df.sparkSession
     if n_buckets is None:
         sp = int(spark.conf.get("spark.sql.shuffle.partitions"))
         n_buckets = max(16, min(4096, 4 * sp))
-    base = df.select(*g, key, *value_cols)
+    base = df.select(*g, key, *value_cols, *carry)
     if not unique:
         base = base.groupBy(*g, key).agg(*[F.sum(c).alias(c) for c in value_cols])
     base = base.where(F.col(key).isNotNull())
@@ -165,12 +170,16 @@ def running_totals(df: DataFrame, key: str, value_cols: list[str], unique: bool
 
 
 def row_index(df: DataFrame, id_col: str, index_col: str = "row_index") -> DataFrame:
-    """0-based position of each row in ``id_col`` order (``id_col`` unique, numeric)."""
+    """0-based position of each row in ``id_col`` order (``id_col`` unique, numeric).
+
+    One quantile pass for bucket edges, one shuffle into ordered buckets; all
+    other columns ride along, so there is no join back.
+    """
+    others = [c for c in df.columns if c != id_col]
     d = df.withColumn("__one", F.lit(1))
-    t = running_totals(d.select(id_col, "__one"), id_col, ["__one"], unique=True,
-                       materialize=False)
-    t = t.select(F.col(id_col).alias("__id"), F.col("__one_lt").cast("bigint").alias(index_col))
-    return df.join(t, df[id_col] == t["__id"]).drop("__id")
+    t = running_totals(d, id_col, ["__one"], unique=True, materialize=False, carry=others)
+    return t.withColumn(index_col, F.col("__one_lt").cast("bigint")).drop(
+        "__one", "__one_lt", "__one_le", "__one_total")
 
 
 def dense_codes(values: DataFrame, group_col: str, value_col: str,
