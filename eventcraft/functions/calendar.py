@@ -8,14 +8,28 @@ from pyspark.sql import functions as F
 from eventcraft.sources.schema import TS
 
 
+MS_PER_DAY = 86_400_000
+MS_PER_HOUR = 3_600_000
+
+
 def to_ts(ms: Column) -> Column:
-    """epoch milliseconds -> TIMESTAMP (session time zone is UTC)."""
+    """epoch milliseconds -> TIMESTAMP."""
     return F.timestamp_millis(ms)
 
 
-def weekday(ts: Column) -> Column:
+def utc_date(ms: Column) -> Column:
+    """the UTC calendar date of epoch milliseconds, whatever the session time zone."""
+    return F.date_from_unix_date(F.floor(ms / MS_PER_DAY).cast("int"))
+
+
+def utc_hour(ms: Column) -> Column:
+    """the UTC hour of epoch milliseconds (0-23), whatever the session time zone."""
+    return F.floor(F.pmod(ms, F.lit(MS_PER_DAY)) / MS_PER_HOUR).cast("int")
+
+
+def weekday(d: Column) -> Column:
     """Monday = 0 ... Sunday = 6 (not ``dayofweek``, which starts on Sunday=1)."""
-    return F.weekday(ts)
+    return F.weekday(d)
 
 
 def day_part(hour: Column, edges: list[int] | None = None) -> Column:
@@ -41,16 +55,18 @@ def hours_between(later_ms: Column, earlier_ms: Column) -> Column:
 
 
 def add_calendar(df: DataFrame, ts_col: str = TS, prefix: str = "") -> DataFrame:
-    """Hour, weekday, day of month, month, year, day part, weekend."""
-    t = to_ts(F.col(ts_col))
-    h = F.hour(t)
-    wd = weekday(t)
+    """Hour, weekday, day of month, month, year, day part, weekend - in UTC,
+    as the scripts' naive datetimes from epoch milliseconds are."""
+    ms = F.col(ts_col)
+    d = utc_date(ms)
+    h = utc_hour(ms)
+    wd = weekday(d)
     return df.withColumns({
         f"{prefix}hour": h,
         f"{prefix}day_of_week": wd,
-        f"{prefix}day_of_month": F.dayofmonth(t),
-        f"{prefix}month": F.month(t),
-        f"{prefix}year": F.year(t),
+        f"{prefix}day_of_month": F.dayofmonth(d),
+        f"{prefix}month": F.month(d),
+        f"{prefix}year": F.year(d),
         f"{prefix}time_period": day_part(h),
         f"{prefix}is_weekend": (wd >= 5).cast("int"),
     })

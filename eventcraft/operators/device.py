@@ -123,8 +123,8 @@ def group_modes(df: DataFrame, key: str, cols: list[str], prefix: str = "most_co
 
 def device_profile(df: DataFrame, key: str = DEVICE) -> DataFrame:
     """A6 + A7: events, distinct counts, span hours, events per hour, modal mid/eid."""
-    from eventcraft.functions.calendar import to_ts, weekday
-    t = to_ts(F.col(TS))
+    from eventcraft.functions.calendar import utc_date, utc_hour, weekday
+    ms = F.col(TS)
     base = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("total_events"),
         F.count_distinct("mid").alias("unique_mids"),
@@ -132,8 +132,8 @@ def device_profile(df: DataFrame, key: str = DEVICE) -> DataFrame:
         hours_between(F.max(TS), F.min(TS)).alias("ts_span_hours"),
         F.count_distinct("channel").alias("unique_channels"),
         F.count_distinct("device_brand").alias("unique_brands"),
-        F.count_distinct(F.hour(t)).alias("hour_diversity"),
-        F.count_distinct(weekday(t)).alias("day_diversity"),
+        F.count_distinct(utc_hour(ms)).alias("hour_diversity"),
+        F.count_distinct(weekday(utc_date(ms))).alias("day_diversity"),
     ).withColumn("avg_events_per_hour",
                  F.col("total_events") / F.greatest(F.col("ts_span_hours"), F.lit(1.0)))
     modes = group_modes(df, key, ["mid", "eid"])

@@ -56,6 +56,28 @@ def q_calendar(spark, sf):
                      "time_period", "is_weekend")
 
 
+@query("day_part")
+def q_day_part(spark, sf):
+    """hour bucket [0,6) [6,12) [12,18) [18,24) -> 0..3."""
+    df = add_calendar(event_log(spark, sf))
+    return df.select("row_id", "hour", "time_period")
+
+
+@query("weekend")
+def q_weekend(spark, sf):
+    """F3 + F7: weekday (Mon=0) and the weekend flag."""
+    df = add_calendar(event_log(spark, sf))
+    return df.select("row_id", "day_of_week", "is_weekend")
+
+
+@query("json_default_zero")
+def q_json_default_zero(spark, sf):
+    """key values as text, '0' when missing or unparsable (the sequence-model form)."""
+    df = jsonmap.extract_keys_default(event_log(spark, sf, udmap="bad_rows"), "udmap",
+                                      {"botId": "0", "pluginId": "0"})
+    return df.select("row_id", "botId", "pluginId")
+
+
 # --- shared inputs ------------------------------------------------------------------------
 
 def _el(spark, sf, udmap="props"):
@@ -534,7 +556,7 @@ def q_prediction_summary(spark, sf):
 def _importance_standin(spark, sf):
     """Rows shaped like a per-fold importance table, read from lineitem."""
     li = spark.read.parquet(f"{sf}/lineitem.parquet")
-    feat = F.concat(F.lit("part_"), F.col("l_partkey").cast("string"),
+    feat = F.concat(F.lit("supp_"), F.col("l_suppkey").cast("string"),
                     F.when(F.col("l_returnflag") == "R", F.lit("_encoded")).otherwise(F.lit("")))
     return li.select(feat.alias("feature"), F.col("l_extendedprice").alias("importance"),
                      F.col("l_linenumber").alias("fold"))
@@ -566,9 +588,9 @@ def q_wide_importance(spark, sf):
 
 @query("importance_cut")
 def q_importance_cut(spark, sf):
-    """K3 + F20: features whose importance share exceeds 0.0003, by kind."""
+    """K3 + F20: features whose importance share exceeds 0.005, by kind."""
     from eventcraft.operators.reports import importance_cut
-    c = importance_cut(_importance_standin(spark, sf), 0.0003)
+    c = importance_cut(_importance_standin(spark, sf), 0.005)
     return c.withColumn("share", F.round("share", 6))
 
 
@@ -593,7 +615,8 @@ def _registry_standin(spark, sf):
                     F.lpad((F.col("o_orderkey") % 10000).cast("string"), 4, "0"),
                     F.lit("_epoch_"), F.col("o_custkey").cast("string"), F.lit(".pth"))
     return o.select(path.alias("path"),
-                    F.unix_micros(F.col("o_orderdate").cast("timestamp")).alias("saved_at"))
+                    F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
+                           "o_orderdate)").alias("saved_at"))
 
 
 @query("registry_best")
@@ -713,7 +736,7 @@ def q_score_saved(spark, sf):
     from eventcraft.operators.split import holdout
     from eventcraft.plans.model import fit_pipeline, gbt, positive_score, score_events
     from eventcraft.plans.registry import load_state, save_state
-    from eventcraft.sources.csv_io import scratch_path
+    from eventcraft.sources.csv_io import scratch_path, write_csv
     tr, te = _model_frames(spark, sf)
     h = holdout(tr, "is_new_did", 0.2, 42)
     fit_in = h.withColumn("__is_val", F.col("is_valid") == 1)
@@ -724,4 +747,21 @@ def q_score_saved(spark, sf):
     path = scratch_path(spark, "state")
     save_state(spark, m, {"features": features.TREE_MODEL_FEATURES, "threshold": t}, path)
     m2, cfg = load_state(spark, path)
-    return score_events(m2, te, cfg["threshold"]).orderBy("row_id")
+    scored = score_events(m2, te, cfg["threshold"])
+    # S5 + J5: the binary submission, rows in input order, header CSV in the shared folder
+    write_csv(scored.orderBy("row_id").select("did", "is_new_did"), f"{path}/submission")
+    return scored.orderBy("row_id")
+
+
+@query("sequence_dataset")
+def q_sequence_dataset(spark, sf):
+    """W4 + W5 + A6 + A7 + E2 + E3 + F11: the sequence model's inputs for the test split,
+    every encoder and scaler fitted on the train split only."""
+    tr, te = _split(spark, sf)
+    out = features.sequence_model_frame(tr, te)["score"]
+    from eventcraft.operators.sequence import sequence_text
+    return out.select(
+        "row_id", sequence_text("seq").alias("seq"),
+        *[f"{c}_encoded" for c in ("mid", "channel", "botId", "hour", "day_of_week", "did")],
+        *[F.round(c, 6).alias(c) for c in ("total_events", "ts_span_hours",
+                                           "avg_events_per_hour", "hour_diversity")])

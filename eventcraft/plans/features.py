@@ -94,3 +94,53 @@ def tree_model_frame(events: DataFrame, fill: float = -1.0) -> DataFrame:
                        for c in TREE_MODEL_FEATURES})
     keep = ["row_id", "did"] + [c for c in ("split", "is_new_did") if c in d.columns]
     return d.select(*keep, *TREE_MODEL_FEATURES)
+
+
+# The sequence model's category and number columns.
+SEQ_MODEL_CATEGORIES = [
+    "mid", "did", "device_brand", "ntt", "operator", "common_country", "common_province",
+    "common_city", "appver", "channel", "os_type", "botId", "pluginId", "hour", "day_of_week",
+]
+SEQ_MODEL_NUMBERS = [
+    "total_events", "unique_mids", "unique_eids", "ts_span_hours", "avg_events_per_hour",
+    "unique_channels", "unique_brands", "hour_diversity", "day_diversity",
+]
+
+
+def sequence_model_frame(train: DataFrame, score: DataFrame | None = None,
+                         categories: list[str] | None = None, numbers: list[str] | None = None,
+                         seq_len: int = 50) -> dict:
+    """The sequence model's inputs for train (and a scoring set), fitted on train only.
+
+    hour / weekday, JSON ids with '0' default (F11); device profile with modal
+    mid/eid (A6, A7) joined per device; categories encoded with a ``<UNK>``
+    slot (E2); eid encoded with codes from 1 (0 is the pad) and turned into the
+    trailing ``seq_len`` sequence (W5 then W4); numbers null -> 0, then scaled
+    with train mean / population std (E3); vocabulary sizes (A17).
+    Returns ``train`` (and ``score``) frames plus ``vocab`` and ``sizes``.
+    """
+    from eventcraft.functions.jsonmap import extract_keys_default
+    from eventcraft.operators.encode import UNK, encode, fit_scaler, fit_vocab, scale, vocab_sizes
+    cats = categories or SEQ_MODEL_CATEGORIES
+    nums = numbers or SEQ_MODEL_NUMBERS
+
+    def prep(df: DataFrame) -> DataFrame:
+        d = add_calendar(df).drop("day_of_month", "month", "year", "time_period", "is_weekend")
+        d = extract_keys_default(d, "udmap", {"botId": "0", "pluginId": "0"})
+        return d.join(device.device_profile(df), DEVICE, "left")
+
+    tr = prep(train)
+    vocab = fit_vocab(tr, cats, marker=UNK)
+    eid_vocab = fit_vocab(tr, ["eid"], marker=UNK, first_code=1)
+    stats = fit_scaler(tr.fillna(0, subset=nums), nums)
+
+    def finish(d: DataFrame) -> DataFrame:
+        d = encode(d, vocab, cats, marker=UNK)
+        d = encode(d, eid_vocab, ["eid"], marker=UNK, suffix="_code")
+        d = sequence.trailing_sequence(sequence.event_rank(d), "eid_code", pad=0, length=seq_len)
+        return scale(d, stats, fill_zero=True)
+
+    out = {"train": finish(tr), "vocab": vocab, "sizes": vocab_sizes(vocab)}
+    if score is not None:
+        out["score"] = finish(prep(score))
+    return out

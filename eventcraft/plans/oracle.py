@@ -21,10 +21,10 @@ def jval(key: str) -> str:
     return f"(CASE WHEN {OBJ} THEN json_extract_string({J}, '$.{key}') END)"
 
 
-CAL = """hour(epoch_ms(common_ts)) AS hour,
-       isodow(epoch_ms(common_ts)) - 1 AS day_of_week,
-       day(epoch_ms(common_ts)) AS day_of_month,
-       month(epoch_ms(common_ts)) AS month"""
+CAL = """CAST(hour(epoch_ms(common_ts)) AS INTEGER) AS hour,
+       CAST(isodow(epoch_ms(common_ts)) - 1 AS INTEGER) AS day_of_week,
+       CAST(day(epoch_ms(common_ts)) AS INTEGER) AS day_of_month,
+       CAST(month(epoch_ms(common_ts)) AS INTEGER) AS month"""
 
 SQL: dict[str, str] = {}
 
@@ -57,7 +57,7 @@ FROM event_log
 """
 
 SQL["calendar_features"] = f"""{EL}
-SELECT row_id, {CAL}, year(epoch_ms(common_ts)) AS year,
+SELECT row_id, {CAL}, CAST(year(epoch_ms(common_ts)) AS INTEGER) AS year,
        CAST(hour(epoch_ms(common_ts)) // 6 AS INTEGER) AS time_period,
        CAST(isodow(epoch_ms(common_ts)) - 1 >= 5 AS INTEGER) AS is_weekend
 FROM event_log
@@ -515,7 +515,7 @@ SELECT round(avg(score), 6) AS mean_score, round(stddev_pop(score), 6) AS std_sc
 # --- reports on importance / registry stand-ins -------------------------------------------
 
 IMP = """WITH imp AS (
-  SELECT 'part_' || CAST(l_partkey AS VARCHAR) || CASE WHEN l_returnflag = 'R' THEN '_encoded'
+  SELECT 'supp_' || CAST(l_suppkey AS VARCHAR) || CASE WHEN l_returnflag = 'R' THEN '_encoded'
          ELSE '' END AS feature, l_extendedprice AS importance, l_linenumber AS fold
   FROM lineitem)"""
 
@@ -543,7 +543,7 @@ SELECT CASE WHEN suffix(feature, '_encoded') THEN left(feature, length(feature)
             ELSE feature END AS column_name,
        CASE WHEN suffix(feature, '_encoded') THEN 'categorical' ELSE 'numeric' END AS kind,
        round(share, 6) AS share
-FROM s WHERE share > 0.0003
+FROM s WHERE share > 0.005
 """
 
 SQL["distinct_values"] = f"""{EL}
@@ -585,3 +585,78 @@ SQL["trials_left"] = """
 SELECT o_orderkey AS trial_id FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey = o_orderkey)
 """
+
+SQL["day_part"] = f"""{EL}
+SELECT row_id, CAST(hour(epoch_ms(common_ts)) AS INTEGER) AS hour,
+       CAST(hour(epoch_ms(common_ts)) // 6 AS INTEGER) AS time_period
+FROM event_log
+"""
+
+SQL["weekend"] = f"""{EL}
+SELECT row_id, CAST(isodow(epoch_ms(common_ts)) - 1 AS INTEGER) AS day_of_week,
+       CAST(isodow(epoch_ms(common_ts)) - 1 >= 5 AS INTEGER) AS is_weekend
+FROM event_log
+"""
+
+SQL["json_default_zero"] = f"""{ELB}
+SELECT row_id, coalesce({jval('botId')}, '0') AS botId, coalesce({jval('pluginId')}, '0') AS pluginId
+FROM event_log
+"""
+
+
+def _profile_sql(src: str) -> str:
+    """Device profile (A6 + A7) over ``src`` rows, unrounded."""
+    return f"""(SELECT b.did, total_events, unique_mids, unique_eids, span_h AS ts_span_hours,
+       total_events / greatest(span_h, 1.0) AS avg_events_per_hour, unique_channels,
+       unique_brands, hour_diversity, day_diversity,
+       coalesce(mm.most_common_mid, 0) AS most_common_mid,
+       coalesce(me.most_common_eid, '0') AS most_common_eid
+FROM (SELECT did, count(*) AS total_events, count(DISTINCT mid) AS unique_mids,
+             count(DISTINCT eid) AS unique_eids,
+             (max(common_ts) - min(common_ts)) / 3600000.0 AS span_h,
+             count(DISTINCT channel) AS unique_channels,
+             count(DISTINCT device_brand) AS unique_brands,
+             count(DISTINCT hour(epoch_ms(common_ts))) AS hour_diversity,
+             count(DISTINCT isodow(epoch_ms(common_ts))) AS day_diversity
+      FROM {src} GROUP BY did) b
+LEFT JOIN {_mode_sql(src, 'did', 'mid', 'most_common_mid')} mm USING (did)
+LEFT JOIN {_mode_sql(src, 'did', 'eid', 'most_common_eid')} me USING (did))"""
+
+
+_SEQ_CATS = ["mid", "channel", "botId", "hour", "day_of_week", "did"]
+_SEQ_NUMS = ["total_events", "ts_span_hours", "avg_events_per_hour", "hour_diversity"]
+_ALL_SEQ_NUMS = ["total_events", "unique_mids", "unique_eids", "ts_span_hours",
+                 "avg_events_per_hour", "unique_channels", "unique_brands", "hour_diversity",
+                 "day_diversity"]
+_PREP = """SELECT *, CAST(hour(epoch_ms(common_ts)) AS INTEGER) AS hour,
+       CAST(isodow(epoch_ms(common_ts)) - 1 AS INTEGER) AS day_of_week,
+       coalesce({bot}, '0') AS botId FROM event_log WHERE split = '{split}'"""
+
+SQL["sequence_dataset"] = f"""{EL},
+trp AS ({_PREP.format(bot=jval('botId'), split='train')}),
+tep AS ({_PREP.format(bot=jval('botId'), split='test')}),
+trn AS (SELECT * FROM trp JOIN {_profile_sql('trp')} p USING (did)),
+ten AS (SELECT * FROM tep JOIN {_profile_sql('tep')} p USING (did)),
+st AS (SELECT {', '.join(f"avg(coalesce({c}, 0)) AS m_{c}, "
+                         f"coalesce(nullif(stddev_pop(coalesce({c}, 0)), 0), 1) AS s_{c}"
+                         for c in _ALL_SEQ_NUMS)} FROM trn),
+vc AS (SELECT col, value, CAST(row_number() OVER (PARTITION BY col ORDER BY value) - 1 AS INTEGER)
+              AS code FROM ({' UNION '.join(
+                  f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS value FROM trp "
+                  f"WHERE {c} IS NOT NULL UNION SELECT '{c}', '<UNK>'" for c in _SEQ_CATS)})),
+ev AS (SELECT value, row_number() OVER (ORDER BY value) AS code FROM (
+         SELECT DISTINCT eid AS value FROM trp UNION SELECT '<UNK>')),
+coded AS (
+  SELECT t.*, coalesce((SELECT code FROM ev WHERE value = t.eid),
+                       (SELECT code FROM ev WHERE value = '<UNK>')) AS eid_code,
+         {', '.join(f"coalesce((SELECT code FROM vc WHERE col = '{c}' AND value = CAST(t.{c} AS VARCHAR)), "
+                    f"(SELECT code FROM vc WHERE col = '{c}' AND value = '<UNK>')) AS {c}_encoded"
+                    for c in _SEQ_CATS)}
+  FROM ten t),
+sq AS (SELECT *, list(CAST(eid_code AS VARCHAR)) OVER (PARTITION BY did ORDER BY common_ts, row_id
+                  ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS l FROM coded)
+SELECT row_id, repeat('0 ', 50 - len(l)) || array_to_string(l, ' ') AS seq,
+       {', '.join(f"{c}_encoded" for c in _SEQ_CATS)},
+       {', '.join(f"round((coalesce({c}, 0) - m_{c}) / s_{c}, 6) AS {c}" for c in _SEQ_NUMS)}
+FROM sq, st
+"""

@@ -50,7 +50,9 @@ def event_log_from_events(events: DataFrame, udmap: str = "props") -> DataFrame:
         appver.alias("appver"),
         eid_mod(13).cast("smallint").alias("channel"),
         (uid % 5).cast("tinyint").alias("os_type"),
-        F.expr("unix_micros(cast(ts AS TIMESTAMP)) div 1000").alias("common_ts"),
+        # wall-clock micros since the epoch, independent of the session time zone
+        F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) div 1000")
+        .alias("common_ts"),
         udmap_col.alias("udmap"),
         (F.col("event_type") == "signup").cast("tinyint").alias("is_new_did"),
         F.when(eid_mod(5) == 0, "test").otherwise("train").alias("split"),

@@ -117,3 +117,13 @@ def test_hash_rank_matches_global_order(spark, groups):
         ids = sorted((i for i, x in enumerate(groups) if x == g),
                      key=lambda i: (hashlib.md5(f"7|{i}".encode()).hexdigest(), i))
         assert [got[i] for i in ids] == list(range(1, len(ids) + 1))
+
+
+@SETTINGS
+@given(st.integers(1, 60), st.integers(1, 12))
+def test_row_ranges_contiguous_and_complete(spark, n, k):
+    from eventcraft.sources.slicing import assign_row_ranges
+    df = spark.createDataFrame([(i * 3,) for i in range(n)], "row_id long")
+    got = sorted((r["row_id"], r["part"]) for r in assign_row_ranges(df, k).collect())
+    size = -(-n // k)
+    assert [p for _, p in got] == [i // size + 1 for i in range(n)]
