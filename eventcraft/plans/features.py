@@ -130,8 +130,10 @@ def sequence_model_frame(train: DataFrame, score: DataFrame | None = None,
         return d.join(device.device_profile(df), DEVICE, "left")
 
     tr = prep(train)
-    vocab = fit_vocab(tr, cats, marker=UNK)
-    eid_vocab = fit_vocab(tr, ["eid"], marker=UNK, first_code=1)
+    # one fit for every column; eid's codes are shifted by one so 0 stays the pad
+    both = fit_vocab(tr, cats + ["eid"], marker=UNK)
+    vocab = both.where(F.col("column") != "eid")
+    eid_vocab = both.where(F.col("column") == "eid").withColumn("code", F.col("code") + 1)
     stats = fit_scaler(tr.fillna(0, subset=nums), nums)
 
     def finish(d: DataFrame) -> DataFrame:

@@ -98,3 +98,17 @@ def test_csv_doubled_quotes_and_commas(spark, tmp_path):
     back = {r["row_id"]: r["udmap"] for r in read_events_csv(spark, path, with_row_id=True).collect()}
     assert back[1] == '{"botId":12,"pluginId":"p","z":1}'
     assert back[2] == '{"a": "q\\"uote, comma"}'
+
+
+def test_hot_devices_get_narrow_buckets_same_ranks(spark):
+    from eventcraft.sources.event_log import event_log
+    el = event_log(spark, "/root/testdata/sf0.001")
+    got = {r["row_id"]: r["event_rank"] for r in
+           sequence.event_rank(el, target_rows=5).select("row_id", "event_rank").collect()}
+    rows = el.select("row_id", "did", "common_ts").collect()
+    by_dev = {}
+    for r in rows:
+        by_dev.setdefault(r["did"], []).append((r["common_ts"], r["row_id"]))
+    for evs in by_dev.values():
+        for pos, (_, rid) in enumerate(sorted(evs)):
+            assert got[rid] == pos + 1

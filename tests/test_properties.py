@@ -93,8 +93,9 @@ def test_vocab_codes_dense_and_sorted(spark, vals):
 def test_rank_elapsed_sequence_vs_brute_force(spark, evs):
     rows = [(i, d, f"t{i}", ts) for i, (d, ts) in enumerate(evs)]
     df = events_df(spark, rows)
-    # tiny buckets and chunks force the two-level rank and the halo path
-    r = sequence.event_rank(df, bucket_ms=7)
+    # tiny buckets, a tiny hot-device threshold and tiny chunks force the two-level
+    # rank, the adaptive bucket width and the halo path
+    r = sequence.event_rank(df, bucket_ms=7, target_rows=4)
     s = sequence.trailing_sequence(r, "eid", pad="0", length=5, chunk_rows=6)
     el = sequence.add_first_and_elapsed(df)
     got = {x["row_id"]: (x["event_rank"], x["seq"]) for x in s.collect()}
