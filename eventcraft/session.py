@@ -60,3 +60,27 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         prefix="eventcraft-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a large run, derived from the input size and the cluster's cores.
+
+    Scan splits and shuffle partitions aim at ``target_partition_bytes`` each
+    (so a task's share fits executor memory with room to spare); the initial
+    shuffle partition count is at least 2x the cores and AQE coalesces small
+    ones and splits skewed join partitions at run time.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(
+            2 * target_partition_bytes),
+        # broadcasts only when measured small; everything else sort-merge joins
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
