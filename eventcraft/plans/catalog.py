@@ -668,8 +668,8 @@ def q_gbt_oof(spark, sf):
 
 @query("fold_mean_scores")
 def q_fold_mean_scores(spark, sf):
-    """L3 + L4 + R3: test rows scored by the mean of the fold models (train folds
-    undersampled 2:1); importance table per fold alongside."""
+    """L3 + R3: each test row's score is the mean over the 5 fold models, whose
+    training folds were undersampled to 2 majority rows per minority row."""
     from eventcraft.plans.model import gbt, out_of_fold
     tr, te = _model_frames(spark, sf)
     res = out_of_fold(tr, features.TREE_MODEL_FEATURES, "is_new_did", 5, 42, test=te,
