@@ -55,8 +55,9 @@ def hours_between(later_ms: Column, earlier_ms: Column) -> Column:
 
 
 def add_calendar(df: DataFrame, ts_col: str = TS, prefix: str = "") -> DataFrame:
-    """Hour, weekday, day of month, month, year, day part, weekend - in UTC,
-    as the scripts' naive datetimes from epoch milliseconds are."""
+    """Hour (F2), weekday (F3), day of month (F4), month and year (F5), day
+    part (F6), weekend (F7) - in UTC, as the scripts' naive datetimes from epoch
+    milliseconds are."""
     ms = F.col(ts_col)
     d = utc_date(ms)
     h = utc_hour(ms)

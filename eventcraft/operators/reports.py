@@ -24,7 +24,8 @@ def top_features(imp: DataFrame, n: int = 20, feature: str = "feature",
 
 def wide_importance(imp: DataFrame, folds: list | None = None, feature: str = "feature",
                     value: str = "importance", fold: str = "fold") -> DataFrame:
-    """One column per fold (``fold_<k>``) plus their mean (missing folds skipped).
+    """A13 + P10: one column per fold, flattened to ``fold_<k>``, plus their mean
+    (missing folds skipped).
 
     The fold list is small (k folds); pass it to skip the distinct-value scan.
     """

@@ -50,7 +50,8 @@ def sequential_features(events: DataFrame, key: str = DEVICE) -> DataFrame:
 
 
 def clean_events(df: DataFrame, id_cols: list[str] | None = None) -> DataFrame:
-    """Median-fill ts, mode-fill ids, JSON ids with text defaults, ids as text."""
+    """Median-fill ts (M2), mode-fill ids (M3), JSON ids with text defaults (F12, M4),
+    the raw JSON column dropped (P1) and ids cast to text (P5)."""
     id_cols = [c for c in (id_cols or CATEGORY_ID_COLUMNS) if c in df.columns]
     d = fill_median(df, [TS]) if TS in df.columns else df
     d = fill_mode(d, id_cols)
