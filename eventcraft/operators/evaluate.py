@@ -142,15 +142,19 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 def fold_thresholds(df: DataFrame, label: str, score: str, fold: str = "fold") -> DataFrame:
     """V8: best-F1 threshold per fold, plus an ``OOF`` row over all rows and an
-    ``Average`` row (mean of the fold rows)."""
-    per = best_f1(df, label, score, [fold]).select(
-        F.concat(F.lit("fold_"), (F.col(fold) + 1).cast("string")).alias("fold"),
-        F.col("f1").alias("f1_score"), "threshold")
-    oof = best_f1(df, label, score).select(F.lit("OOF").alias("fold"),
-                                           F.col("f1").alias("f1_score"), "threshold")
-    avg = per.agg(F.lit("Average").alias("fold"), F.avg("f1_score").alias("f1_score"),
-                  F.avg("threshold").alias("threshold"))
-    return per.unionByName(oof).unionByName(avg)
+    ``Average`` row (mean of the fold rows).
+
+    Each row is counted once under its fold and once under ``OOF``, so all
+    curves come from one grouped pass over the source.
+    """
+    name = F.concat(F.lit("fold_"), (F.col(fold) + 1).cast("string"))
+    tagged = df.select(label, score, F.explode(F.array(name, F.lit("OOF"))).alias("__fold"))
+    b = best_f1(tagged, label, score, ["__fold"]).select(
+        F.col("__fold").alias("fold"), F.col("f1").alias("f1_score"), "threshold")
+    avg = b.where(F.col("fold") != "OOF").agg(
+        F.lit("Average").alias("fold"), F.avg("f1_score").alias("f1_score"),
+        F.avg("threshold").alias("threshold"))
+    return b.unionByName(avg)
 
 
 def log_loss(df: DataFrame, label: str, prob: str | None = None, logit: str | None = None,

@@ -32,10 +32,10 @@ def wide_importance(imp: DataFrame, folds: list | None = None, feature: str = "f
     folds = folds if folds is not None else sorted(
         r[0] for r in imp.select(fold).distinct().collect())
     per = imp.groupBy(feature, fold).agg(F.avg(value).alias("__v"))
-    wide = per.groupBy(feature).pivot(fold, folds).agg(F.first("__v"))
-    wide = wide.select(feature, *[F.col(f"`{k}`").alias(f"fold_{k}") for k in folds])
-    mean = per.groupBy(feature).agg(F.avg("__v").alias("mean"))
-    return wide.join(mean, feature)
+    # one pass: a conditional column per fold (the pivot) and the mean over folds
+    return per.groupBy(feature).agg(
+        *[F.max(F.when(F.col(fold) == F.lit(k), F.col("__v"))).alias(f"fold_{k}") for k in folds],
+        F.avg("__v").alias("mean"))
 
 
 def importance_cut(imp: DataFrame, cut: float, feature: str = "feature",
