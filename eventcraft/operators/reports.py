@@ -30,7 +30,7 @@ def wide_importance(imp: DataFrame, folds: list | None = None, feature: str = "f
     The fold list is small (k folds); pass it to skip the distinct-value scan.
     """
     folds = folds if folds is not None else sorted(
-        r[0] for r in imp.select(fold).distinct().collect())
+        r[0] for r in imp.select(fold).distinct().collect())  # k fold ids
     per = imp.groupBy(feature, fold).agg(F.avg(value).alias("__v"))
     # one pass: a conditional column per fold (the pivot) and the mean over folds
     return per.groupBy(feature).agg(
