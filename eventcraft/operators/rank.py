@@ -96,8 +96,8 @@ def hash_rank(df: DataFrame, group_cols: list[str], id_col: str, seed: int | str
               rank_col: str = "rank", digits: int = HASH_HEX_DIGITS) -> DataFrame:
     """Rank within group by ``md5(seed|id)`` (ties broken by id): a seeded shuffle.
 
-    Offsets table has at most #groups x 16**digits rows; it is broadcast only
-    when the caller's groups are few (labels, folds).
+    The offsets table has #groups x 16**digits rows at most; it is joined with
+    plain equality, and AQE broadcasts it when its measured size is small.
     """
     h = md5_key(seed, id_col)
     d = df.withColumn("__h", h)
@@ -199,11 +199,11 @@ def dense_codes(values: DataFrame, group_col: str, value_col: str,
     s = s.withColumns({"__pid": F.shiftright("__mid", 33),
                        "__pos": F.col("__mid").bitwiseAND((1 << 33) - 1)})
     # rows per (sort partition, group): bounded by #partitions x #groups
-    per = s.groupBy("__pid", group_col).agg(F.count(F.lit(1)).alias("__n"))
+    per = s.groupBy("__pid", group_col).agg(F.count(F.lit(1)).alias("__n"),
+                                            F.min("__pos").alias("__p0"))
     w_prev = (Window.partitionBy(group_col).orderBy("__pid")
               .rowsBetween(Window.unboundedPreceding, -1))
-    first = s.groupBy("__pid", group_col).agg(F.min("__pos").alias("__p0"))
-    offs = per.join(first, ["__pid", group_col]).select(
+    offs = per.select(
         "__pid", group_col, "__p0",
         F.coalesce(F.sum("__n").over(w_prev), F.lit(0)).alias("__off"))
     out = _null_safe_join(s, offs, ["__pid", group_col], broadcast_right=True)
