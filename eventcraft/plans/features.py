@@ -122,6 +122,8 @@ def sequence_model_frame(train: DataFrame, score: DataFrame | None = None,
     """
     from eventcraft.functions.jsonmap import extract_keys_default
     from eventcraft.operators.encode import UNK, encode, fit_scaler, fit_vocab, scale, vocab_sizes
+    from eventcraft.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(train.sparkSession)
     cats = categories or SEQ_MODEL_CATEGORIES
     nums = numbers or SEQ_MODEL_NUMBERS
 
@@ -130,7 +132,8 @@ def sequence_model_frame(train: DataFrame, score: DataFrame | None = None,
         d = extract_keys_default(d, "udmap", {"botId": "0", "pluginId": "0"})
         return d.join(device.device_profile(df), DEVICE, "left")
 
-    tr = prep(train)
+    # the prepared train rows feed three fits: compute them once (reliable checkpoint)
+    tr = prep(train).checkpoint(eager=True)
     # one fit for every column; eid's codes are shifted by one so 0 stays the pad
     both = fit_vocab(tr, cats + ["eid"], marker=UNK)
     vocab = both.where(F.col("column") != "eid")
@@ -139,7 +142,8 @@ def sequence_model_frame(train: DataFrame, score: DataFrame | None = None,
 
     def finish(d: DataFrame) -> DataFrame:
         d = encode(d, vocab, cats, marker=UNK)
-        d = encode(d, eid_vocab, ["eid"], marker=UNK, suffix="_code")
+        # encoded rows are read three times by the rank (hot list, counts, window)
+        d = encode(d, eid_vocab, ["eid"], marker=UNK, suffix="_code").checkpoint(eager=True)
         d = sequence.trailing_sequence(sequence.event_rank(d), "eid_code", pad=0, length=seq_len)
         return scale(d, stats, fill_zero=True)
 
