@@ -697,7 +697,8 @@ def q_net_scores(spark, sf):
     from eventcraft.plans.model import fit_with_patience, mlp_round, net_inputs, positive_score
     el = _el(spark, sf, "bad_rows")
     d = features.net_features(el.where(F.col("split") == "train"))
-    d = holdout(d, "is_new_did", 0.2, 42)
+    # the labelled feature rows feed every fit below: compute them once
+    d = holdout(d, "is_new_did", 0.2, 42).checkpoint(eager=True)
     tr, va = d.where(F.col("is_valid") == 0), d.where(F.col("is_valid") == 1)
     cats = ["mid", "device_brand", "channel", "appver", "botId", "pluginId", "hour", "dayofweek"]
     nums = ["user_total_events", "user_unique_mids", "user_unique_device_brands",
@@ -738,7 +739,7 @@ def q_score_saved(spark, sf):
     from eventcraft.plans.registry import load_state, save_state
     from eventcraft.sources.csv_io import scratch_path, write_csv
     tr, te = _model_frames(spark, sf)
-    h = holdout(tr, "is_new_did", 0.2, 42)
+    h = holdout(tr, "is_new_did", 0.2, 42).checkpoint(eager=True)  # read by fit and scoring
     fit_in = h.withColumn("__is_val", F.col("is_valid") == 1)
     m = fit_pipeline(fit_in, features.TREE_MODEL_FEATURES,
                      gbt(label="is_new_did", validation_col="__is_val", **GBT_DEMO))
