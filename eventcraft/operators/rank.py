@@ -65,7 +65,7 @@ def _group_keys(df: DataFrame, group_cols: list[str]) -> tuple[DataFrame, list[s
 
 def bucketed_rank(df: DataFrame, group_cols: list[str], bucket: Column,
                   order: list[Column], rank_col: str = "rank",
-                  offsets_broadcast: bool = False) -> DataFrame:
+                  offsets_broadcast: bool = False, with_total: bool = False) -> DataFrame:
     """1-based rank of each row within ``group_cols`` by ``order``.
 
     ``bucket`` must be monotone in ``order`` within a group and ``order``
@@ -75,7 +75,8 @@ def bucketed_rank(df: DataFrame, group_cols: list[str], bucket: Column,
     the network); their running offsets are a window over that small table.
     The join back uses plain equality on the same keys, so the big side keeps
     its partitioning. ``offsets_broadcast`` may be set only when
-    #groups x #buckets is known to be small.
+    #groups x #buckets is known to be small. ``with_total`` adds
+    ``{rank_col}_total``, the group's row count, read off the same count table.
     """
     b = "__bkt"
     d, gk = _group_keys(df.withColumn(b, bucket), group_cols)
@@ -84,7 +85,10 @@ def bucketed_rank(df: DataFrame, group_cols: list[str], bucket: Column,
     counts = d.groupBy(*gk, b).agg(F.count(F.lit(1)).alias("__n"))
     w_prev = (Window.partitionBy(*gk).orderBy(b)
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*gk, b, F.coalesce(F.sum("__n").over(w_prev), F.lit(0)).alias("__off"))
+    extra = [F.sum("__n").over(Window.partitionBy(*gk)).alias(f"{rank_col}_total")] \
+        if with_total else []
+    offsets = counts.select(*gk, b, F.coalesce(F.sum("__n").over(w_prev), F.lit(0)).alias("__off"),
+                            *extra)
     if offsets_broadcast:
         offsets = F.broadcast(offsets)
     out = ranked.join(offsets, [*gk, b])
@@ -93,7 +97,8 @@ def bucketed_rank(df: DataFrame, group_cols: list[str], bucket: Column,
 
 
 def hash_rank(df: DataFrame, group_cols: list[str], id_col: str, seed: int | str = 42,
-              rank_col: str = "rank", digits: int = HASH_HEX_DIGITS) -> DataFrame:
+              rank_col: str = "rank", digits: int = HASH_HEX_DIGITS,
+              with_total: bool = False) -> DataFrame:
     """Rank within group by ``md5(seed|id)`` (ties broken by id): a seeded shuffle.
 
     The offsets table has #groups x 16**digits rows at most; it is joined with
@@ -102,7 +107,7 @@ def hash_rank(df: DataFrame, group_cols: list[str], id_col: str, seed: int | str
     h = md5_key(seed, id_col)
     d = df.withColumn("__h", h)
     out = bucketed_rank(d, group_cols, hex_bucket(F.col("__h"), digits),
-                        [F.col("__h"), F.col(id_col)], rank_col)
+                        [F.col("__h"), F.col(id_col)], rank_col, with_total=with_total)
     return out.drop("__h")
 
 
@@ -169,7 +174,8 @@ def running_totals(df: DataFrame, key: str, value_cols: list[str], unique: bool
                   *[f"__off_{c}" for c in value_cols])
 
 
-def row_index(df: DataFrame, id_col: str, index_col: str = "row_index") -> DataFrame:
+def row_index(df: DataFrame, id_col: str, index_col: str = "row_index",
+              total_col: str | None = None) -> DataFrame:
     """0-based position of each row in ``id_col`` order (``id_col`` unique, numeric).
 
     One quantile pass for bucket edges, one shuffle into ordered buckets; all
@@ -178,8 +184,10 @@ def row_index(df: DataFrame, id_col: str, index_col: str = "row_index") -> DataF
     others = [c for c in df.columns if c != id_col]
     d = df.withColumn("__one", F.lit(1))
     t = running_totals(d, id_col, ["__one"], unique=True, materialize=False, carry=others)
-    return t.withColumn(index_col, F.col("__one_lt").cast("bigint")).drop(
-        "__one", "__one_lt", "__one_le", "__one_total")
+    t = t.withColumn(index_col, F.col("__one_lt").cast("bigint"))
+    if total_col:
+        t = t.withColumn(total_col, F.col("__one_total").cast("bigint"))
+    return t.drop("__one", "__one_lt", "__one_le", "__one_total")
 
 
 def dense_codes(values: DataFrame, group_col: str, value_col: str,

@@ -30,11 +30,10 @@ def _label_counts(df: DataFrame, groups: list[str]) -> DataFrame:
 def holdout(df: DataFrame, label: str = LABEL, frac: float = 0.2, seed: int = 42,
             id_col: str = ROW_ID, out: str = "is_valid") -> DataFrame:
     """R2: per label, the first floor(frac * n_label) rows of the seeded order are held out."""
-    r = hash_rank(df, [label], id_col, seed, "__rk")
-    cnt = F.broadcast(_label_counts(df, [label]))
-    r = r.join(cnt, label, "left")
-    return r.withColumn(out, (F.col("__rk") <= F.floor(F.col("__cnt") * frac)).cast("int")).drop(
-        "__rk", "__cnt")
+    # the label sizes come with the rank (same count table), no extra pass
+    r = hash_rank(df, [label], id_col, seed, "__rk", with_total=True)
+    return r.withColumn(out, (F.col("__rk") <= F.floor(F.col("__rk_total") * frac)).cast("int")
+                        ).drop("__rk", "__rk_total")
 
 
 def undersample(df: DataFrame, label: str = LABEL, ratio: float = 0.5, seed: int = 42,
@@ -46,16 +45,22 @@ def undersample(df: DataFrame, label: str = LABEL, ratio: float = 0.5, seed: int
     (e.g. one per fold) at once.
     """
     g = list(groups or [])
-    cnt = _label_counts(df, g + [label])
-    if g:
-        cnt = cnt.join(cnt.groupBy(*g).agg(F.min("__cnt").alias("__nmin")), g)
-    else:
-        cnt = cnt.withColumn("__nmin", F.lit(cnt.agg(F.min("__cnt")).first()[0]))
-    cnt = cnt.withColumn("__keep", F.when(F.col("__cnt") == F.col("__nmin"), F.col("__cnt"))
-                         .otherwise(F.least(F.col("__cnt"), F.floor(F.col("__nmin") / ratio))))
-    r = hash_rank(df, g + [label], id_col, seed, "__rk")
-    r = r.join(F.broadcast(cnt.select(*g, label, "__keep")), g + [label], "left")
-    return r.where(F.col("__rk") <= F.col("__keep")).drop("__rk", "__keep")
+    # one row per (group, label): a handful of rows, read once
+    counts = _label_counts(df, g + [label]).collect()
+    nmin = {}
+    for r in counts:
+        key = tuple(r[c] for c in g)
+        nmin[key] = min(nmin.get(key, r["__cnt"]), r["__cnt"])
+    keep = []
+    for r in counts:
+        m = nmin[tuple(r[c] for c in g)]
+        n = r["__cnt"]
+        keep.append((*[r[c] for c in g], r[label], n if n == m else min(n, int(m // ratio))))
+    schema = df.select(*g, label).schema.add("__keep", "long")
+    keep_df = df.sparkSession.createDataFrame(keep, schema)
+    rk = hash_rank(df, g + [label], id_col, seed, "__rk")
+    rk = rk.join(F.broadcast(keep_df), g + [label], "left")
+    return rk.where(F.col("__rk") <= F.col("__keep")).drop("__rk", "__keep")
 
 
 def class_counts(df: DataFrame, label: str = LABEL) -> DataFrame:

@@ -22,13 +22,14 @@ def assign_row_ranges(df: DataFrame, num_splits: int = 10, prefix: str = "part",
 
     The row position comes from the distributed prefix count (no one-task window).
     """
-    n = df.count()
-    size = max(1, -(-n // num_splits))
-    d = row_index(df, id_col, "__idx")
+    d = row_index(df, id_col, "__idx", total_col="__n")
+    # size = ceil(n / num_splits), from the total the prefix count already has
+    size = F.greatest(F.ceil(F.col("__n") / num_splits), F.lit(1))
     part = (F.floor(F.col("__idx") / size) + 1).cast("int")
     return d.withColumns({"part": part,
                           "part_name": F.concat(F.lit(f"{prefix}_"),
-                                                F.lpad(part.cast("string"), 2, "0"))}).drop("__idx")
+                                                F.lpad(part.cast("string"), 2, "0"))}).drop(
+        "__idx", "__n")
 
 
 def write_row_ranges(df: DataFrame, out_dir: str, num_splits: int = 10, prefix: str = "part",
