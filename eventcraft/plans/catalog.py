@@ -376,7 +376,7 @@ def q_standard_scale(spark, sf):
     """(x - mean) / population std with train statistics, zero std -> 1."""
     from eventcraft.operators.encode import fit_scaler, scale
     tr, te = _split(spark, sf)
-    cols = ["mid", "channel", "common_ts", "os_type"]
+    cols = ["mid", "channel", "os_type", "device_brand"]
     st = fit_scaler(tr, cols)
     d = scale(_el(spark, sf), st)
     return d.select("row_id", *[F.round(c, 6).alias(c) for c in cols])
@@ -558,7 +558,7 @@ def _importance_standin(spark, sf):
     li = spark.read.parquet(f"{sf}/lineitem.parquet")
     feat = F.concat(F.lit("supp_"), F.col("l_suppkey").cast("string"),
                     F.when(F.col("l_returnflag") == "R", F.lit("_encoded")).otherwise(F.lit("")))
-    return li.select(feat.alias("feature"), F.col("l_extendedprice").alias("importance"),
+    return li.select(feat.alias("feature"), F.col("l_discount").alias("importance"),
                      F.col("l_linenumber").alias("fold"))
 
 

@@ -309,7 +309,7 @@ SELECT "column" AS column_name, count(*) AS n_categories,
 FROM vc GROUP BY 1
 """
 
-_SCALE_COLS = ["mid", "channel", "common_ts", "os_type"]
+_SCALE_COLS = ["mid", "channel", "os_type", "device_brand"]
 SQL["standard_scale"] = f"""{EL},
 s AS (SELECT {', '.join(f"avg({c}) AS m_{c}, coalesce(nullif(stddev_pop({c}), 0), 1) AS s_{c}"
                         for c in _SCALE_COLS)}
@@ -516,7 +516,7 @@ SELECT round(avg(score), 6) AS mean_score, round(stddev_pop(score), 6) AS std_sc
 
 IMP = """WITH imp AS (
   SELECT 'supp_' || CAST(l_suppkey AS VARCHAR) || CASE WHEN l_returnflag = 'R' THEN '_encoded'
-         ELSE '' END AS feature, l_extendedprice AS importance, l_linenumber AS fold
+         ELSE '' END AS feature, l_discount AS importance, l_linenumber AS fold
   FROM lineitem)"""
 
 SQL["mean_importance"] = f"""{IMP}
