@@ -47,7 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     The cluster's own ``spark.checkpoint.dir`` always wins. The fallback is
     meant for single-machine tests only.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's setting applies
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
