@@ -37,6 +37,17 @@ def read_events_csv(spark: SparkSession, path: str, with_label: bool = True,
     return read_csv_typed(spark, path, st)
 
 
+def add_row_id(df: DataFrame, col: str = "row_id") -> DataFrame:
+    """Row identity at ingest: a unique BIGINT that increases in scan order.
+
+    Must be taken straight after the scan, before any shuffle. Within one
+    file it follows the line order (splits of a file stay in order); across
+    several files it follows Spark's split order. Carry it everywhere and sort
+    by it at the sink to restore input order.
+    """
+    return df.withColumn(col, F.monotonically_increasing_id())
+
+
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """S2 as an option: schema inference (an extra pass over the file)."""
     return spark.read.options(**CSV_OPTIONS).option("inferSchema", "true").csv(path)

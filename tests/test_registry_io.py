@@ -48,3 +48,13 @@ def test_scale_conf_and_feature_groups(spark):
     g = feature_groups(spark, {"number": ["a", "b"], "category": ["c"]})
     assert sorted(tuple(r) for r in g.collect()) == [("a", "number"), ("b", "number"),
                                                      ("c", "category")]
+
+
+def test_add_row_id_follows_line_order(spark, tmp_path):
+    from eventcraft.sources.csv_io import add_row_id
+    p = str(tmp_path / "one.csv")
+    with open(p, "w") as fh:
+        fh.write("v\n" + "".join(f"{i}\n" for i in range(500)))
+    df = add_row_id(spark.read.option("header", True).schema("v int").csv(p))
+    got = [r["v"] for r in df.orderBy("row_id").collect()]
+    assert got == list(range(500)) and df.select("row_id").distinct().count() == 500
