@@ -731,8 +731,9 @@ def q_search_best(spark, sf):
 
 @query("score_saved")
 def q_score_saved(spark, sf):
-    """S7 + S8 + L9 + V3 + P8 + J5: fit on train, pick the best-F1 threshold on a holdout,
-    save model and config, load them back and label the test rows (score > threshold)."""
+    """S7 + S8 + L9 + V3 + P7 + J5: fit on train, pick the best-F1 threshold on a holdout,
+    save model and config, load them back and label the test rows with the rule the
+    threshold was found with (score >= threshold); write the submission in input order."""
     from eventcraft.operators.evaluate import best_f1
     from eventcraft.operators.split import holdout
     from eventcraft.plans.model import fit_pipeline, gbt, positive_score, score_events
@@ -746,9 +747,10 @@ def q_score_saved(spark, sf):
     va = positive_score(m.transform(h.where(F.col("is_valid") == 1)))
     t = best_f1(va, "is_new_did", "score").first()["threshold"]
     path = scratch_path(spark, "state")
-    save_state(spark, m, {"features": features.TREE_MODEL_FEATURES, "threshold": t}, path)
+    save_state(spark, m, {"features": features.TREE_MODEL_FEATURES, "threshold": t,
+                          "inclusive": True}, path)
     m2, cfg = load_state(spark, path)
-    scored = score_events(m2, te, cfg["threshold"])
+    scored = score_events(m2, te, cfg["threshold"], cfg["inclusive"])
     # S5 + J5: the binary submission, rows in input order, header CSV in the shared folder
     write_csv(scored.orderBy("row_id").select("did", "is_new_did"), f"{path}/submission")
     return scored.orderBy("row_id")
