@@ -44,3 +44,19 @@ def test_fit_save_then_score(spark, tmp_path):
     assert {r[0] for r in scored.select("is_new_did").distinct().collect()} <= {0, 1}
     back = spark.read.option("header", True).csv(out)
     assert back.count() == n and back.columns == ["did", "is_new_did"]
+
+
+def test_union_scope_features(spark):
+    from eventcraft.operators.device import device_stats_union
+    from eventcraft.plans.features import union_tree_features
+    tr, te = _split(spark)
+    ftr, fte = union_tree_features(tr, te)
+    assert ftr.count() == tr.count() and fte.count() == te.count()
+    want = {r["did"]: (r["mid_count"], r["eid_nunique"]) for r in device_stats_union(tr, te).collect()}
+    got = {r["did"]: (r["mid_count"], r["eid_nunique"])
+           for r in ftr.select("did", "mid_count", "eid_nunique").distinct().collect()}
+    assert all(want[d] == v for d, v in got.items())
+    # counted over train and test together: the union counts are the full-table counts
+    full = {r["did"]: r["n"] for r in tr.unionByName(te).groupBy("did").count()
+            .withColumnRenamed("count", "n").collect()}
+    assert all(want[d][0] == full[d] for d in want)
