@@ -1,14 +1,17 @@
-"""Session helpers: UTC clock, AQE on, reliable checkpoint folder.
+"""Session helpers: UTC clock, AQE on, reliable checkpoint folder, package shipping.
 
 On a cluster the checkpoint folder is whatever ``spark.checkpoint.dir`` names
-(a shared file system). Only when nothing is configured - local tests - do we
-point it at a fresh folder that the caller supplies or that we create.
+(a shared file system). Only a ``local`` master, where driver and executors are
+one machine, may go without: it gets the caller's folder or one below the
+session's warehouse folder.
 """
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -44,8 +47,10 @@ def build_session(master: str | None = None, app: str = "eventcraft",
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the reliable checkpoint folder, setting one only if none is set.
 
-    The cluster's own ``spark.checkpoint.dir`` always wins. The fallback is
-    meant for single-machine tests only.
+    The cluster's own ``spark.checkpoint.dir`` always wins. Without it, only a
+    ``local`` master is given a folder (``fallback``, the environment's
+    EVENTCRAFT_CHECKPOINT_DIR, or one in the warehouse folder); any other
+    master raises, since a folder of one machine is not shared.
     """
     try:
         sc = spark.sparkContext
@@ -56,15 +61,33 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    path = fallback or os.environ.get("EVENTCRAFT_CHECKPOINT_DIR") or tempfile.mkdtemp(
-        prefix="eventcraft-ckpt-")
-    sc.setCheckpointDir(path)
+    if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               "executors share")
+        configured = (fallback or os.environ.get("EVENTCRAFT_CHECKPOINT_DIR")
+                      or f"{spark.conf.get('spark.sql.warehouse.dir')}/eventcraft-checkpoints")
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python workers (once per context)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_eventcraft_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, f"{root.name}/{p.relative_to(root)}")
+    # the driver's own temporary folder; Spark serves the file to the executors
+    path = Path(sc._temp_dir) / "eventcraft.zip"
+    path.write_bytes(data.getvalue())
+    sc.addPyFile(str(path))
+    sc._eventcraft_shipped = True
+
+
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Settings for a large run, derived from the input size and the cluster's cores.
 
