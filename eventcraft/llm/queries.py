@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventcraft.llm import tokens
+from eventcraft.llm import packing, tokens
 from eventcraft.llm.common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +26,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens.write_tokens(table(spark, sf_dir, "documents"), path)
     back = tokens.read_tokens(spark, path)
     return tokens.list_crc32(back, "tokens", "ids_crc32")
+
+
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack all documents into windows of 4096 ids; the digest of each piece's ids."""
+    p = packing.pack(table(spark, sf_dir, "documents"))
+    return p.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                    "sequence_id", "offset")
