@@ -132,37 +132,134 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return mix64(np.add.reduceat(chars, first) + length.astype(np.uint64) * _MULT)
 
 
-def connected(vertices: DataFrame, edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """(id, component): the smallest id reachable from each id over ``edges`` (a, b).
+#: a group with more rows than this (or than a 50,000th of the table) is joined by broadcast
+HOT_ROWS = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], count: str,
+                total: int) -> DataFrame:
+    """``rows`` joined to one row per group, whose hot keys never meet in one task.
+
+    ``groups`` holds each key once with the number of its rows in ``count``.
+    At most 50,000 groups can have more than a 50,000th of all ``total`` rows, so
+    those are broadcast; the rest, none of them large, join by a shuffle.
+    """
+    limit = max(HOT_ROWS, total // 50_000)
+    hot = groups.where(F.col(count) > limit)
+    names = [c for c in rows.columns if c not in keys] + [
+        c for c in groups.columns if c not in keys]
+    by_hot = rows.join(F.broadcast(hot), keys)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(
+        groups.where(F.col(count) <= limit), keys)
+    return by_hot.select(*keys, *names).unionByName(rest.select(*keys, *names))
+
+
+def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
+    """(id, component): the smallest id reachable from each id that has an edge (a, b).
 
     Alternates two steps until nothing changes: every vertex links its larger
     neighbours to the smallest id it sees, then its smaller neighbours
-    likewise. The edge list never grows, each round is written with
-    ``checkpoint()``, and a star with a hub of any degree stays a plain
-    aggregation by vertex. Ids without an edge are their own component.
+    likewise. The edge list never grows, each round is cut with
+    ``checkpoint()``, and a vertex of any degree is a partial aggregation and a
+    split join, never one task's work.
     """
     ensure_checkpoint_dir(edges.sparkSession)
     e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where(
         "a <> b").distinct().checkpoint()
-    seen = None
+
+    def mark() -> tuple:
+        return tuple(e.agg(F.count(F.lit(1)), F.sum(
+            F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+    seen = mark()
     for _ in range(rounds):
+        if not seen[0]:
+            break
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(
-            F.col("a").alias("v"), F.least("a", "m").alias("m"))
-        large = both.join(low, both["a"] == low["v"]).where(F.col("b") > F.col("a")).select(
-            F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        low2 = large.groupBy("a").agg(F.min("b").alias("m")).select(
-            F.col("a").alias("v"), "m")
-        near = large.join(low2, large["a"] == low2["v"])
-        e = near.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b"))
-                        .alias("a"), F.col("m").alias("b")).where("a <> b").distinct().checkpoint()
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == seen:
+        low = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        large = join_groups(both, low, ["a"], "n", 2 * seen[0]).where("b > a").select(
+            F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct().checkpoint()
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        e = join_groups(large, low, ["a"], "n", 2 * seen[0]).select(
+            F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
+            F.col("m").alias("b")).distinct().checkpoint()
+        if (now := mark()) == seen:
             break
         seen = now
     else:
         raise RuntimeError("components did not settle")
-    roots = e.groupBy("a").agg(F.min("b").alias("__root"))
-    v = vertices.select("id")
-    return v.join(roots, v["id"] == roots["a"], "left").select(
-        "id", F.coalesce("__root", "id").alias("component"))
+    return e.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
+        e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+
+
+class Forest:
+    """Union-find over small indices; the least index is the root."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def root(self, x: int) -> int:
+        up = self.up
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        if x == y:
+            return False
+        self.up[max(x, y)] = min(x, y)
+        return True
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Tables that hold whole groups of the first ``keys`` columns, from sorted Arrow batches."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        n = b.num_rows
+        same = np.ones(n - 1, dtype=bool)
+        for k in range(keys):
+            v = b.column(k).to_numpy(zero_copy_only=False)
+            same &= v[1:] == v[:-1]
+        cuts = np.flatnonzero(~same)
+        if held and any(held[-1].column(k)[-1] != b.column(k)[0] for k in range(keys)):
+            yield pa.Table.from_batches(held)
+            held = []
+        if len(cuts):
+            at = int(cuts[-1]) + 1
+            yield pa.Table.from_batches([*held, b.slice(0, at)])
+            held = [b.slice(at)]
+        else:
+            held.append(b)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def runs(table: pa.Table, keys: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the groups of the first ``keys`` columns."""
+    n = table.num_rows
+    new = np.zeros(n, dtype=bool)
+    new[0] = True
+    for k in range(keys):
+        v = table.column(k).to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    starts = np.flatnonzero(new)
+    return starts, np.append(starts[1:], n)
+
+
+def block_pairs(df: DataFrame, blocks: str, salt: Column) -> DataFrame:
+    """Deal each row to its block's pairs: columns i <= j, and ``side`` 1 for the later block.
+
+    ``blocks`` names the group's number of blocks (1: the row is dealt once).
+    Every two rows of a group meet in exactly one (i, j), whose size is that of
+    two blocks at most, however large the group is.
+    """
+    own = F.pmod(salt, F.col(blocks)).cast("int")
+    d = df.withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), (F.col(blocks) - 1).cast("int"))))
+    return d.withColumns({
+        "i": F.least("own", "other"), "j": F.greatest("own", "other"),
+        "side": (F.col("own") > F.col("other")).cast("int")}).drop("own", "other")

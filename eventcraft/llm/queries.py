@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventcraft.llm import packing, tokens
+from eventcraft.llm import minhash, packing, tokens
 from eventcraft.llm.common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,9 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = packing.pack(table(spark, sf_dir, "documents"))
     return p.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                     "sequence_id", "offset")
+
+
+@query
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents at a shingle similarity of 0.85."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
