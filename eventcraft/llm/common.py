@@ -35,9 +35,9 @@ def write_table(df: DataFrame, name: str, **options: str) -> DataFrame:
 
 
 def fold(col: Column | str, parts: int) -> Column:
-    """crc32 of the id as text, modulo ``parts``; null for a null id."""
+    """crc32 of the id as text, modulo ``parts``; a null id counts as empty text."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.crc32(c.cast("string").cast("binary")) % F.lit(parts)
+    return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % F.lit(parts)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: int = 1,

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventcraft.llm import minhash, packing, tokens
-from eventcraft.llm.common import shared_path, table
+from eventcraft.llm import langid, minhash, packing, tokens
+from eventcraft.llm.common import fold, shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -40,3 +40,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents at a shingle similarity of 0.85."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three of four folds."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 4) == 2
+    model = langid.train(docs.where(~held_out))
+    out = docs.select("doc_id", held_out.alias("held_out"),
+                      langid.predict(model, spark, F.col("text")).alias("p"))
+    return out.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")
