@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventcraft.llm import langid, minhash, packing, tokens
+from eventcraft.llm import embed, langid, minhash, packing, tokens, topk
 from eventcraft.llm.common import fold, shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,79 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = docs.select("doc_id", held_out.alias("held_out"),
                       langid.predict(model, spark, F.col("text")).alias("p"))
     return out.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")
+
+
+@query
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.98 inside their label."""
+    return embed.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best inner products of every 50th vector against all others."""
+    v = table(spark, sf_dir, "embeddings").where(topk.usable(F.col("embedding"))).select(
+        "vec_id", topk.quantised(F.col("embedding")).alias("vector"))
+    return topk.top_k(v, v.where("vec_id % 50 = 0"), 5)
+
+
+SQL["op2_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (
+  SELECT DISTINCT a AS id, a AS other FROM l
+  UNION SELECT r.id, l.b FROM r JOIN l ON r.other = l.a),
+c AS (SELECT id, min(other) AS component FROM r GROUP BY id),
+n AS (SELECT a AS id, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, COALESCE(n.n, 0) AS n_links, COALESCE(c.component, e.vec_id) AS component_id,
+  e.vec_id = COALESCE(c.component, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN n ON n.id = e.vec_id LEFT JOIN c ON c.id = e.vec_id
+"""
+
+SQL["op6_minhash"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END
+  ) AS shingle FROM w),
+z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT a, b FROM p JOIN z i ON i.doc_id = a JOIN z j ON j.doc_id = b
+  WHERE 100 * common >= 85 * (i.n + j.n - common)),
+r AS (
+  SELECT DISTINCT a AS id, a AS other FROM l
+  UNION SELECT r.id, l.b FROM r JOIN l ON r.other = l.a),
+c AS (SELECT id, min(other) AS component FROM r GROUP BY id)
+SELECT w.doc_id, COALESCE(z.n, 0) AS n_shingles,
+  COALESCE(c.component, w.doc_id) AS component_id,
+  w.doc_id = COALESCE(c.component, w.doc_id) AS kept
+FROM w LEFT JOIN z ON z.doc_id = w.doc_id LEFT JOIN c ON c.id = w.doc_id
+"""
+
+SQL["op9_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(COALESCE(list_sum(list_transform(
+    list_zip(q.e, c.e), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM o WHERE rank <= 5
+"""
