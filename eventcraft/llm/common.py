@@ -263,3 +263,31 @@ def block_pairs(df: DataFrame, blocks: str, salt: Column) -> DataFrame:
     return d.withColumns({
         "i": F.least("own", "other"), "j": F.greatest("own", "other"),
         "side": (F.col("own") > F.col("other")).cast("int")}).drop("own", "other")
+
+
+class Recent:
+    """A bounded cache of two generations: what is in use moves on, the rest is dropped."""
+
+    def __init__(self, limit: int, longest: int = 128):
+        self.limit, self.longest = limit, longest
+        self.now: dict = {}
+        self.before: dict = {}
+        self.long: list = []
+
+    def fill(self, keys: list[str], make) -> dict:
+        """The current generation, with every one of ``keys`` in it until the next call."""
+        now = self.now
+        if len(now) > self.limit:
+            self.before, self.now = now, {}
+            now = self.now
+        for k in self.long:
+            now.pop(k, None)
+            self.before.pop(k, None)
+        self.long = []
+        for k in set(keys).difference(now):
+            if (v := self.before.get(k)) is None:
+                v = make(k)
+                if len(k) > self.longest:
+                    self.long.append(k)
+            now[k] = v
+        return now

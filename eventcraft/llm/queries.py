@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventcraft.llm import embed, langid, minhash, packing, tokens, topk
+from eventcraft.llm import embed, langid, minhash, packing, tokens, topk, wfst
 from eventcraft.llm.common import fold, shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,12 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(v, v.where("vec_id % 50 = 0"), 5)
 
 
+@query
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document by the composed transducers, and whether they decode back."""
+    return wfst.round_trip(table(spark, sf_dir, "documents"))
+
+
 SQL["op2_embedding_dedup"] = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
