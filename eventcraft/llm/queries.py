@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventcraft.llm import embed, langid, minhash, packing, pii, secrets, tokens, topk, wfst
+from eventcraft.llm import embed, langid, maxent, minhash, packing, pii, secrets, tokens, topk, wfst
 from eventcraft.llm.common import fold, shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,6 +99,12 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.score(secrets.candidates(docs), model)
 
 
+@query
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base and maximum-entropy score of every document, learned from six folds of seven."""
+    return maxent.lm_scores(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
+
+
 @query
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: strict spans and those the trained classifier adds."""
