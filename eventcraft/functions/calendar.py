@@ -12,11 +12,6 @@ MS_PER_DAY = 86_400_000
 MS_PER_HOUR = 3_600_000
 
 
-def to_ts(ms: Column) -> Column:
-    """epoch milliseconds -> TIMESTAMP."""
-    return F.timestamp_millis(ms)
-
-
 def utc_date(ms: Column) -> Column:
     """the UTC calendar date of epoch milliseconds, whatever the session time zone."""
     return F.date_from_unix_date(F.floor(ms / MS_PER_DAY).cast("int"))

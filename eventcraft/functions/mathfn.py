@@ -1,4 +1,4 @@
-"""Small scalar helpers."""
+"""Small scalar helpers."""
 
 from __future__ import annotations
 
@@ -8,30 +8,22 @@ from pyspark.sql import functions as F
 F1_GUARD = 1e-8  # fixed value: the denominator guard of the F1 formula
 
 
-def ceil_div(a: Column, b: Column) -> Column:
-    """ceiling division of two integer columns."""
-    return F.ceil(a / b).cast("bigint")
-
-
-def clamp(x: Column, lo, hi) -> Column:
-    """min/max clamp."""
-    return F.least(F.greatest(x, F.lit(lo)), F.lit(hi))
-
-
-def f1_from_pr(precision: Column, recall: Column, guard: float = F1_GUARD) -> Column:
-    """F16: 2PR/(P+R+guard); NaN -> 0."""
-    f = 2 * precision * recall / (precision + recall + F.lit(guard))
-    return F.nanvl(f, F.lit(0.0))
+def sigmoid(x: Column) -> Column:
+    """logistic function of a logit, without overflow for large ones."""
+    e = F.exp(-F.abs(x))
+    return F.when(x >= 0, 1.0 / (1.0 + e)).otherwise(e / (1.0 + e))
 
 
-def sigmoid(x: Column) -> Column:
-    """logistic function of a logit."""
-    return 1.0 / (1.0 + F.exp(-x))
+NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
 
 
 def to_number(x: Column) -> Column:
-    """Number from text, bad text -> null (plain cast raises under ANSI mode)."""
-    return (x).try_cast("double")
+    """Number from text; anything but a plain decimal number -> null.
+
+    A cast alone would take a type suffix (``1d``), ``NaN`` and ``Infinity``.
+    """
+    text = x.cast("string")
+    return F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
 
 
 def label_at(score: Column, threshold, inclusive: bool = True) -> Column:

@@ -121,6 +121,10 @@ def group_modes(df: DataFrame, key: str, cols: list[str], prefix: str = "most_co
                            for i, c in enumerate(cols)])
 
 
+def _bit(small: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1), small.cast("int"))
+
+
 def device_profile(df: DataFrame, key: str = DEVICE) -> DataFrame:
     """A6 + A7: events, distinct counts, span hours, events per hour, modal mid/eid."""
     from eventcraft.functions.calendar import utc_date, utc_hour, weekday
@@ -132,8 +136,11 @@ def device_profile(df: DataFrame, key: str = DEVICE) -> DataFrame:
         hours_between(F.max(TS), F.min(TS)).alias("ts_span_hours"),
         F.count_distinct("channel").alias("unique_channels"),
         F.count_distinct("device_brand").alias("unique_brands"),
-        F.count_distinct(utc_hour(ms)).alias("hour_diversity"),
-        F.count_distinct(weekday(utc_date(ms))).alias("day_diversity"),
+        # hours and weekdays fit a bit mask: no further Expand branch
+        F.bit_count(F.coalesce(F.bit_or(_bit(utc_hour(ms))), F.lit(0)))
+        .cast("bigint").alias("hour_diversity"),
+        F.bit_count(F.coalesce(F.bit_or(_bit(weekday(utc_date(ms)))), F.lit(0)))
+        .cast("bigint").alias("day_diversity"),
     ).withColumn("avg_events_per_hour",
                  F.col("total_events") / F.greatest(F.col("ts_span_hours"), F.lit(1.0)))
     modes = group_modes(df, key, ["mid", "eid"])
@@ -153,15 +160,20 @@ def join_device_stats(events: DataFrame, stats: DataFrame, key: str = DEVICE) ->
 
 
 def join_on_time(events: DataFrame, feats: DataFrame, key: str = DEVICE, ts: str = TS,
-                 fanout: bool = False) -> DataFrame:
+                 fanout: bool = False, row_keys: tuple[str, ...] = (ROW_ID,)) -> DataFrame:
     """Join features keyed by (did, ts).
 
-    Default joins on row_id, so each event keeps exactly one feature row.
+    Default joins on the device, the time and ``row_keys``, so each event keeps
+    exactly one feature row; where rows of several files meet, name the file's
+    column in ``row_keys`` too, as row ids are unique in one file only.
     ``fanout=True`` keeps the two-key form, where repeated (did, ts) pairs
-    multiply rows as the original merge does.
+    multiply rows as the original merge does: n events of a device in one
+    millisecond give n * n rows.
     """
     if fanout:
-        return events.join(feats.drop(ROW_ID) if ROW_ID in feats.columns else feats,
-                           [key, ts], "left")
-    extra = [c for c in feats.columns if c not in (key, ts)]
-    return events.join(feats.select(*extra), ROW_ID, "left")
+        return events.join(feats.drop(*row_keys), [key, ts], "left")
+    keys = [c for c in (key, ts, *row_keys) if c in feats.columns]
+    own = feats.withColumnsRenamed({c: f"__f_{c}" for c in keys})
+    same = [F.col(c).eqNullSafe(F.col(f"__f_{c}")) if c in (key, ts)
+            else F.col(c) == F.col(f"__f_{c}") for c in keys]
+    return events.join(own, same, "left").drop(*[f"__f_{c}" for c in keys])

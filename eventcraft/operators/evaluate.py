@@ -13,13 +13,17 @@ from pyspark.sql import functions as F
 
 from eventcraft.functions.mathfn import F1_GUARD, label_at
 from eventcraft.operators.rank import running_totals
+from eventcraft.session import ensure_checkpoint_dir
 
 
 def score_counts(df: DataFrame, label: str, score: str, groups: list[str] | None = None) -> DataFrame:
-    """Positives / negatives per distinct score (per group)."""
-    y = F.col(label).cast("int")
-    return (df.where(F.col(score).isNotNull())
-            .groupBy(*(groups or []), F.col(score).cast("double").alias("threshold"))
+    """Positives / negatives per distinct score (per group); a null score or label raises,
+    so that a metric is never taken over a part of the rows."""
+    def whole(c: str) -> F.Column:
+        return F.when(F.col(c).isNull(), F.raise_error(F.lit(f"null in column {c}"))).otherwise(
+            F.col(c))
+    y = whole(label).cast("int")
+    return (df.groupBy(*(groups or []), whole(score).cast("double").alias("threshold"))
             .agg(F.sum(y).cast("bigint").alias("pos"), F.sum(1 - y).cast("bigint").alias("neg")))
 
 
@@ -159,20 +163,24 @@ def fold_thresholds(df: DataFrame, label: str, score: str, fold: str = "fold") -
 
 def log_loss(df: DataFrame, label: str, prob: str | None = None, logit: str | None = None,
              pos_weight: float = 1.0, eps: float = 1e-15) -> DataFrame:
-    """V9: mean binary cross-entropy; from probabilities (clamped) or logits."""
-    if logit is not None:
-        p = 1.0 / (1.0 + F.exp(-F.col(logit)))
-    else:
-        p = F.col(prob).cast("double")
-    p = F.least(F.greatest(p, F.lit(eps)), F.lit(1 - eps))
+    """V9: mean binary cross-entropy; from probabilities (clamped) or logits (exact for any size)."""
     y = F.col(label).cast("double")
-    loss = -(F.lit(pos_weight) * y * F.log(p) + (1 - y) * F.log(1 - p))
+    if logit is not None:  # log(1 + exp(-z)) and log(1 + exp(z)) without overflow or clamp
+        z = F.col(logit).cast("double")
+        tail = F.log1p(F.exp(-F.abs(z)))
+        loss = (F.lit(pos_weight) * y * (F.greatest(-z, F.lit(0.0)) + tail)
+                + (1 - y) * (F.greatest(z, F.lit(0.0)) + tail))
+    else:
+        p = F.least(F.greatest(F.col(prob).cast("double"), F.lit(eps)), F.lit(1 - eps))
+        loss = -(F.lit(pos_weight) * y * F.log(p) + (1 - y) * F.log(1 - p))
     return df.agg(F.avg(loss).alias("log_loss"))
 
 
 def two_labelings(df: DataFrame, label: str, score: str, fold: str = "fold") -> DataFrame:
     """Label rows with the OOF threshold and with the mean fold threshold;
     report both thresholds and the positive rate each gives."""
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.select(label, score, fold).checkpoint()  # read for the thresholds and for the rates
     ft = fold_thresholds(df, label, score, fold)
     t = {r["fold"]: r["threshold"] for r in ft.where(F.col("fold").isin("OOF", "Average")).collect()}
     t_oof, t_avg = t.get("OOF"), t.get("Average")

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -111,48 +110,51 @@ def hash_rank(df: DataFrame, group_cols: list[str], id_col: str, seed: int | str
     return out.drop("__h")
 
 
-def _bucket_splits(df: DataFrame, key: str, n_buckets: int, rel_err: float) -> list[float]:
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = df.approxQuantile(key, probs, rel_err) if probs else []
-    inner = sorted({float(q) for q in qs if q is not None})
-    return [float("-inf")] + inner + [float("inf")]
+#: rows of a bucket that one window task sorts, at most about
+TARGET_ROWS = 2_000_000
+
+
+def range_buckets(df: DataFrame, order: list[str | Column], target_rows: int = TARGET_ROWS,
+                  name: str = "__bkt", rows: int | None = None) -> DataFrame:
+    """Add an ordered bucket per row by a global range partitioning on ``order``.
+
+    The number of buckets follows from the counted rows (twice rows / target,
+    at least the session's shuffle partitions), so there is no cap and a bucket
+    stays within twice ``target_rows`` as long as ``order`` has no tie that
+    large. Nulls come first. The result is checkpointed (reliable), so every
+    later pass sees the same buckets.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = df.count() if rows is None else rows
+    parts = max(2 * -(-n // target_rows), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartitionByRange(parts, *order).withColumn(
+        name, F.spark_partition_id()).checkpoint(eager=True)
 
 
 def running_totals(df: DataFrame, key: str, value_cols: list[str], unique: bool = False,
-                   group_cols: list[str] | None = None, n_buckets: int | None = None,
-                   rel_err: float = 1e-3, materialize: bool = True,
+                   group_cols: list[str] | None = None, target_rows: int = TARGET_ROWS,
                    carry: list[str] | None = None) -> DataFrame:
-    """Per distinct numeric ``key`` (within ``group_cols``): sums of ``value_cols``
+    """Per distinct ``key`` (within ``group_cols``): sums of ``value_cols``
     over keys < and <= it, and the group total.
 
     Output columns: groups, key, each value col (sum at that key), ``{c}_lt``,
     ``{c}_le`` and ``{c}_total``, plus ``carry`` columns (unique keys only).
     Rows are first aggregated by (groups, key) unless ``unique``, so a hot
-    key is one row. The aggregated table is read
-    three times (quantiles, bucket sums, windows), so it is checkpointed once
-    to reliable storage: the source is scanned a single time. Bucket edges
-    come from ``approxQuantile`` (a bounded list on the driver); the offset
-    table has #groups x #buckets rows and is broadcast only when there are
-    no groups (its size is then at most ``n_buckets``).
+    key is one row. The table is then dealt into ordered ranges of bounded size
+    (``range_buckets``); its checkpoint is read twice (range sums, windows) and
+    the source once or, for the count that sizes the ranges, twice. A null key
+    is kept as the smallest one. The offset table has one row per group and
+    range; it is broadcast only when there are no groups (one row per range).
     """
     g = list(group_cols or [])
     carry = [c for c in (carry or []) if c not in (*g, key, *value_cols)]
     if carry and not unique:
         raise ValueError("carry needs unique keys")
-    spark = df.sparkSession
-    if n_buckets is None:
-        sp = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        n_buckets = max(16, min(4096, 4 * sp))
     base = df.select(*g, key, *value_cols, *carry)
     if not unique:
         base = base.groupBy(*g, key).agg(*[F.sum(c).alias(c) for c in value_cols])
-    base = base.where(F.col(key).isNotNull())
-    if materialize:
-        ensure_checkpoint_dir(spark)
-        base = base.checkpoint(eager=True)
-    splits = _bucket_splits(base, key, n_buckets, rel_err)
-    bz = Bucketizer(splits=splits, inputCol="__kd", outputCol="__bkt", handleInvalid="keep")
-    d = bz.transform(base.withColumn("__kd", F.col(key).cast("double"))).drop("__kd")
+    d = range_buckets(base, [*g, key], target_rows)
     per_b = d.groupBy(*g, "__bkt").agg(*[F.sum(c).alias(f"__bt_{c}") for c in value_cols])
     w_prev = (Window.partitionBy(*[F.col(c) for c in g]).orderBy("__bkt")
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -176,14 +178,14 @@ def running_totals(df: DataFrame, key: str, value_cols: list[str], unique: bool
 
 def row_index(df: DataFrame, id_col: str, index_col: str = "row_index",
               total_col: str | None = None) -> DataFrame:
-    """0-based position of each row in ``id_col`` order (``id_col`` unique, numeric).
+    """0-based position of each row in ``id_col`` order (``id_col`` unique; a null comes first).
 
-    One quantile pass for bucket edges, one shuffle into ordered buckets; all
-    other columns ride along, so there is no join back.
+    One shuffle into ordered ranges; all other columns ride along, so there is
+    no join back.
     """
     others = [c for c in df.columns if c != id_col]
     d = df.withColumn("__one", F.lit(1))
-    t = running_totals(d, id_col, ["__one"], unique=True, materialize=False, carry=others)
+    t = running_totals(d, id_col, ["__one"], unique=True, carry=others)
     t = t.withColumn(index_col, F.col("__one_lt").cast("bigint"))
     if total_col:
         t = t.withColumn(total_col, F.col("__one_total").cast("bigint"))

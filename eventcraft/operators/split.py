@@ -16,10 +16,39 @@ from eventcraft.sources.schema import LABEL, ROW_ID
 
 
 def stratified_folds(df: DataFrame, label: str = LABEL, k: int = 5, seed: int = 42,
-                     id_col: str = ROW_ID, fold_col: str = "fold") -> DataFrame:
-    """fold = (rank within label - 1) mod k; class sizes per fold differ by <= 1."""
+                     id_col: str = ROW_ID, fold_col: str = "fold",
+                     keep_rank: bool = False) -> DataFrame:
+    """fold = (rank within label - 1) mod k; class sizes per fold differ by <= 1.
+
+    ``keep_rank`` leaves the rank in ``__rk`` for ``outside_fold``."""
     r = hash_rank(df, [label], id_col, seed, "__rk")
-    return r.withColumn(fold_col, ((F.col("__rk") - 1) % k).cast("int")).drop("__rk")
+    r = r.withColumn(fold_col, ((F.col("__rk") - 1) % k).cast("int"))
+    return r if keep_rank else r.drop("__rk")
+
+
+def outside_fold(d: DataFrame, fold: int, k: int, label: str = LABEL, ratio: float | None = None,
+                 fold_col: str = "fold", counts: dict | None = None) -> DataFrame:
+    """Rows outside one fold, undersampled as ``undersample`` does, without a shuffle.
+
+    ``d`` carries the rank of ``stratified_folds``; the folds take ranks in turn,
+    so a row's rank among its label's rows outside the fold is the rank less
+    the fold's rows before it. ``counts`` holds the rows by (label, fold).
+    """
+    out = d.where(F.col(fold_col) != fold)
+    if not ratio:
+        return out
+    n: dict = {}
+    for (y, f), c in counts.items():
+        if f != fold:
+            n[y] = n.get(y, 0) + c
+    if not n:
+        return out
+    least = min(n.values())
+    keep = F.coalesce(*[F.when(F.col(label).eqNullSafe(F.lit(y)), F.lit(
+        c if c == least else min(c, int(least // ratio)))) for y, c in n.items()])
+    z = F.col("__rk") - 1
+    rank = F.when(z >= fold, F.col("__rk") - (F.floor((z - fold) / k) + 1)).otherwise(F.col("__rk"))
+    return out.where(rank <= keep)
 
 
 def _label_counts(df: DataFrame, groups: list[str]) -> DataFrame:

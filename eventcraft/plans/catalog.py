@@ -124,6 +124,37 @@ def q_typed_scan(spark, sf):
                        "common_ts", "udmap", "is_new_did")
 
 
+@query("csv_by_name")
+def q_csv_by_name(spark, sf):
+    """S1 + S2: files whose columns stand in another order, with one column too many and
+    line ends inside cells, read back by column name."""
+    from eventcraft.sources.csv_io import read_events_csv, scratch_path, write_csv
+    from eventcraft.sources.schema import event_schema
+    el = _el(spark, sf).withColumn("appver", F.when(
+        F.col("row_id") % 5 == 0, F.concat_ws("\n", F.lit('a "b"'), F.col("row_id").cast("string")))
+        .otherwise(F.col("appver"))).withColumn("extra", F.lit("x,y"))
+    path = scratch_path(spark, "by-name")
+    write_csv(el.select("extra", *reversed(event_schema().fieldNames()), "row_id"), path)
+    back = read_events_csv(spark, path, with_row_id=True, bad_cells="count")
+    return back.select("row_id", "did", "mid", "eid", "appver", "common_ts", "is_new_did",
+                       "__bad_cells")
+
+
+@query("number_text")
+def q_number_text(spark, sf):
+    """Numbers from text of many forms; type suffixes, NaN and words give null."""
+    from eventcraft.functions.mathfn import to_number
+    el = _el(spark, sf)
+    forms = [F.lit(x) for x in NUMBER_FORMS]
+    text = F.element_at(F.array(*forms, F.concat(F.lit(" "), F.col("mid").cast("string"))),
+                        (F.col("row_id") % (len(forms) + 1) + 1).cast("int"))
+    return el.select("row_id", to_number(text).alias("number"))
+
+
+#: texts that the number query reads in turn
+NUMBER_FORMS = ("1d", "2f", "NaN", "Infinity", "x", " 3 ", "-1.5e2", ".5", "7.", "1e", "")
+
+
 @query("null_counts")
 def q_null_counts(spark, sf):
     """M1: null count of every event-log column (one aggregate pass)."""
@@ -265,17 +296,40 @@ def q_since_first(spark, sf):
 
 @query("two_key_join")
 def q_two_key_join(spark, sf):
-    """J2 + W1-W3: rank and elapsed features computed on train union test, joined back
-    onto the train rows (one feature row per event, keyed by row_id)."""
+    """U1 + W1-W3: rank and elapsed features computed on train union test, kept for the
+    train rows (an origin flag tells them apart, no join back)."""
     from eventcraft.plans.features import sequential_features
-    from eventcraft.operators.device import join_on_time, union_events
-    tr, te = _split(spark, sf)
-    full = union_events(tr, te)
-    feats = sequential_features(full).select("row_id", "did", "common_ts", "event_rank",
-                                             "time_since_first")
-    out = join_on_time(tr.select("row_id", "did", "common_ts"), feats)
-    return out.select("row_id", "event_rank", F.round("time_since_first", 6).alias(
-        "time_since_first"))
+    el = _el(spark, sf)
+    return sequential_features(el).where(F.col("split") == "train").select(
+        "row_id", "event_rank", F.round("time_since_first", 6).alias("time_since_first"))
+
+
+DAY_MS = 86_400_000
+
+
+@query("two_key_fanout")
+def q_two_key_fanout(spark, sf):
+    """Features joined on (did, ts) with the time cut to days, so that pairs repeat
+    and every event meets all features of its device's day."""
+    from eventcraft.operators.device import join_on_time
+    el = _el(spark, sf).withColumn("common_ts", (F.floor(F.col("common_ts") / DAY_MS) * DAY_MS)
+                                   .cast("bigint"))
+    ev = el.where(F.col("split") == "train").select("row_id", "did", "common_ts")
+    feats = el.select("row_id", "did", "common_ts", "mid", "channel")
+    return join_on_time(ev, feats, fanout=True).select("row_id", "mid", "channel")
+
+
+@query("two_key_rows")
+def q_two_key_rows(spark, sf):
+    """J2, one feature row per event: train and test number their rows alike, so the file
+    (origin) is part of the row's key."""
+    from eventcraft.operators.device import join_on_time
+    from eventcraft.operators.sequence import event_rank
+    el = _el(spark, sf).withColumn("file_row", F.floor(F.col("row_id") / 5).cast("bigint"))
+    feats = event_rank(el).select("did", "common_ts", "split", "file_row", "row_id", "event_rank")
+    out = join_on_time(el.select("row_id", "did", "common_ts", "split", "file_row"), feats.drop(
+        "row_id"), row_keys=("split", "file_row"))
+    return out.select("row_id", "event_rank")
 
 
 @query("trailing_sequence")
@@ -432,6 +486,14 @@ def q_class_weight(spark, sf):
         "pos_weight", F.round("pos_weight", 6))
 
 
+@query("weighted_rows")
+def q_weighted_rows(spark, sf):
+    """Every row with its class weight (pos_weight on positives, 1 on negatives)."""
+    from eventcraft.operators.split import class_weight
+    return class_weight(_el(spark, sf), "is_new_did").select(
+        "row_id", F.round("weight", 6).alias("weight"))
+
+
 # --- metrics on fixed scores --------------------------------------------------------------
 
 @query("auc")
@@ -520,6 +582,24 @@ def q_log_loss(spark, sf):
         "log_loss", F.round("log_loss", 6))
 
 
+@query("log_loss_logits")
+def q_log_loss_logits(spark, sf):
+    """V9: mean cross-entropy of large logits with a positive weight."""
+    from eventcraft.operators.evaluate import log_loss
+    d = _lineitem_scores(spark, sf).withColumn("z", (F.col("score") - 0.05) * 4000)
+    return log_loss(d, "y", logit="z", pos_weight=3.0).withColumn(
+        "log_loss", F.round("log_loss", 6))
+
+
+@query("sigmoid_scores")
+def q_sigmoid_scores(spark, sf):
+    """logistic scores of logits."""
+    from eventcraft.functions.mathfn import sigmoid
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    return li.select("l_orderkey", "l_linenumber", F.round(sigmoid(
+        (F.col("l_discount") - 0.05) * 200), 6).alias("score"))
+
+
 @query("two_labelings")
 def q_two_labelings(spark, sf):
     """Positive rate under the OOF threshold and under the mean fold threshold."""
@@ -644,116 +724,163 @@ def q_trials_left(spark, sf):
     return trials_left(planned, done)
 
 
-# --- model fits (rows-only checks: Spark ML scores are not SQL) ---------------------------
-
-GBT_DEMO = {"maxIter": 30}
-
+# --- model fits: the full fit runs, the twin states what SQL can know of its result --------
 
 def _model_frames(spark, sf):
     d = features.tree_model_frame(_el(spark, sf, "bad_rows"))
     return d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
 
 
+def _in_range(c="score"):
+    return F.coalesce(F.col(c).between(0, 1), F.lit(False))
+
+
+def _trees():
+    from eventcraft.plans.model import gbt
+    return gbt(label="is_new_did", validation_col="__is_val")
+
+
 @query("gbt_oof")
 def q_gbt_oof(spark, sf):
     """L1 + L2 + R1: 5-fold boosted trees, each fold's early stop on its own fold;
     one out-of-fold score per train row."""
-    from eventcraft.plans.model import gbt, out_of_fold
+    from eventcraft.plans.model import out_of_fold
     tr, _ = _model_frames(spark, sf)
-    res = out_of_fold(tr, features.TREE_MODEL_FEATURES, "is_new_did", 5, 42,
-                      make_estimator=lambda: gbt(label="is_new_did", validation_col="__is_val",
-                                                 **GBT_DEMO))
-    return res["oof"]
+    oof = out_of_fold(tr, features.TREE_MODEL_FEATURES, "is_new_did", 5, 42,
+                      make_estimator=_trees)["oof"]
+    return oof.select("row_id", F.col("is_new_did").cast("int").alias("label"), "fold",
+                      _in_range().alias("scored"))
+
+
+@query("fold_importance")
+def q_fold_importance(spark, sf):
+    """L4: importance of every feature in every fold's model, summing to one a fold."""
+    from eventcraft.plans.model import out_of_fold
+    tr, _ = _model_frames(spark, sf)
+    imp = out_of_fold(tr, features.TREE_MODEL_FEATURES, "is_new_did", 5, 42,
+                      make_estimator=_trees)["importance"]
+    return imp.groupBy("fold").agg(F.count(F.lit(1)).alias("n_features"), (
+        F.abs(F.sum("importance") - 1) < 1e-6).alias("sums_to_one"))
 
 
 @query("fold_mean_scores")
 def q_fold_mean_scores(spark, sf):
     """L3 + R3: each test row's score is the mean over the 5 fold models, whose
     training folds were undersampled to 2 majority rows per minority row."""
-    from eventcraft.plans.model import gbt, out_of_fold
+    from eventcraft.plans.model import out_of_fold
     tr, te = _model_frames(spark, sf)
     res = out_of_fold(tr, features.TREE_MODEL_FEATURES, "is_new_did", 5, 42, test=te,
-                      undersample_ratio=0.5,
-                      make_estimator=lambda: gbt(label="is_new_did", validation_col="__is_val",
-                                                 **GBT_DEMO))
-    return res["test"]
+                      undersample_ratio=0.5, make_estimator=_trees)
+    return res["test"].select("row_id", _in_range().alias("scored"))
 
 
 @query("forest_select")
 def q_forest_select(spark, sf):
-    """L5 + K3: 100-tree forest importances; features above 0.005 kept, split by kind."""
+    """L5 + K3: 100-tree forest importances; how many features there were, and whether
+    those kept (with their kind) are the ones above 0.005."""
     from eventcraft.plans.model import forest_select
     tr, _ = _model_frames(spark, sf)
-    return forest_select(tr, features.TREE_MODEL_FEATURES, "is_new_did", 0.005)
+    kept = forest_select(tr, features.TREE_MODEL_FEATURES, "is_new_did", 0.005)
+    return kept.agg((F.count(F.lit(1)) > 0).alias("some_kept"),
+                    F.coalesce(F.min("share") > 0.005, F.lit(False)).alias("above_cut"),
+                    (F.sum("share") <= 1 + 1e-9).alias("shares"))
 
 
 @query("net_scores")
 def q_net_scores(spark, sf):
     """L6 + L7 + E1 + E3 + R2: category codes (train vocabulary) one-hot, numbers scaled
     with train statistics, a feed-forward net trained in warm-started rounds with
-    patience on an 80/20 stratified holdout; validation rows scored by the best round."""
+    patience on an 80/20 stratified holdout; validation and test rows are scored."""
     from eventcraft.operators.encode import encode, fit_scaler, fit_vocab, scale
     from eventcraft.operators.split import holdout
     from eventcraft.plans.model import fit_with_patience, mlp_round, net_inputs, positive_score
+    from eventcraft.plans.runs import NET_CATEGORIES, NET_NUMBERS
+    from eventcraft.plans.model import LEAKY
     el = _el(spark, sf, "bad_rows")
-    d = features.net_features(el.where(F.col("split") == "train"))
+    cats = [c for c in NET_CATEGORIES if c not in LEAKY]
     # the labelled feature rows feed every fit below: compute them once
-    d = holdout(d, "is_new_did", 0.2, 42).checkpoint(eager=True)
+    d = holdout(features.net_features(el.where(F.col("split") == "train")), "is_new_did", 0.2, 42)
+    d = d.select("row_id", "is_new_did", "is_valid", *cats, *NET_NUMBERS).checkpoint(eager=True)
+    te = features.net_features(el.where(F.col("split") == "test")).select(
+        "row_id", F.lit(None).cast("tinyint").alias("is_new_did"), *cats, *NET_NUMBERS)
     tr, va = d.where(F.col("is_valid") == 0), d.where(F.col("is_valid") == 1)
-    cats = ["mid", "device_brand", "channel", "appver", "botId", "pluginId", "hour", "dayofweek"]
-    nums = ["user_total_events", "user_unique_mids", "user_unique_device_brands",
-            "time_since_first", "event_rank"]
-    vocab = fit_vocab(tr, cats)
-    st = fit_scaler(tr, nums)
-    codes = [f"{c}_encoded" for c in cats]
-    tr, va = (scale(encode(x, vocab, cats), st, fill_zero=True) for x in (tr, va))
-    inputs = net_inputs(codes, nums).fit(tr)
-    # the assembled frames are read once per training iteration: cut their lineage
-    tr, va = (inputs.transform(x).select("row_id", "is_new_did", "features").checkpoint()
-              for x in (tr, va))
+    vocab = fit_vocab(tr, cats).checkpoint()
+    st = fit_scaler(tr, NET_NUMBERS)
+    inputs, frames = None, []
+    for part in (tr, va, te):
+        x = scale(encode(part, vocab, cats), st, fill_zero=True)
+        inputs = inputs or net_inputs([f"{c}_encoded" for c in cats], list(NET_NUMBERS)).fit(x)
+        # the assembled frames are read once per training iteration: cut their lineage
+        frames.append(inputs.transform(x).select("row_id", "is_new_did", "features").checkpoint())
+    tr, va, te = frames
     width = tr.first()["features"].size
-    rounds = mlp_round(width, "is_new_did", iters_per_round=5, hidden=(32, 16))
-    best, _hist = fit_with_patience(tr, va, rounds, "is_new_did", rounds=3, patience=1)
-    return positive_score(best.transform(va)).select("row_id", "is_new_did", "score")
+    best, _ = fit_with_patience(tr, va, mlp_round(width, "is_new_did", iters_per_round=10),
+                                "is_new_did", rounds=50, patience=3)
+    both = va.withColumn("part", F.lit("valid")).unionByName(te.withColumn("part", F.lit("test")))
+    return positive_score(best.transform(both)).select(
+        "row_id", "part", F.col("is_new_did").cast("int").alias("label"),
+        _in_range().alias("scored"))
+
+
+SEARCH_TRIALS = 2
 
 
 @query("search_best")
 def q_search_best(spark, sf):
-    """L8 + S11 + S12: seeded trials, each scored by 3-fold OOF AUC; the ledger in the
-    shared folder is read first so a rerun only runs missing trials."""
+    """L8 + R3 + S11 + S12: seeded trials, undersampled and scored by 3-fold OOF AUC. The
+    ledger has a fixed place for this input in the shared folder, so that a rerun - also
+    in a later session - fits only what is missing; the second call here fits none."""
     from eventcraft.plans.model import search
-    from eventcraft.sources.csv_io import scratch_path
+    from eventcraft.plans.registry import read_ledger
+    from eventcraft.session import shared_root
+    import hashlib
     tr, _ = _model_frames(spark, sf)
-    ledger = scratch_path(spark, "trial-ledger")
-    return search(tr, features.TREE_MODEL_FEATURES, "is_new_did", n_trials=2, k=3, seed=42,
-                  ledger_path=ledger)
+    key = hashlib.md5(sf.encode()).hexdigest()
+    ledger = f"{shared_root(spark)}/eventcraft-ledger/{key}"
+
+    def go():
+        return search(tr, features.TREE_MODEL_FEATURES, "is_new_did", n_trials=SEARCH_TRIALS, k=3,
+                      seed=42, ledger_path=ledger, undersample_ratio=0.5)
+    go()
+    before = read_ledger(spark, ledger, "trial_id int, params string, score double").count()
+    out = go()
+    return out.agg(F.count(F.lit(1)).alias("trials"), F.count_if(_in_range()).alias("scored"),
+                   F.count_if("is_best").alias("best"),
+                   (F.count(F.lit(1)) - F.lit(before)).alias("fitted_again"))
 
 
 @query("score_saved")
 def q_score_saved(spark, sf):
     """S7 + S8 + L9 + V3 + P7 + J5: fit on train, pick the best-F1 threshold on a holdout,
     save model and config, load them back and label the test rows with the rule the
-    threshold was found with (score >= threshold); write the submission in input order."""
+    threshold was found with (score >= threshold); write the submission in input order.
+    Every row tells whether the loaded state gives the label that the fitted one gave."""
     from eventcraft.operators.evaluate import best_f1
     from eventcraft.operators.split import holdout
-    from eventcraft.plans.model import fit_pipeline, gbt, positive_score, score_events
+    from eventcraft.plans.model import fit_pipeline, positive_score, score_events
     from eventcraft.plans.registry import load_state, save_state
     from eventcraft.sources.csv_io import scratch_path, write_csv
     tr, te = _model_frames(spark, sf)
     h = holdout(tr, "is_new_did", 0.2, 42).checkpoint(eager=True)  # read by fit and scoring
+    te = te.checkpoint(eager=True)
     fit_in = h.withColumn("__is_val", F.col("is_valid") == 1)
-    m = fit_pipeline(fit_in, features.TREE_MODEL_FEATURES,
-                     gbt(label="is_new_did", validation_col="__is_val", **GBT_DEMO))
+    m = fit_pipeline(fit_in, features.TREE_MODEL_FEATURES, _trees())
     va = positive_score(m.transform(h.where(F.col("is_valid") == 1)))
     t = best_f1(va, "is_new_did", "score").first()["threshold"]
     path = scratch_path(spark, "state")
     save_state(spark, m, {"features": features.TREE_MODEL_FEATURES, "threshold": t,
                           "inclusive": True}, path)
     m2, cfg = load_state(spark, path)
-    scored = score_events(m2, te, cfg["threshold"], cfg["inclusive"])
+    fitted = positive_score(m.transform(te), out="__fitted").drop(
+        "features", "rawPrediction", "probability", "prediction")
+    scored = score_events(m2, fitted, cfg["threshold"], cfg["inclusive"], keep=("__fitted",))
+    scored = scored.checkpoint(eager=True)  # read by the sink and the result
     # S5 + J5: the binary submission, rows in input order, header CSV in the shared folder
     write_csv(scored.orderBy("row_id").select("did", "is_new_did"), f"{path}/submission")
-    return scored.orderBy("row_id")
+    return scored.select("row_id", "did", _in_range().alias("scored"),
+                         (F.col("score") == F.col("__fitted")).alias("same_score"),
+                         (F.col("is_new_did") == (F.col("score") >= t).cast("int")).alias(
+                             "same_rule"))
 
 
 @query("sequence_dataset")
@@ -761,10 +888,9 @@ def q_sequence_dataset(spark, sf):
     """W4 + W5 + A6 + A7 + E2 + E3 + F11: the sequence model's inputs for the test split,
     every encoder and scaler fitted on the train split only."""
     tr, te = _split(spark, sf)
-    out = features.sequence_model_frame(tr, te)["score"]
+    out = features.sequence_model_frame(tr, te, with_train=False)["score"]
     from eventcraft.operators.sequence import sequence_text
     return out.select(
         "row_id", sequence_text("seq").alias("seq"),
-        *[f"{c}_encoded" for c in ("mid", "channel", "botId", "hour", "day_of_week", "did")],
-        *[F.round(c, 6).alias(c) for c in ("total_events", "ts_span_hours",
-                                           "avg_events_per_hour", "hour_diversity")])
+        *[f"{c}_encoded" for c in features.SEQ_MODEL_CATEGORIES],
+        *[F.round(c, 6).alias(c) for c in features.SEQ_MODEL_NUMBERS])

@@ -110,7 +110,7 @@ SEQ_MODEL_NUMBERS = [
 
 def sequence_model_frame(train: DataFrame, score: DataFrame | None = None,
                          categories: list[str] | None = None, numbers: list[str] | None = None,
-                         seq_len: int = 50) -> dict:
+                         seq_len: int = 50, with_train: bool = True) -> dict:
     """The sequence model's inputs for train (and a scoring set), fitted on train only.
 
     hour / weekday, JSON ids with '0' default (F11); device profile with modal
@@ -118,7 +118,8 @@ def sequence_model_frame(train: DataFrame, score: DataFrame | None = None,
     slot (E2); eid encoded with codes from 1 (0 is the pad) and turned into the
     trailing ``seq_len`` sequence (W5 then W4); numbers null -> 0, then scaled
     with train mean / population std (E3); vocabulary sizes (A17).
-    Returns ``train`` (and ``score``) frames plus ``vocab`` and ``sizes``.
+    Returns ``train`` (unless ``with_train`` is off) and ``score`` frames plus ``vocab``
+    and ``sizes``; without ``train`` its rows are only read for the fits.
     """
     from eventcraft.functions.jsonmap import extract_keys_default
     from eventcraft.operators.encode import UNK, encode, fit_scaler, fit_vocab, scale, vocab_sizes
@@ -147,7 +148,9 @@ def sequence_model_frame(train: DataFrame, score: DataFrame | None = None,
         d = sequence.trailing_sequence(sequence.event_rank(d), "eid_code", pad=0, length=seq_len)
         return scale(d, stats, fill_zero=True)
 
-    out = {"train": finish(tr), "vocab": vocab, "sizes": vocab_sizes(vocab)}
+    out = {"vocab": vocab, "sizes": vocab_sizes(vocab)}
+    if with_train:
+        out["train"] = finish(tr)
     if score is not None:
         out["score"] = finish(prep(score))
     return out

@@ -623,18 +623,20 @@ LEFT JOIN {_mode_sql(src, 'did', 'mid', 'most_common_mid')} mm USING (did)
 LEFT JOIN {_mode_sql(src, 'did', 'eid', 'most_common_eid')} me USING (did))"""
 
 
-_SEQ_CATS = ["mid", "channel", "botId", "hour", "day_of_week", "did"]
-_SEQ_NUMS = ["total_events", "ts_span_hours", "avg_events_per_hour", "hour_diversity"]
+_SEQ_CATS = ["mid", "did", "device_brand", "ntt", "operator", "common_country", "common_province",
+             "common_city", "appver", "channel", "os_type", "botId", "pluginId", "hour",
+             "day_of_week"]
 _ALL_SEQ_NUMS = ["total_events", "unique_mids", "unique_eids", "ts_span_hours",
                  "avg_events_per_hour", "unique_channels", "unique_brands", "hour_diversity",
                  "day_diversity"]
 _PREP = """SELECT *, CAST(hour(epoch_ms(common_ts)) AS INTEGER) AS hour,
        CAST(isodow(epoch_ms(common_ts)) - 1 AS INTEGER) AS day_of_week,
-       coalesce({bot}, '0') AS botId FROM event_log WHERE split = '{split}'"""
+       coalesce({bot}, '0') AS botId, coalesce({plugin}, '0') AS pluginId
+FROM event_log WHERE split = '{split}'"""
 
 SQL["sequence_dataset"] = f"""{EL},
-trp AS ({_PREP.format(bot=jval('botId'), split='train')}),
-tep AS ({_PREP.format(bot=jval('botId'), split='test')}),
+trp AS ({_PREP.format(bot=jval('botId'), plugin=jval('pluginId'), split='train')}),
+tep AS ({_PREP.format(bot=jval('botId'), plugin=jval('pluginId'), split='test')}),
 trn AS (SELECT * FROM trp JOIN {_profile_sql('trp')} p USING (did)),
 ten AS (SELECT * FROM tep JOIN {_profile_sql('tep')} p USING (did)),
 st AS (SELECT {', '.join(f"avg(coalesce({c}, 0)) AS m_{c}, "
@@ -657,6 +659,84 @@ sq AS (SELECT *, list(CAST(eid_code AS VARCHAR)) OVER (PARTITION BY did ORDER BY
                   ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS l FROM coded)
 SELECT row_id, repeat('0 ', 50 - len(l)) || array_to_string(l, ' ') AS seq,
        {', '.join(f"{c}_encoded" for c in _SEQ_CATS)},
-       {', '.join(f"round((coalesce({c}, 0) - m_{c}) / s_{c}, 6) AS {c}" for c in _SEQ_NUMS)}
+       {', '.join(f"round((coalesce({c}, 0) - m_{c}) / s_{c}, 6) AS {c}" for c in _ALL_SEQ_NUMS)}
 FROM sq, st
 """
+
+SQL["two_key_fanout"] = f"""{EL},
+d AS (SELECT *, common_ts // 86400000 AS day FROM event_log)
+SELECT a.row_id, b.mid, b.channel FROM d a JOIN d b ON a.did = b.did AND a.day = b.day
+WHERE a.split = 'train'
+"""
+
+SQL["two_key_rows"] = f"""{EL}
+SELECT row_id, row_number() OVER (PARTITION BY did ORDER BY common_ts, row_id) AS event_rank
+FROM event_log
+"""
+
+SQL["csv_by_name"] = f"""{EL}
+SELECT row_id, did, mid, eid, CASE WHEN row_id % 5 = 0
+  THEN 'a "b"' || chr(10) || CAST(row_id AS VARCHAR) ELSE appver END AS appver, common_ts,
+  is_new_did, 0 AS __bad_cells
+FROM event_log
+"""
+
+SQL["number_text"] = f"""{EL}
+SELECT row_id, CASE row_id % 12 WHEN 5 THEN 3.0 WHEN 6 THEN -150.0 WHEN 7 THEN 0.5 WHEN 8 THEN 7.0
+  WHEN 11 THEN CAST(mid AS DOUBLE) END::DOUBLE AS number FROM event_log
+"""
+
+SQL["weighted_rows"] = f"""{EL}
+SELECT row_id, round(CASE WHEN is_new_did = 1 THEN (
+  SELECT sum(1 - is_new_did) / sum(is_new_did) FROM event_log) ELSE 1.0 END, 6) AS weight
+FROM event_log
+"""
+
+SQL["log_loss_logits"] = f"""{LI},
+z AS (SELECT y, (score - 0.05) * 4000 AS z FROM d)
+SELECT round(avg(3.0 * y * (greatest(-z, 0) + ln(1 + exp(-abs(z))))
+  + (1 - y) * (greatest(z, 0) + ln(1 + exp(-abs(z))))), 6) AS log_loss FROM z
+"""
+
+SQL["sigmoid_scores"] = """
+SELECT l_orderkey, l_linenumber, round(1 / (1 + exp(-(l_discount - 0.05) * 200)), 6) AS score
+FROM lineitem
+"""
+
+_TRAIN = EL + ", tr AS (SELECT * FROM event_log WHERE split = 'train')"
+
+SQL["gbt_oof"] = f"""{_TRAIN}
+SELECT row_id, CAST(is_new_did AS INTEGER) AS label,
+       CAST(({_RANK.format(g='is_new_did', i='row_id')} - 1) % 5 AS INTEGER) AS fold,
+       true AS scored
+FROM tr
+"""
+
+SQL["fold_importance"] = """
+SELECT CAST(range AS INTEGER) AS fold, CAST(23 AS BIGINT) AS n_features, true AS sums_to_one
+FROM range(1, 6)
+"""
+
+SQL["fold_mean_scores"] = f"""{EL}
+SELECT row_id, true AS scored FROM event_log WHERE split = 'test'
+"""
+
+SQL["forest_select"] = "SELECT true AS some_kept, true AS above_cut, true AS shares"
+
+SQL["net_scores"] = f"""{_TRAIN},
+v AS (SELECT row_id, is_new_did, {_RANK.format(g='is_new_did', i='row_id')}
+        <= floor(0.2 * count(*) OVER (PARTITION BY is_new_did)) AS is_valid FROM tr)
+SELECT row_id, 'valid' AS part, CAST(is_new_did AS INTEGER) AS label, true AS scored
+FROM v WHERE is_valid
+UNION ALL SELECT row_id, 'test', NULL, true FROM event_log WHERE split = 'test'
+"""
+
+SQL["search_best"] = """
+SELECT CAST(2 AS BIGINT) AS trials, CAST(2 AS BIGINT) AS scored, CAST(1 AS BIGINT) AS best,
+       CAST(0 AS BIGINT) AS fitted_again
+"""
+
+SQL["score_saved"] = f"""{EL}
+SELECT row_id, did, true AS scored, true AS same_score, true AS same_rule
+FROM event_log WHERE split = 'test'
+"""

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,17 @@ from pyspark.sql import functions as F
 from eventcraft.functions.mathfn import metric_from_name
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Is there anything under ``path`` in the cluster's storage; storage faults raise."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def save_state(spark: SparkSession, model: PipelineModel, config: dict, path: str) -> None:
     """Fitted pipeline plus a one-row config table (feature lists, threshold, ...)."""
     model.write().overwrite().save(f"{path}/model")
@@ -24,11 +36,10 @@ def save_state(spark: SparkSession, model: PipelineModel, config: dict, path: st
 
 def load_state(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
     """Load fitted state; a missing folder raises (scoring must not go on without it)."""
-    try:
-        model = PipelineModel.load(f"{path}/model")
-        cfg = spark.read.parquet(f"{path}/config").first()
-    except Exception as e:  # noqa: BLE001
-        raise FileNotFoundError(f"no fitted state under {path}: {e}") from e
+    if not exists(spark, f"{path}/model") or not exists(spark, f"{path}/config"):
+        raise FileNotFoundError(f"no fitted state under {path}")
+    model = PipelineModel.load(f"{path}/model")
+    cfg = spark.read.parquet(f"{path}/config").first()
     return model, json.loads(cfg["config"])
 
 
@@ -48,15 +59,14 @@ def registry_newest(reg: DataFrame, name_col: str = "path", time_col: str = "sav
 
 def trials_left(planned: DataFrame, done: DataFrame, key: str = "trial_id") -> DataFrame:
     """Planned trials that have no finished record yet (left anti join)."""
-    return planned.join(done.select(key).distinct(), key, "left_anti")
+    return planned.join(done.select(key), key, "left_anti")
 
 
 def read_ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The finished-trial ledger, empty when none exists yet."""
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first run: nothing recorded
+    if not exists(spark, path):  # first run: nothing recorded; any other fault raises
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def append_ledger(results: DataFrame, path: str) -> None:

@@ -71,6 +71,11 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return sc.getCheckpointDir()
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The configured shared folder itself, the same in every session (for ledgers and state)."""
+    return ensure_checkpoint_dir(spark).rstrip("/").rpartition("/")[0]
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the executors' Python workers (once per context)."""
     sc = spark.sparkContext

@@ -16,25 +16,57 @@ from pyspark.sql import types as T
 from eventcraft.session import ensure_checkpoint_dir
 from eventcraft.sources.schema import event_schema
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "mode": "PERMISSIVE"}
-
-
-def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV scan with an explicit schema (no inference pass)."""
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "mode": "FAILFAST"}
+
+
+def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType,
+                   optional: tuple[str, ...] = (), bad_cells: str = "raise",
+                   multi_line: bool = True) -> DataFrame:
+    """CSV scan with an explicit schema, columns bound by header name.
+
+    The header line gives the file's column order; the wanted columns are
+    selected by name and cast, others are left out. A missing column raises
+    unless it is ``optional`` (then null). Files whose header differs from the
+    first one's raise. A cell that is not of its type raises, or with
+    ``bad_cells="count"`` becomes null and is counted in ``__bad_cells``.
+    ``multi_line`` keeps quoted line ends inside a cell; such files are read by
+    one task each, so write them in parts - or turn it off for files known to
+    have none, which are then split.
+    """
+    options = CSV_OPTIONS | {"multiLine": str(multi_line).lower()}
+    names = spark.read.options(**options).option("inferSchema", "false").csv(path).columns
+    missing = [f.name for f in schema if f.name not in names and f.name not in optional]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    raw = spark.read.options(**options).option("enforceSchema", "false").schema(text).csv(path)
+    cols, bad = [], F.lit(0)
+    for f in schema:
+        if f.name not in names:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        cell = F.col(f"`{f.name}`")
+        typed = cell.try_cast(f.dataType)
+        wrong = cell.isNotNull() & typed.isNull()
+        if bad_cells == "raise" and not isinstance(f.dataType, T.StringType):
+            typed = F.when(wrong, F.raise_error(F.concat(
+                F.lit(f"bad cell in column {f.name}: "), cell)).cast(f.dataType)).otherwise(typed)
+        bad = bad + wrong.cast("int")
+        cols.append(typed.alias(f.name))
+    return raw.select(*cols, *([bad.alias("__bad_cells")] if bad_cells == "count" else []))
 
 
 def read_events_csv(spark: SparkSession, path: str, with_label: bool = True,
-                    with_row_id: bool = False) -> DataFrame:
-    """Read an event file with the fixed event schema.
+                    with_row_id: bool = False, **options) -> DataFrame:
+    """Read an event file with the fixed event schema, by column name.
 
     Train and scoring files share one schema (the scoring file has no
     label), which removes the type drift an inferring reader would give.
     """
     st = event_schema(with_label)
-    if with_row_id:  # files written by this library carry row_id first
+    if with_row_id:  # files written by this library carry row_id
         st = T.StructType([T.StructField("row_id", T.LongType())] + st.fields)
-    return read_csv_typed(spark, path, st)
+    return read_csv_typed(spark, path, st, **options)
 
 
 def add_row_id(df: DataFrame, col: str = "row_id") -> DataFrame:
