@@ -13,14 +13,10 @@ from pyspark.sql import functions as F
 
 from eventcraft.functions.calendar import hours_between, seconds_between
 from eventcraft.functions.mathfn import to_number
+from eventcraft.operators.sequence import with_first_token
 from eventcraft.sources.schema import DEVICE, LABEL, ROW_ID, TS
 
 
-def _order_key(ts: str = TS, row_id: str = ROW_ID) -> Column:
-    # time order with nulls last, row_id breaks same-millisecond ties
-    return F.struct(F.col(ts).isNull(), F.col(ts), F.col(row_id))
-
-
 def device_stats(df: DataFrame, key: str = DEVICE) -> DataFrame:
     """A1: count + distinct count of mid and eid, distinct brands, min/max ts, span seconds."""
     return df.groupBy(key).agg(
@@ -55,15 +51,13 @@ def device_first_last(df: DataFrame, key: str = DEVICE) -> DataFrame:
     ``first`` skips nulls, as the scripts' grouped ``first`` does; order ties
     fall to row_id.
     """
-    o = _order_key()
-    eid_first = F.min_by(F.col("eid"), F.struct(F.col("eid").isNull(), o))
-    return df.groupBy(key).agg(
+    per = df.groupBy(key).agg(
         F.count("mid").alias("mid_count"),
         F.count_distinct("eid").alias("eid_nunique"),
         F.min(TS).alias("common_ts_min"),   # first / last non-null time in time order
-        F.max(TS).alias("common_ts_max"),
-        eid_first.alias("first_eid"),
-    ).withColumn("ts_span", seconds_between(F.col("common_ts_max"), F.col("common_ts_min")))
+        F.max(TS).alias("common_ts_max"))
+    return with_first_token(per, df, key).withColumn(
+        "ts_span", seconds_between(F.col("common_ts_max"), F.col("common_ts_min")))
 
 
 def user_stats(df: DataFrame, key: str = DEVICE, with_span: bool = False) -> DataFrame:
