@@ -10,6 +10,10 @@ from eventcraft.functions.mathfn import strip_suffix
 ENCODED_SUFFIX = "_encoded"
 
 
+#: columns that a wide report may have
+MAX_FOLDS = 1000
+
+
 def mean_importance(imp: DataFrame, feature: str = "feature", value: str = "importance") -> DataFrame:
     """Mean importance per feature over folds."""
     return imp.groupBy(feature).agg(F.avg(value).alias("importance_mean"))
@@ -29,8 +33,10 @@ def wide_importance(imp: DataFrame, folds: list | None = None, feature: str = "f
 
     The fold list is small (k folds); pass it to skip the distinct-value scan.
     """
-    folds = folds if folds is not None else sorted(
-        r[0] for r in imp.select(fold).distinct().collect())  # k fold ids
+    if folds is None:  # k fold ids; many more would not be folds
+        folds = sorted(r[0] for r in imp.select(fold).distinct().limit(MAX_FOLDS + 1).collect())
+        if len(folds) > MAX_FOLDS:
+            raise ValueError(f"more than {MAX_FOLDS} values in {fold}")
     per = imp.groupBy(feature, fold).agg(F.avg(value).alias("__v"))
     # one pass: a conditional column per fold (the pivot) and the mean over folds
     return per.groupBy(feature).agg(
