@@ -274,6 +274,17 @@ class Recent:
         self.before: dict = {}
         self.long: list = []
 
+    def one(self, key: str, make):
+        """The value of a single key."""
+        if (v := self.now.get(key)) is None:
+            if (v := self.before.get(key)) is None:
+                v = make(key)
+            if len(key) <= self.longest:
+                if len(self.now) > self.limit:
+                    self.before, self.now = self.now, {}
+                self.now[key] = v
+        return v
+
     def fill(self, keys: list[str], make) -> dict:
         """The current generation, with every one of ``keys`` in it until the next call."""
         now = self.now

@@ -33,7 +33,7 @@ from eventcraft.llm.common import Recent, int_lists, slices
 
 SPACE = "▁"
 INFINITE = float("inf")
-CACHE_WORDS, CACHE_PAIRS = 150_000, 400_000
+CACHE_WORDS, CACHE_PAIRS = 300_000, 1_000_000
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -56,8 +56,9 @@ class Transducer:
         self.byte_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces)
                          if p.type == kinds.BYTE}
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == kinds.UNKNOWN)
-        self.longest = max(map(len, self.score))
+        self.ends = {p[i:] for p in self.score for i in range(len(p))}  # ends of pieces
         self.letters = {c for p in self.score for c in p}
+        self.pairs = {p[i:i + 2] for p in self.score for i in range(len(p) - 1)}
         if any(SPACE in p.lstrip(SPACE) for p in self.score):
             raise ValueError("a piece holds white space after a letter")
         self.lines = not any("\n" in p for p in self.score)  # a line end then stands alone
@@ -66,6 +67,7 @@ class Transducer:
         self.byte_weight = 0.0 if self.merging else 10.0 - worst
         self.follow: dict[tuple[str | None, str], bool] = {}
         self.words, self.rest = Recent(CACHE_WORDS), Recent(CACHE_WORDS // 4)
+        self.units = Recent(CACHE_WORDS)
         self.out: list[bytes] = []
         for p in model.pieces:
             self.out.append(bytes([int(p.piece[3:5], 16)]) if p.type == kinds.BYTE
@@ -102,18 +104,20 @@ class Transducer:
         cost = [0.0] + [INFINITE] * n
         last: list[str | None] = [None] * (n + 1)
         back = [0] * (n + 1)
-        weight, follow, merging = self.weight, self.follow, self.merging
+        weight, ends, follow, merging = self.weight, self.ends, self.follow, self.merging
         for t in range(1, n + 1):
             if text[t - 1] not in self.letters:  # the byte arc; nothing joins across it
                 cost[t], back[t] = cost[t - 1] + self.byte_weight, t - 1
                 continue
-            for s in range(max(0, t - self.longest), t):
+            for s in range(t - 1, -1, -1):
                 piece = text[s:t]
+                if piece not in ends:  # nothing longer ends here either
+                    break
                 if piece not in weight:
                     continue
                 if merging:  # all finite weights are equal: the first path found is the one
                     key = last[s], piece
-                    if key in follow and follow[key] or key not in follow and self.may_follow(*key):
+                    if follow[key] if key in follow else self.may_follow(*key):
                         cost[t], back[t], last[t] = cost[s], s, piece
                         break
                 elif cost[s] + weight[piece] < cost[t]:
@@ -129,9 +133,19 @@ class Transducer:
             t = back[t]
         return out[::-1]
 
-    def _ids(self, text: str) -> bytes:
+    def _path_ids(self, text: str) -> bytes:
         return array("i", self.path(text)).tobytes()
 
+    def _ids(self, text: str) -> bytes:
+        """Ids of a normalised text, cut where no piece holds the two characters side by side:
+        no path's piece crosses such a place, so the parts are independent."""
+        pairs = self.pairs
+        cuts = [i for i in range(1, len(text)) if text[i - 1:i + 1] not in pairs]
+        if not cuts:
+            return self._path_ids(text)
+        return b"".join([self.units.one(text[s:e], self._path_ids)
+                         for s, e in zip([0, *cuts], [*cuts, len(text)], strict=True)])
+
     def _word(self, word: str) -> bytes:
         return self._ids(SPACE + word)
 
