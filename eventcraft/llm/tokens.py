@@ -29,7 +29,7 @@ from eventcraft.llm.common import int_lists, slices
 
 END_ID = 2
 #: words and word parts kept by a Python worker; beyond it the cache starts again
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
 
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 _ASCII_SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
@@ -53,19 +53,21 @@ class WordIds:
         self.model = self.whole.model
         self.letters = _byte_letters()
         self.limit = cache_words
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # a lower-case part is a word too
+
+    def _keep(self, word: str, ids: bytes) -> None:
+        if len(self.words) >= self.limit:
+            self.words.clear()
+        self.words[word] = ids
 
     def _part(self, part: str) -> bytes:
         part = part.lower()
-        if (got := self.parts.get(part)) is None:
+        if (got := self.words.get(part)) is None:
             text = part if part.isascii() else part.encode().decode("latin-1").translate(
                 self.letters)
             got = np.array([t.id for t in self.model.tokenize(text)], dtype="<u4").tobytes()
             if len(part) <= 64:
-                if len(self.parts) >= self.limit:
-                    self.parts.clear()
-                self.parts[part] = got
+                self._keep(part, got)
         return got
 
     def _word(self, word: str) -> bytes:
@@ -76,9 +78,7 @@ class WordIds:
                 got = np.array(self.whole.encode(word, add_special_tokens=False).ids,
                                dtype="<u4").tobytes()
             if len(word) <= 64:
-                if len(self.words) >= self.limit:
-                    self.words.clear()
-                self.words[word] = got
+                self._keep(word, got)
         return got
 
     def ids(self, text: str | None) -> bytes:
