@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from eventcraft.session import ensure_checkpoint_dir
 
-#: bytes of text (or of values) that one step inside a task works on at once
-SLICE_BYTES = 8 << 20
+#: bytes of text (or of values) that one step inside a task works on at once; hashing needs
+#: about forty times as much for a moment
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -19,9 +19,9 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +33,9 @@ PIECE_BYTES, PART_LETTERS = 8, 24
 EM_ROUNDS = 3
 SMOOTHING = 0.02
 #: words whose scores a Python worker keeps; beyond it the cache starts again
-CACHE_WORDS = 200_000
+CACHE_WORDS = 150_000
+#: text that is split into words at once
+STEP_BYTES = 1 << 20
 UNDETERMINED = "und"
 
 _LETTERS = re.compile(rf"[^\W\d_]{{1,{PART_LETTERS}}}")
@@ -268,16 +270,22 @@ def predict(model: Model, spark, text: Column) -> Column:
     kind = T.StructType([T.StructField("lang", T.StringType()),
                          T.StructField("score", T.DoubleType())])
 
-    @F.pandas_udf(kind)
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(kind)
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = _Scorer(shared.value)
-        for s in parts:
-            lang, score = [], []
-            for k in range(0, len(s), 500):
-                a, b = scorer.score([t if isinstance(t, str) else None for t in s[k:k + 500]])
-                lang += a
-                score.append(b)
-            yield pd.DataFrame({"lang": lang,
-                                "score": np.concatenate(score) if score else np.zeros(0)})
+        for col in parts:
+            lang, score, at = [], [], 0
+            sizes = pa.compute.binary_length(col).fill_null(0).to_numpy(zero_copy_only=False)
+            ends = np.searchsorted(np.cumsum(sizes), np.arange(
+                STEP_BYTES, int(sizes.sum()) + STEP_BYTES, STEP_BYTES), side="right") + 1
+            for end in [*np.unique(np.minimum(ends, len(col))).tolist(), len(col)]:
+                if end > at:
+                    got, p = scorer.score(col.slice(at, end - at).to_pylist())
+                    lang += got
+                    score.append(p)
+                    at = end
+            yield pa.StructArray.from_arrays(
+                [pa.array(lang, pa.string()), pa.array(np.concatenate(score) if score else
+                                                       np.zeros(0))], names=["lang", "score"])
 
     return run(text.cast("string"))
