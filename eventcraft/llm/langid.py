@@ -222,9 +222,10 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                     names=["piece", "lang", "n"])
 
         got = words.mapInArrow(step, "piece bigint, lang bigint, n double").groupBy(
-            "piece", "lang").agg(F.sum("n").alias("n")).toPandas()
+            "piece", "lang").agg(F.sum("n").alias("n")).toArrow()
         table = np.zeros((size, len(langs)))
         table[got["piece"].to_numpy(), got["lang"].to_numpy()] = got["n"].to_numpy()
+        del got
         table[:-1] += SMOOTHING
         table[-1] = 0.0
         table /= table.sum(axis=0)
