@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventcraft.llm.common import write_table
 from eventcraft.llm.native import after, before, with_spans
 
 CANDIDATE = (r"(?<![A-Za-z0-9+/_-])(?:(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{12,}+|[A-Z0-9]{16,}+"
@@ -101,6 +102,7 @@ def train(findings: DataFrame, label_col: str = "is_secret", trees: int = 40, de
     d = findings.select(*FEATURES, F.col(label_col).cast("double").alias("label"),
                         F.xxhash64("doc_id", "start", "candidate").alias("h")).where(
         "label is not null")
+    d = write_table(d, "findings")  # the fit reads them several times, the texts once
     counts = {r["label"]: r["count"] for r in d.groupBy("label").count().collect()}
     total = sum(counts.values())
     if len(counts) < 2:
