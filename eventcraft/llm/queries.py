@@ -73,22 +73,41 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wfst.round_trip(table(spark, sf_dir, "documents"))
 
 
-#: the known formats that label findings of the training folds: the text before, the candidate
-LABELLED_FORMATS = (("", "AKIA[0-9A-Z]{16}"), ("token = \"", "[0-9a-f]{40}"),
-                    ("password=", "[0-9a-f]{18}"))
+#: secrets known by their own marks, in any case
+SECRET_FORMATS = (
+    "akia[0-9a-z]{16}", "asia(?=.*[0-9])[0-9a-z]{16}", "gh[opsur]_[0-9a-z]{36,}",
+    "github_pat_[0-9a-z_]{22,}", "glpat-[0-9a-z_-]{20,}", "xox[abeoprs]-[0-9a-z-]{10,}",
+    "[rs]k_(?:live|test)_[0-9a-z]{16,}", "aiza[0-9a-z_-]{35}", "npm_[0-9a-z]{36}",
+    "eyj[0-9a-z_-]{17,}")
+#: harmless without a key's name: numbers; words and short numbers joined by marks
+NUMBERS = "[0-9+/_-]+"
+WORDS = "[+/_-]*(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})(?:[+/_-]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*[+/_-]*"
+#: harmless in running text: numbered ids, UUIDs, points in time
+PROSE_IDS = ("[a-z]{1,5}[_-]?[0-9]{6,}", "[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}",
+             "[0-9]{4}-?[0-9]{2}-?[0-9]{2}t[0-9-]+z?")
+#: share of dictionary words from which a key's value without digits is a placeholder
+PLACEHOLDER = 0.75
 
 
 def labelled_findings(docs: DataFrame) -> DataFrame:
-    """Stand-in for reviewed findings: candidates of three folds in four, labelled by format."""
-    d = docs.where(fold("doc_id", 4) != 2)
-    found = secrets.candidates(d)
-    known = F.lit(False)
-    for lead, shape in LABELLED_FORMATS:
-        here = F.col("candidate").rlike(f"^{shape}$")
-        if lead:
-            here &= F.col("key_before") == 1
-        known |= here
-    return found.withColumn("is_secret", known.cast("int"))
+    """Stand-in for reviewed findings: candidates of three folds in four, labelled by what is known.
+
+    1: a format with marks of its own, or a value of letters and digits given to a
+    key's name, of any length and case. 0: a known harmless shape. All others
+    have no label, so the forest learns nothing against them.
+    """
+    found = secrets.candidates(docs.where(fold("doc_id", 4) != 2))
+    hit, key = F.col("candidate"), F.col("key_before") == 1
+    assigned = F.col("assigned") == 1
+    words, digit = hit.rlike(f"^{WORDS}$"), hit.rlike("[0-9]")
+    known = hit.rlike(f"(?i)^(?:{'|'.join(SECRET_FORMATS)})$")
+    given = key & assigned & digit & hit.rlike("[A-Za-z]") & ~words
+    plain = ~key & (hit.rlike(f"^{NUMBERS}$") | (words & ~assigned))
+    prose = ~key & ~assigned & (F.col("quoted") == 0) & hit.rlike(
+        f"(?i)^(?:{'|'.join(PROSE_IDS)})$")
+    placeholder = key & ~digit & (F.col("dictionary") >= PLACEHOLDER)
+    return found.withColumn("is_secret", F.when(known | given, 1).when(
+        plain | prose | placeholder, 0))
 
 
 @query

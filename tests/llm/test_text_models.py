@@ -124,6 +124,47 @@ def test_secret_edges(spark, ugly, empty):
     assert held.where("is_secret").count() <= held.count()
 
 
+def test_secret_labels_leave_unknown_formats_open(spark):
+    """Upper-case and unlisted formats never become harmless labels, and the forest finds them."""
+    import random
+    import string
+    r = random.Random(4)
+    text64, lower = string.ascii_letters + string.digits + "+/", "0123456789abcdef"
+
+    def value(chars, n):
+        return "a1" + "".join(r.choices(chars, k=n - 2))
+
+    kinds = {
+        "lower": (1, lambda: f'token = "{value(lower, 40)}" x'),
+        "upper": (1, lambda: f'TOKEN = "{value(lower, 40).upper()}" X'),
+        "hex32": (1, lambda: f"api_key: {value(lower, 32)}"),
+        "hex64": (1, lambda: f"SECRET={value(lower, 64)}"),
+        "base64": (1, lambda: f"password = '{value(text64, 24)}'"),
+        "own mark": (1, lambda: f"we use ghp_{value(string.ascii_letters, 36)} here"),
+        "upper mark": (1, lambda: f"WE USE AKIA{value(string.ascii_letters, 16).upper()} HERE"),
+        "unknown": (None, lambda: f"we use {value(text64[:62], 30)} here"),
+        "number": (0, lambda: f"order number {r.randint(10**15, 10**16)} was sent"),
+        "word": (0, lambda: f"THE {''.join(r.choices('AEILNORST', k=18))} WAS"),
+        "id": (0, lambda: f"see case-{r.randint(10**7, 10**8)} below"),
+        "placeholder": (0, lambda: 'password = "example_password"'),
+    }
+    names = list(kinds)
+    rows = [(k, kinds[names[k % len(names)]][1](), "src") for k in range(480)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {}
+    for x in labelled_findings(d).collect():
+        got.setdefault(names[x.doc_id % len(names)], set()).add(x.is_secret)
+    assert got == {k: {v[0]} for k, v in kinds.items()}
+    # a format that no labelled finding has
+    seen = d.where(F.col("doc_id") % len(names) != names.index("base64"))
+    model = secrets.train(labelled_findings(seen))
+    out = secrets.score(secrets.candidates(d), model).collect()
+    for name in names:
+        hits = [x.is_secret for x in out if names[x.doc_id % len(names)] == name]
+        if kinds[name][0] is not None:
+            assert np.mean([h == bool(kinds[name][0]) for h in hits]) >= 0.95, name
+
+
 def test_lm_base_score_and_gain(spark, monkeypatch):
     monkeypatch.setattr(maxent, "SLICE_TEXT", 200_000)  # several slices
     docs = table(spark, SF, "documents")
