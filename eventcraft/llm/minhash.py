@@ -1,7 +1,7 @@
 """b-bit MinHash near-duplicates of word-shingle sets, confirmed on the whole sets.
 
 1. Each document gives the distinct hashes of its 5-word shingles, 128 minima,
-   25 band keys of 5 minima each, and the low 2 bits of every minimum packed
+   band keys of up to 5 minima each, and the low 2 bits of every minimum packed
    into 32 bytes. Equal sets collapse into one class by a fingerprint.
 2. Class representatives that share a band key are compared by bit counts of
    their packed signatures; the share of equal 2-bit values, corrected for
@@ -12,8 +12,9 @@
 4. Components of confirmed links, carried back to every copy.
 
 Only spanning links leave a task, never a group's pairs. Buckets and coarse
-groups beyond a block's size are dealt out as block pairs. At a similarity of
-0.85 a pair misses all 25 bands with probability 4e-7.
+groups beyond a block's size are dealt out as block pairs. Bands follow from the
+threshold: a pair at it misses all of them with a probability of at most MISS
+(0.85: 25 bands of 5 minima, 4e-7; 0.8: 28 bands of 4, 4e-7).
 """
 
 from __future__ import annotations
@@ -41,7 +42,9 @@ from eventcraft.llm.common import (
     write_table,
 )
 
-WORDS, BANDS, ROWS, MINIMA = 5, 25, 5, 128
+WORDS, ROWS, MINIMA = 5, 5, 128
+#: a pair at the threshold shares no band at most this often
+MISS = 5e-7
 #: rows of a bucket, documents and shingles of a coarse group that meet as one block
 BUCKET_BLOCK, GROUP_BLOCK, SHINGLE_BLOCK = 2048, 512, 1 << 20
 #: ids that may be broadcast to pick the texts of coarse groups (16 bytes each)
@@ -54,6 +57,30 @@ _C = _RNG.integers(1, 1 << 63, size=max(WORDS, ROWS), dtype=np.uint64) * np.uint
 _EVEN = np.uint64(0x5555555555555555)
 
 
+def bands_for(threshold: float, miss: float = MISS) -> tuple[int, int]:
+    """Bands and minima a band, so that a pair at the threshold is missed so rarely.
+
+    The most minima a band, up to ROWS, whose bands fit in MINIMA; bands of a single
+    minimum take as many as they need.
+    """
+    for rows in range(ROWS, 0, -1):
+        same = threshold ** rows
+        bands = 1 if same >= 1 else math.ceil(math.log(miss) / math.log1p(-same))
+        if bands * rows <= MINIMA:
+            break
+    return bands, rows
+
+
+def _family(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and summands of at least MINIMA hash functions."""
+    if count <= MINIMA:
+        return _A, _B
+    rng = np.random.default_rng([20240607, 1])
+    a = rng.integers(1, 1 << 63, size=count - MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    b = rng.integers(0, 1 << 63, size=count - MINIMA, dtype=np.uint64)
+    return np.concatenate([_A, a]), np.concatenate([_B, b])
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each row of UTF-8 texts."""
     starts, ends, first = word_spans(data, offsets)
@@ -74,28 +101,29 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
+def minima(shingles: np.ndarray, count: int = MINIMA) -> np.ndarray:
     """The least value of each hash function over a shingle set."""
-    low = np.full(MINIMA, np.uint64(0xFFFFFFFFFFFFFFFF))
+    a, b = _family(count)
+    low = np.full(len(a), np.uint64(0xFFFFFFFFFFFFFFFF))
     with np.errstate(over="ignore"):
         for k in range(0, len(shingles), 1024):
-            v = shingles[k:k + 1024, None] * _A
-            v += _B
+            v = shingles[k:k + 1024, None] * a
+            v += b
             np.minimum(low, v.min(axis=0), out=low)
     return mix64(low)
 
 
 def low_bits(values: np.ndarray) -> bytes:
-    """The low two bits of each minimum, packed."""
-    two = (values & np.uint64(3)).reshape(-1, 32)
+    """The low two bits of each of the first MINIMA minima, packed."""
+    two = (values[:MINIMA] & np.uint64(3)).reshape(-1, 32)
     shift = np.arange(0, 64, 2, dtype=np.uint64)
     return np.bitwise_or.reduce(two << shift, axis=1).tobytes()
 
 
-def band_keys(values: np.ndarray) -> np.ndarray:
+def band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        rows = values[:BANDS * ROWS].reshape(BANDS, ROWS) * _C[:ROWS]
-        return mix64(rows.sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(
+        v = values[:bands * rows].reshape(bands, rows) * _C[:rows]
+        return mix64(v.sum(axis=1, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)).view(
             np.int64)
 
 
@@ -117,7 +145,8 @@ SIGNATURES = ("doc_id bigint, n_shingles bigint, print1 bigint, print2 bigint, "
 SETS = "doc_id bigint, shingles binary, low binary"
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, bands: int, rows: int, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
     """Set size, set fingerprint, band keys and packed low bits of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,8 +159,8 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     continue
                 p1.append(int(s.sum(dtype=np.uint64).view(np.int64)))
                 p2.append(int(np.bitwise_xor.reduce(mix64(s)).view(np.int64)))
-                m = minima(s)
-                keys.append(band_keys(m))
+                m = minima(s, bands * rows)
+                keys.append(band_keys(m, bands, rows))
                 low.append(low_bits(m))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(p1, pa.int64()),
@@ -243,9 +272,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     has a null component and is kept. Other columns are left out; an empty
     table gives no rows.
     """
+    if not 0 < num <= den:
+        raise ValueError("the threshold must be above 0 and at most 1")
     spark = docs.sparkSession
     least = least_estimate(num / den)
-    sig = write_table(signatures(docs, id_col, text_col), "signatures")
+    sig = write_table(signatures(docs, *bands_for(num / den), id_col, text_col), "signatures")
     real = sig.where("doc_id is not null and n_shingles > 0")
     total = sig.count()
     prints = ["print1", "print2", "n_shingles"]

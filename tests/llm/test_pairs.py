@@ -70,6 +70,20 @@ def test_minhash_equals_brute_force(spark, monkeypatch, bucket, group):
     assert got == brute(rows)
 
 
+def test_bands_follow_from_the_threshold(spark):
+    for t in (0.05, 0.3, 0.5, 0.7, 0.8, 0.85, 0.95, 1.0):
+        bands, rows = minhash.bands_for(t)
+        assert (1 - t ** rows) ** bands <= minhash.MISS
+        assert bands * rows <= minhash.MINIMA or rows == 1
+    assert minhash.bands_for(0.85) == (25, 5)
+    rows = near_texts()
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for num in (5, 50):
+        got = {r.doc_id: (r.n_shingles, r.component_id, r.kept)
+               for r in minhash.near_duplicates(d, num=num).collect()}
+        assert got == brute(rows, num)
+
+
 def test_minhash_edges(spark, ugly, empty):
     got = minhash.near_duplicates(ugly).collect()
     by = {}
