@@ -37,6 +37,8 @@ CACHE_WORDS = 150_000
 #: text that is split into words at once
 STEP_BYTES = 1 << 20
 UNDETERMINED = "und"
+#: share of clean held-out documents that the least fit may lose
+LOST = 0.001
 
 _LETTERS = re.compile(rf"[^\W\d_]{{1,{PART_LETTERS}}}")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -234,59 +236,98 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
 
 class _Scorer:
-    def __init__(self, model: Model):
-        self.model, self.own = model, pieces(model.path)
+    def __init__(self, model: Model, with_fit: bool):
+        self.model, self.own, self.with_fit = model, pieces(model.path), with_fit
         self.index: dict[str, int] = {}
-        self.rows = np.zeros((0, len(model.langs)))
-
-    def score(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        self.table = model.table
+        if with_fit:  # the background: every piece as likely as any other
+            flat = np.full((len(model.table), 1), 1 / (len(model.table) - 1))
+            flat[-1] = 0.0
+            self.table = np.concatenate([self.table, flat], axis=1)
+        self.rows = np.zeros((0, self.table.shape[1] + with_fit))
+
+    def score(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         words = [words_of(t) for t in texts]
         if len(self.index) > CACHE_WORDS:
             self.index, self.rows = {}, self.rows[:0]
         new = list({w for doc in words for w in doc if w not in self.index})
         if new and self.model.langs:
-            got = forward(self.own, self.model.table, [b" " + w.encode() for w in new])
+            coded = [b" " + w.encode() for w in new]
+            got = forward(self.own, self.table, coded)
+            if self.with_fit:
+                got = np.column_stack([got, [len(w) for w in coded]])
             self.index.update(zip(new, range(len(self.rows), len(self.rows) + len(new)),
                                   strict=True))
             self.rows = np.concatenate([self.rows, got])
         lang, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+        fit, langs = np.full(len(texts), np.nan), len(self.model.langs)
         for k, doc in enumerate(words):
             if not doc or not self.model.langs:
                 continue
             at = np.fromiter(map(self.index.__getitem__, doc), np.int64, len(doc))
             total = self.rows[at].sum(axis=0)
-            best = int(total.argmax())
+            best = int(total[:langs].argmax())
             lang[k] = self.model.langs[best]
-            score[k] = 1.0 / np.exp(total - total[best]).sum()
-        return lang, score
+            score[k] = 1.0 / np.exp(total[:langs] - total[best]).sum()
+            if self.with_fit:
+                fit[k] = (total[best] - total[langs]) / total[langs + 1]
+        return lang, score, fit
 
 
-def predict(model: Model, spark, text: Column) -> Column:
+def predict(model: Model, spark, text: Column, with_fit: bool = False) -> Column:
     """struct(lang, score) of a text column: the likeliest language and its posterior.
 
     ``und`` and 0 where the text is null, has no letter, or the model knows no
-    language; equal posteriors go to the language that sorts first.
+    language; equal posteriors go to the language that sorts first. ``with_fit``
+    adds ``fit``: by how much the log likelihood of a byte under that language is above
+    that under equally likely pieces, null where undetermined. Text of no learned
+    language is below 0.
     """
     shared = spark.sparkContext.broadcast(model)
     kind = T.StructType([T.StructField("lang", T.StringType()),
-                         T.StructField("score", T.DoubleType())])
+                         T.StructField("score", T.DoubleType())]
+                        + [T.StructField("fit", T.DoubleType())] * with_fit)
 
     @F.arrow_udf(kind)
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scorer = _Scorer(shared.value)
+        scorer = _Scorer(shared.value, with_fit)
         for col in parts:
-            lang, score, at = [], [], 0
+            lang, score, fit, at = [], [], [], 0
             sizes = pa.compute.binary_length(col).fill_null(0).to_numpy(zero_copy_only=False)
             ends = np.searchsorted(np.cumsum(sizes), np.arange(
                 STEP_BYTES, int(sizes.sum()) + STEP_BYTES, STEP_BYTES), side="right") + 1
             for end in [*np.unique(np.minimum(ends, len(col))).tolist(), len(col)]:
                 if end > at:
-                    got, p = scorer.score(col.slice(at, end - at).to_pylist())
+                    got, p, q = scorer.score(col.slice(at, end - at).to_pylist())
                     lang += got
                     score.append(p)
+                    fit.append(q)
                     at = end
-            yield pa.StructArray.from_arrays(
-                [pa.array(lang, pa.string()), pa.array(np.concatenate(score) if score else
-                                                       np.zeros(0))], names=["lang", "score"])
+            cols = [pa.array(lang, pa.string()), *(pa.array(np.concatenate(
+                x) if x else np.zeros(0), from_pandas=True) for x in (score, fit)[:1 + with_fit])]
+            yield pa.StructArray.from_arrays(cols, names=kind.names)
 
     return run(text.cast("string"))
+
+
+def least_fit(model: Model, docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
+              docs_per_lang: int = DOCS_PER_LANG, lost: float = LOST) -> float:
+    """The fit below which a text is of no learned language, from labelled rows held out of the fit.
+
+    0, where the equally likely pieces explain a text as well as any language does,
+    or less if more than ``lost`` of about ``docs_per_lang`` held-out documents of each
+    language are below it. Without any: 0.
+    """
+    d = docs.select(F.col(text_col).cast("string").alias("text"),
+                    F.col(lang_col).cast("string").alias("lang")).where(
+        "text is not null").where(F.col("lang").isin(model.langs))
+    counts = {r["lang"]: r["count"] for r in d.groupBy("lang").count().collect()}
+    if not counts:
+        return 0.0
+    share = F.create_map(*[x for g, n in counts.items() for x in (
+        F.lit(g), F.lit(min(1.0, docs_per_lang / n)))])
+    d = d.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
+    p = predict(model, docs.sparkSession, F.col("text"), with_fit=True)
+    # one use of the prediction: a filter on it would compute it a second time
+    low = d.select(p.alias("p")).agg(F.percentile("p.fit", F.lit(lost))).first()[0]
+    return min(0.0, low) if low is not None else 0.0

@@ -1,4 +1,8 @@
+import random
 import re
+import string
+
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from eventcraft.llm.common import table
@@ -50,3 +54,25 @@ def test_stages_keep_columns_and_clean_rows(spark, ugly, empty):
 
 def test_sql_twins_are_registered():
     assert {"op2_embedding_dedup", "op6_minhash", "op9_top_k"} == set(SQL)
+
+
+def test_language_rejects_what_no_language_fits(spark):
+    """Planted gibberish and unlearned languages go, every clean document stays."""
+    r = random.Random(3)
+    docs = table(spark, SF, "documents")
+    planted = [" ".join("".join(r.choices(string.ascii_lowercase, k=r.randint(3, 9)))
+                        for _ in range(n)) for n in (5, 20, 200, 2000)] + [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах",
+        "人人生而自由在尊严和权利上一律平等他们赋有理性和良心"]
+    extra = spark.createDataFrame([(10**9 + k, t) for k, t in enumerate(planted)],
+                                  "doc_id bigint, text string")
+    out = cp.language(spark, docs.unionByName(extra, allowMissingColumns=True), SF)
+    want = {x.doc_id for x in docs.collect() if re.search(r"[^\W\d_]", x.text or "")}
+    assert {x.doc_id for x in out.collect()} == want
+
+
+def test_language_without_labels_drops_texts_without_letters(spark, ugly):
+    out = cp.language(spark, ugly.withColumn("lang", F.lit(None).cast("string")), SF).collect()
+    want = [x for x in ugly.collect() if re.search(r"[^\W\d_]", x.text or "")]
+    assert len(out) == len(want) < ugly.count()
