@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventcraft.llm import embed, langid, maxent, minhash, packing, pii, secrets, tokens, topk, wfst
+from eventcraft.llm import (
+    align,
+    embed,
+    exact,
+    langid,
+    maxent,
+    minhash,
+    packing,
+    pii,
+    resample,
+    secrets,
+    tokens,
+    topk,
+    wfst,
+)
 from eventcraft.llm.common import fold, shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,6 +148,37 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_sha256"), pii.listing(F.col("pii_spans")).alias("spans"))
 
 
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal texts of all documents: one half, by the id's crc32, is the history, the rest is new."""
+    docs = table(spark, sf_dir, "documents")
+    old = fold("doc_id", 2) == 0
+    return exact.duplicates(docs.where(old), docs.where(~old))
+
+
+@query
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of all documents, drawn towards the word pairs of the benchmark texts."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between byte-level and piece tokens of all documents."""
+    return align.document_links(table(spark, sf_dir, "documents"))
+
+
+SQL["op11_exact_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, sha256(regexp_replace(COALESCE(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+  FROM documents),
+g AS (
+  SELECT *, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
+    count(*) OVER (PARTITION BY text_sha256) AS group_size FROM d)
+SELECT doc_id, keep_id, group_size, keep_id IS NULL OR COALESCE(doc_id = keep_id, false) AS kept,
+  text_sha256 FROM g
+"""
+
 SQL["op2_embedding_dedup"] = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
