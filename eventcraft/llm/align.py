@@ -40,8 +40,13 @@ CHUNK = 1 << 16
 FAN = 16
 #: links of the documents that look up their counts together
 BLOCK_LINKS = 1 << 22
-#: bytes of pairs sent in one row
+#: pairs sent in one row
 PAIR_ROW = 1 << 16
+#: bytes of text that one step aligns
+STEP_BYTES = 1 << 20
+#: bytes without a change between blanks and others from which the heap-based encoder is used:
+#: the faster one takes time in the square of such a run
+LONG_RUN = 1 << 10
 
 SPACE = "▁"
 #: a letter or digit and one of these are never in one pre-token of the byte-level side
@@ -63,12 +68,19 @@ class Tokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
         from sentencepiece import sentencepiece_model_pb2 as model_pb2
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         byte = _byte_values()
-        self.bytes_a = self._table({i: bytes(byte[c] for c in p) if all(c in byte for c in p)
-                                    else p.encode() for p, i in self.a.get_vocab().items()})
+        ranks = {bytes(byte[c] for c in p): i for p, i in self.a.get_vocab(False).items()
+                 if all(c in byte for c in p)}
+        if any(bytes([k]) not in ranks for k in range(256)):
+            raise ValueError("the A side must have a token for each byte")
+        #: the same merges by rank: ids of this kind of vocabulary ascend in merge order
+        self.fast_a = Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                               special_tokens={})
+        self.bytes_a = self._table({i: x for x, i in ranks.items()})
         with open(path_b, "rb") as file:
             model = model_pb2.ModelProto.FromString(file.read())
         spec = model.normalizer_spec
@@ -88,22 +100,35 @@ class Tokens:
             raise ValueError("ids must fit 16 bits")
         self.size_a, self.size_b = (np.array([len(x) for x in t], dtype=np.int64)
                                     for t in (self.bytes_a, self.bytes_b))
-        #: an id with the sign that follows it: comma, bar (after a group's A ids), semicolon
-        self.text = [f"{i}{c}".encode() for c in ",|;" for i in range(1 << 16)]
+        #: an id with the sign that follows it: comma, bar (after a group's A ids), semicolon;
+        #: in rows of six bytes, zeros after the sign
+        text = np.array([f"{i}{c}".encode() for c in ",|;" for i in range(1 << 16)], dtype="S6")
+        self.text = text.view(np.uint8).reshape(len(text), 6)
+        self.text_size = np.count_nonzero(self.text, axis=1)
 
     @staticmethod
     def _table(entries: dict[int, bytes]) -> list[bytes]:
         return [entries.get(i, b"") for i in range(max(entries) + 1)]
 
-    def encode(self, texts: list[str], bare: list[str] | None = None) -> tuple[list, list]:
-        """Ids of both sides; ``bare`` are the B side's texts where they differ."""
-        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        return a, self.b.encode(texts if bare is None else bare, num_threads=1)
-
-    def same(self, a: list[int], b: list[int], raw_a: bytes, raw_b: bytes) -> bool:
-        """Whether the tokens' bytes are the text's."""
-        return b"".join(map(self.bytes_a.__getitem__, a)) == raw_a and b"".join(
-            map(self.bytes_b.__getitem__, b)) == raw_b
+    def encode_a(self, texts: list[str], raw: list[bytes]) -> list[np.ndarray]:
+        """A ids; they spell the text's bytes, since every byte has a token."""
+        slow = set()
+        if texts:
+            blank = np.frombuffer(b"".join(raw), dtype=np.uint8) <= 32
+            turn = np.concatenate([[0], np.flatnonzero(blank[1:] != blank[:-1]) + 1, [len(blank)]])
+            long = np.flatnonzero(np.diff(turn) >= LONG_RUN)
+            ends = np.cumsum([len(r) for r in raw])
+            for s, e in zip(turn[long].tolist(), turn[long + 1].tolist(), strict=True):
+                slow |= set(range(*np.searchsorted(ends, [s, e - 1], side="right") + [0, 1]))
+        return [np.array(self.a.encode(t, add_special_tokens=False).ids if k in slow
+                         else self.fast_a.encode_ordinary(t), dtype=np.int64)
+                for k, t in enumerate(texts)]
+
+    def encode_b(self, texts: list[str], raw: list[bytes]) -> list[np.ndarray | None]:
+        """B ids, or none where they do not spell the text's bytes."""
+        return [np.array(ids, dtype=np.int64)
+                if b"".join(map(self.bytes_b.__getitem__, ids)) == r else None
+                for ids, r in zip(self.b.encode(texts, num_threads=1), raw, strict=True)]
 
     def cuts(self, text: str, step: int) -> tuple[list[int], list[int]]:
         """For each multiple of ``step`` the first place from there where each side may be cut."""
@@ -185,33 +210,52 @@ class Fragment:
     suffix: Open = field(default_factory=Open)
 
 
-def joined_text(own: Tokens, run: Open, common: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """Each token's id with the sign after it, in the order of the groups, and its group."""
-    group_a, group_b = np.searchsorted(common, run.a_end), np.searchsorted(common, run.b_end)
-    in_a, in_b = (np.bincount(g, minlength=len(common)) for g in (group_a, group_b))
-    place_a = np.arange(len(run.a)) + (np.cumsum(in_b) - in_b)[group_a]
-    place_b = np.arange(len(run.b)) + np.cumsum(in_a)[group_b]
-    code = np.empty(len(run.a) + len(run.b), dtype=np.int64)
-    code[place_a], code[place_b] = run.a, run.b
-    code[place_a[np.cumsum(in_a) - 1]] += 1 << 16
-    code[place_b[np.cumsum(in_b) - 1]] += 2 << 16
-    return list(map(own.text.__getitem__, code.tolist())), np.cumsum(in_a + in_b)
-
-
-def link_pairs(run: Open) -> tuple[np.ndarray, np.ndarray]:
-    """Links in byte order as a << 16 | b, and where each ends."""
-    ends = np.union1d(run.a_end, run.b_end)
-    a = run.a[np.searchsorted(run.a_end, ends)].astype(np.uint32)
-    b = run.b[np.searchsorted(run.b_end, ends)].astype(np.uint32)
-    return a << np.uint32(16) | b, ends
-
-
-def close(own: Tokens, run: Open, common: np.ndarray) -> Closed:
-    """The groups of tokens that start and end at common ends; ``common`` holds the groups' ends."""
-    if not len(common):
+class Marks:
+    """Both sides' ends on the bytes that a run of tokens covers."""
+
+    def __init__(self, run: Open):
+        self.run = run
+        self.base = int(min(run.a_end[0], run.b_end[0])) - 1
+        size = int(max(run.a_end[-1], run.b_end[-1])) - self.base + 1
+        self.a, self.b = np.zeros(size, dtype=np.int8), np.zeros(size, dtype=np.int8)
+        self.a[run.a_end - self.base] = 1
+        self.b[run.b_end - self.base] = 1
+
+    def common(self) -> np.ndarray:
+        """Ends that both sides have."""
+        return np.flatnonzero(self.a & self.b) + self.base
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """Links in byte order as a << 16 | b, and where each ends: between two ends lies one link."""
+        ends = np.flatnonzero(self.a | self.b)
+        a = self.run.a.astype(np.uint32)[np.cumsum(self.a, dtype=np.int32)[ends] - self.a[ends]]
+        b = self.run.b.astype(np.uint32)[np.cumsum(self.b, dtype=np.int32)[ends] - self.b[ends]]
+        return a << np.uint32(16) | b, ends + self.base
+
+    def text(self, own: Tokens) -> tuple[bytes, np.ndarray]:
+        """All groups' ids as text, and where each group's text ends."""
+        run, both = self.run, self.a & self.b
+        before = np.cumsum(both, dtype=np.int32) - both
+        group_a, group_b = before[run.a_end - self.base], before[run.b_end - self.base]
+        groups = int(both.sum())
+        in_a, in_b = (np.bincount(g, minlength=groups) for g in (group_a, group_b))
+        place_a = np.arange(len(run.a)) + (np.cumsum(in_b) - in_b)[group_a]
+        place_b = np.arange(len(run.b)) + np.cumsum(in_a)[group_b]
+        code = np.empty(len(run.a) + len(run.b), dtype=np.int64)
+        code[place_a], code[place_b] = run.a, run.b
+        code[place_a[np.cumsum(in_a) - 1]] += 1 << 16
+        code[place_b[np.cumsum(in_b) - 1]] += 2 << 16
+        wide = own.text[code].ravel()
+        return wide[wide > 0].tobytes(), np.cumsum(own.text_size[code])[np.cumsum(in_a + in_b) - 1]
+
+
+def close(own: Tokens, run: Open) -> Closed:
+    """The groups of tokens that start and end at common ends."""
+    if not len(run.a):
         return Closed()
-    words, _ = joined_text(own, run, common)
-    return Closed(len(common), b"".join(words)[:-1], link_pairs(run)[0].tobytes())
+    marks = Marks(run)
+    text, ends = marks.text(own)
+    return Closed(len(ends), text[:-1], marks.links()[0].tobytes())
 
 
 def fragment(own: Tokens, run: Open) -> Fragment:
@@ -220,7 +264,7 @@ def fragment(own: Tokens, run: Open) -> Fragment:
     if not len(common):
         return Fragment(False, run)
     first, last = int(common[0]), int(common[-1])
-    return Fragment(True, run.between(-1, first), close(own, run.between(first, last), common[1:]),
+    return Fragment(True, run.between(-1, first), close(own, run.between(first, last)),
                     run.between(last, 1 << 62))
 
 
@@ -236,7 +280,7 @@ def join(own: Tokens, x: Fragment, y: Fragment) -> Fragment:
         return Fragment(False, seam)
     closed, prefix = middle.closed, middle.prefix
     if x.cut:
-        closed, prefix = close(own, prefix, prefix.a_end[-1:]) + closed if middle.cut else closed, x.prefix
+        closed, prefix = close(own, prefix) + closed if middle.cut else closed, x.prefix
     return Fragment(True, prefix, x.closed + closed + y.closed,
                     y.suffix if y.cut else middle.suffix if middle.cut else seam)
 
@@ -255,27 +299,28 @@ FRAGMENTS = ("key bigint, k int, doc_id bigint, ok boolean, cut boolean, n_a big
 def _whole(own: Tokens, ids: pa.Array, texts: list[str | None]) -> pa.RecordBatch:
     """Align whole texts, all in one pass over their bytes laid end to end."""
     full = [" " + t for t in texts if t]
-    a, b = own.encode(full)
     raw = [t.encode() for t in full]
-    good = [own.same(x, y, r, r) for x, y, r in zip(a, b, raw, strict=True)]
-    rows = np.flatnonzero([bool(t) for t in texts])[np.array(good, dtype=bool)]
-    a, b, raw = ([x for x, g in zip(v, good, strict=True) if g] for v in (a, b, raw))
+    b = own.encode_b(full, raw)
+    rows = np.flatnonzero([bool(t) for t in texts])
+    good = [k for k, x in enumerate(b) if x is not None]
+    rows, raw, b = rows[good].tolist(), [raw[k] for k in good], [b[k] for k in good]
+    a = own.encode_a([full[k] for k in good], raw)
     count = np.zeros((4, len(texts)), dtype=np.int64)
     sha, links = [""] * len(texts), [b""] * len(texts)
-    if len(rows):
-        flat_a, flat_b = (np.concatenate([np.array(x, dtype=np.int64) for x in v]) for v in (a, b))
-        run = Open(flat_a, np.cumsum(own.size_a[flat_a]), flat_b, np.cumsum(own.size_b[flat_b]))
+    if rows:
+        flat_a, flat_b = np.concatenate(a), np.concatenate(b)
+        marks = Marks(Open(flat_a, np.cumsum(own.size_a[flat_a]), flat_b,
+                           np.cumsum(own.size_b[flat_b])))
         end = np.cumsum([len(r) for r in raw])
-        common = np.intersect1d(run.a_end, run.b_end, assume_unique=True)
-        pairs, pair_end = link_pairs(run)
-        words, group_end = joined_text(own, run, common)
-        groups = np.searchsorted(common, end, side="right")
+        pairs, pair_end = marks.links()
+        words, group_end = marks.text(own)
+        groups = np.searchsorted(marks.common(), end, side="right")
         word_at = [0, *group_end[groups - 1].tolist()]
         pair_at = [0, *np.searchsorted(pair_end, end, side="right").tolist()]
         count[0, rows], count[1, rows] = [len(x) for x in a], [len(x) for x in b]
         count[2, rows], count[3, rows] = np.diff(groups, prepend=0), np.diff(pair_at)
-        for k, row in enumerate(rows.tolist()):
-            sha[row] = hashlib.sha256(b"".join(words[word_at[k]:word_at[k + 1]])[:-1]).hexdigest()
+        for k, row in enumerate(rows):
+            sha[row] = hashlib.sha256(words[word_at[k]:word_at[k + 1] - 1]).hexdigest()
             links[row] = pairs[pair_at[k]:pair_at[k + 1]].tobytes()
     return pa.RecordBatch.from_arrays(
         [ids, *(pa.array(c) for c in count), pa.array(sha), pa.array(links, pa.binary())],
@@ -334,13 +379,14 @@ def _long_texts(long: DataFrame, step: int, paths: tuple) -> DataFrame:
                 r = b.slice(i, 1).to_pylist()[0]
                 text, base = r["text"], r["base"]
                 side_a, side_b = text[r["a_from"]:r["a_to"]], text[r["b_from"]:r["b_to"]]
-                a, b_ids = own.encode([side_a], [side_b])
-                run, ok = Open(), own.same(a[0], b_ids[0], side_a.encode(), side_b.encode())
+                raw_a, raw_b = side_a.encode(), side_b.encode()
+                ids_b = own.encode_b([side_b], [raw_b])[0]
+                run, ok = Open(), ids_b is not None
                 if ok:
-                    ids_a, ids_b = (np.array(x[0], dtype=np.int64) for x in (a, b_ids))
-                    run = Open(
-                        ids_a, base + len(text[:r["a_from"]].encode()) + np.cumsum(own.size_a[ids_a]),
-                        ids_b, base + len(text[:r["b_from"]].encode()) + np.cumsum(own.size_b[ids_b]))
+                    ids_a = own.encode_a([side_a], [raw_a])[0] if side_a else _NO_IDS
+                    at = [base + len(text[:r[c]].encode()) for c in ("a_from", "b_from")]
+                    run = Open(ids_a, at[0] + np.cumsum(own.size_a[ids_a]),
+                               ids_b, at[1] + np.cumsum(own.size_b[ids_b]))
                 f = fragment(own, run)
                 if r["k"] == 0:  # a text starts at a common end
                     f = join(own, Fragment(True), f)
@@ -400,7 +446,7 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokens(*paths)
-        for b in slices(batches):
+        for b in slices(batches, limit=STEP_BYTES):
             yield _whole(own, b.column(0), b.column(1).to_pylist())
 
     return d.where(~long).mapInArrow(run, DOCS).unionByName(_long_texts(d.where(long), chunk, paths))

@@ -76,8 +76,7 @@ def test_documents_equal_brute_force(spark, chunk, block):
 def test_join_is_associative_and_has_an_identity():
     own = align.tokens(None, None)
     text = " " + "Wording, it's o'clock 12,345; naïve façade " * 8
-    a, b = own.encode([text])
-    a, b = (np.array(x[0], dtype=np.int64) for x in (a, b))
+    a, b = own.encode_a([text], [text.encode()])[0], own.encode_b([text], [text.encode()])[0]
     whole = align.Open(a, np.cumsum(own.size_a[a]), b, np.cumsum(own.size_b[b]))
     start = align.Fragment(True)
     want = align.join(own, start, align.fragment(own, whole))
@@ -103,6 +102,13 @@ def test_join_is_associative_and_has_an_identity():
         assert not len(got.suffix.a) and not len(got.prefix.a)
 
 
+def test_both_a_encoders_agree():
+    own, (a, _) = align.tokens(None, None), libraries()
+    texts = [" " + t for t in TEXTS if t] + [" y" + " " * 3000 + "z" * 3000, " b" * 20 + "\n" * 1100]
+    got = own.encode_a(texts, [t.encode() for t in texts])
+    assert [x.tolist() for x in got] == [a.encode(t).ids for t in texts]
+
+
 def test_ugly_and_empty(spark, ugly, empty):
     rows = ugly.select("doc_id", "text").collect()
     got = align.document_links(ugly, chunk=20_000).select(COLUMNS).collect()
