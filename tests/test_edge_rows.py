@@ -3,7 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import events_df
+from helpers import events_df
 from eventcraft.operators import device, evaluate, missing, sequence
 from eventcraft.operators.encode import UNSEEN, encode, fit_scaler, fit_vocab, scale
 from eventcraft.plans.features import sequential_features

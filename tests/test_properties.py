@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import events_df
+from helpers import events_df
 from eventcraft.operators import evaluate, rank, sequence, split
 from eventcraft.operators.encode import fit_vocab
 
