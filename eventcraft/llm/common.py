@@ -155,18 +155,62 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], count: str,
     return by_hot.select(*keys, *names).unionByName(rest.select(*keys, *names))
 
 
-def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
+#: edges that one task may unite; more of them alternate star steps over all tasks
+TASK_EDGES = 1 << 20
+
+
+def spanning(edges: DataFrame, limit: int = TASK_EDGES) -> DataFrame:
+    """Edges (a, b), a > b, that connect the same ids: each task links its ids to their smallest one.
+
+    A task holds the ids of at most ``limit`` of its edges at once, then passes their
+    links on and begins anew.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (y := up.setdefault(x, x)) != x:
+                up[x] = up[y]
+                x = y
+            return x
+
+        def links() -> pa.RecordBatch:
+            pairs = [(x, root(x)) for x in up]
+            pairs = [p for p in pairs if p[0] != p[1]]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        seen = 0
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if a != b and (x := root(a)) != (y := root(b)):
+                    up[max(x, y)] = min(x, y)
+            seen += batch.num_rows
+            if seen >= limit:
+                yield links()
+                up, seen = {}, 0
+        if up:
+            yield links()
+
+    return edges.select("a", "b").mapInArrow(run, "a bigint, b bigint")
+
+
+def connected(edges: DataFrame, rounds: int = 60, task_edges: int = TASK_EDGES) -> DataFrame:
     """(id, component): the smallest id reachable from each id that has an edge (a, b).
 
-    Alternates two steps until nothing changes: every vertex links its larger
-    neighbours to the smallest id it sees, then its smaller neighbours
-    likewise. The edge list never grows, each round is cut with
-    ``checkpoint()``, and a vertex of any degree is a partial aggregation and a
-    split join, never one task's work.
+    Tasks first unite their own edges, which leaves at most one edge for each id of a
+    task. Up to ``task_edges`` of them are then united by one task. More of them
+    alternate two steps until nothing changes: every vertex links its larger
+    neighbours to the smallest id it sees, then its smaller neighbours likewise. The
+    edge list never grows, each round is cut with ``checkpoint()``, and a vertex of
+    any degree is a partial aggregation and a split join, never one task's work.
     """
     ensure_checkpoint_dir(edges.sparkSession)
-    e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where(
-        "a <> b").distinct().checkpoint()
+    e = spanning(edges).distinct().checkpoint()
+    if e.count() <= task_edges:
+        e = spanning(e.coalesce(1), 2 * task_edges).checkpoint()
+        return _labels(e)
 
     def mark() -> tuple:
         return tuple(e.agg(F.count(F.lit(1)), F.sum(
@@ -174,8 +218,6 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     seen = mark()
     for _ in range(rounds):
-        if not seen[0]:
-            break
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
         large = join_groups(both, low, ["a"], "n", 2 * seen[0]).where("b > a").select(
@@ -189,8 +231,25 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
         seen = now
     else:
         raise RuntimeError("components did not settle")
-    return e.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
-        e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+    return _labels(e)
+
+
+def _labels(stars: DataFrame) -> DataFrame:
+    return stars.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
+        stars.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+
+
+def shared_ids(rows: DataFrame, classes: DataFrame, id_col: str, keys: list[str],
+               total: int) -> DataFrame:
+    """Edges (a, b) from each id whose rows lie in several classes to those classes' ``rep``.
+
+    ``classes`` holds ``keys``, ``rep`` and the number of rows in ``copies``.
+    """
+    several = rows.groupBy(id_col).agg(F.min(F.xxhash64(*keys)).alias("x"), F.max(
+        F.xxhash64(*keys)).alias("y")).where("x <> y").select(id_col)
+    return join_groups(rows.join(several, id_col, "left_semi").select(id_col, *keys), classes.select(
+        *keys, "rep", "copies"), keys, "copies", total).select(
+        F.col(id_col).alias("a"), F.col("rep").alias("b"))
 
 
 class Forest:

@@ -30,6 +30,7 @@ from eventcraft.llm.common import (
     connected,
     join_groups,
     runs,
+    shared_ids,
     sorted_groups,
     write_table,
 )
@@ -250,19 +251,20 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             "label_key", "dim", "band", "key", "i", "j", "rep").mapInArrow(
             lambda it: _pairs(it, threshold, bands), "kind int, a bigint, b bigint"), "links")
     more = out.where("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("more"))
-    found = connected(out.where("kind = 1").select("a", "b"))
+    own = good.withColumn("h1", F.xxhash64("label", "v")).withColumn(
+        "h2", F.xxhash64("v", F.lit(17), "label")).select("vec_id", "h1", "h2")
+    hashed = classes.select("rep", F.xxhash64("label", "v").alias("h1"),
+                            F.xxhash64("v", F.lit(17), "label").alias("h2"), "copies")
+    # an id in several classes is still one vertex
+    found = connected(out.where("kind = 1").select("a", "b").unionByName(shared_ids(
+        own, hashed, "vec_id", ["h1", "h2"], total)))
     found = found.withColumnRenamed("id", "rep")
 
     # a class's links and component, carried to its members
     info = coded.select("rep", "copies").join(more, "rep", "left").join(found, "rep", "left")
     info = info.groupBy("rep").agg(F.max("copies").alias("copies"), F.max("more").alias("more"),
                                    F.min("component").alias("component"))
-    own = good.withColumn("h1", F.xxhash64("label", "v")).withColumn(
-        "h2", F.xxhash64("v", F.lit(17), "label"))
-    reps = classes.select("rep", F.xxhash64("label", "v").alias("h1"),
-                          F.xxhash64("v", F.lit(17), "label").alias("h2"), "copies").join(
-        info.drop("copies"), "rep")
-    member = join_groups(own.select("vec_id", "h1", "h2"), reps, ["h1", "h2"], "copies", total)
+    member = join_groups(own, hashed.join(info.drop("copies"), "rep"), ["h1", "h2"], "copies", total)
     member = member.groupBy("vec_id").agg(
         F.max(F.coalesce("more", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.min(F.coalesce("component", "rep")).alias("component_id"))

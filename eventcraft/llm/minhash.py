@@ -34,6 +34,7 @@ from eventcraft.llm.common import (
     join_groups,
     mix64,
     runs,
+    shared_ids,
     slices,
     sorted_groups,
     text_bytes,
@@ -326,7 +327,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = group.select("component", "i", "j", "doc_id", "side", "shingles", "low").repartition(
         "component", "i", "j").sortWithinPartitions("component", "i", "j", "doc_id").mapInArrow(
         lambda it: _confirm(it, num, den, least), "a bigint, b bigint")
-    found = connected(links)
+    # an id in several classes is still one vertex
+    found = connected(links.unionByName(shared_ids(
+        real.select("doc_id", *prints), classes, "doc_id", prints, total)))
 
     classes = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         *prints, "copies", F.coalesce("component", "rep").alias("component_id"))

@@ -30,6 +30,31 @@ def test_connected(spark):
     assert connected(e.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("task_edges", [0, 1 << 20])
+def test_connected_by_stars_and_in_one_task(spark, task_edges):
+    r = np.random.default_rng(8)
+    links = [(int(a), int(b)) for a, b in r.integers(0, 3000, size=(2000, 2))] + [
+        (k, k + 1) for k in range(5000, 5200)] + [(9000, k) for k in range(9001, 9400)]
+    e = spark.createDataFrame(links, "a bigint, b bigint").repartition(6)
+    got = {r.id: r.component for r in connected(e, task_edges=task_edges).collect()}
+    want = components({x for p in links for x in p}, links)
+    own = {a for p in links if p[0] != p[1] for a in p}
+    assert got == {k: v for k, v in want.items() if k in own}
+
+
+def test_an_id_in_two_classes_is_one_vertex(spark):
+    a, b = "alpha beta gamma delta epsilon zeta", "one two three four five six seven"
+    docs = spark.createDataFrame([(3, a), (5, a), (5, b), (9, b), (11, "other words here")],
+                                 "doc_id bigint, text string")
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect())
+    assert got == [(3, 3, True), (5, 3, False), (5, 3, False), (9, 3, False), (11, 11, True)]
+    vectors = spark.createDataFrame(
+        [(3, "x", [1.0, 0.0]), (5, "x", [1.0, 0.0]), (5, "x", [0.0, 1.0]), (9, "x", [0.0, 1.0])],
+        "vec_id bigint, label string, embedding array<double>")
+    got = sorted((r.vec_id, r.component_id) for r in embed.near_duplicates(vectors).collect())
+    assert got == [(3, 3), (5, 3), (5, 3), (9, 3)]
+
+
 def near_texts(n=60, seed=3):
     r = np.random.default_rng(seed)
     words = [f"w{k}" for k in range(400)]
