@@ -345,20 +345,30 @@ class Recent:
                 self.now[key] = v
         return v
 
-    def fill(self, keys: list[str], make) -> dict:
-        """The current generation, with every one of ``keys`` in it until the next call."""
-        now = self.now
-        if len(now) > self.limit:
-            self.before, self.now = now, {}
-            now = self.now
+    def _turn(self) -> dict:
+        """The current generation, a new one if it is full, without the last call's long keys."""
+        if len(self.now) > self.limit:
+            self.before, self.now = self.now, {}
         for k in self.long:
-            now.pop(k, None)
+            self.now.pop(k, None)
             self.before.pop(k, None)
         self.long = []
+        return self.now
+
+    def fill(self, keys: list[str], make) -> dict:
+        """The current generation, with every one of ``keys`` in it until the next call."""
+        return self.fill_all(keys, lambda new: list(map(make, new)))
+
+    def fill_all(self, keys: list[str], make_all) -> dict:
+        """The same; ``make_all`` gets all new keys at once."""
+        now = self._turn()
+        new = []
         for k in set(keys).difference(now):
             if (v := self.before.get(k)) is None:
-                v = make(k)
-                if len(k) > self.longest:
-                    self.long.append(k)
-            now[k] = v
+                new.append(k)
+            else:
+                now[k] = v
+        if new:
+            now.update(zip(new, make_all(new), strict=True))
+            self.long = [k for k in new if len(k) > self.longest]
         return now
