@@ -27,7 +27,7 @@ def redacted(text):
 def test_run_equals_brute_force(spark):
     docs = table(spark, SF, "documents").collect()
     named = [(r.doc_id, r.text) for r in docs if re.search(r"[^\W\d_]", r.text or "")]
-    comp = brute(named)
+    comp = brute(named, 80)
     kept = {i: redacted(t) for i, t in named if comp[i][2]}
     got = {}
     for r in cp.run(spark, SF).select("doc_id", "start", "ids").orderBy("doc_id", "start").collect():
