@@ -53,7 +53,7 @@ def test_stages_keep_columns_and_clean_rows(spark, ugly, empty):
 
 
 def test_sql_twins_are_registered():
-    assert {"op2_embedding_dedup", "op6_minhash", "op9_top_k"} == set(SQL)
+    assert {"op2_embedding_dedup", "op6_minhash", "op9_top_k", "op11_exact_dedup"} == set(SQL)
 
 
 def test_language_rejects_what_no_language_fits(spark):
