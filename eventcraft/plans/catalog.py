@@ -78,6 +78,10 @@ def q_json_default_zero(spark, sf):
     return df.select("row_id", "botId", "pluginId")
 
 
+DEVICE_STATS_COLUMNS = ["mid_count", "mid_nunique", "eid_count", "eid_nunique",
+                        "device_brand_nunique", "common_ts_min", "common_ts_max"]
+
+
 # --- shared inputs ------------------------------------------------------------------------
 
 def _el(spark, sf, udmap="props"):
@@ -713,6 +717,97 @@ def q_registry_newest(spark, sf):
     return registry_newest(_registry_standin(spark, sf))
 
 
+@query("registry_files")
+def q_registry_files(spark, sf):
+    """S9 + S10 over real files: a state for every nation is saved under a name with its F1;
+    the best one by a listing of the folder, how many there are, and whether the newest is the
+    one that was saved last."""
+    from eventcraft.plans.registry import registry_best, registry_newest, saved_states
+    from eventcraft.sources.csv_io import scratch_path
+    folder = scratch_path(spark, "states")
+    name = F.concat(F.lit("net_f1_0."), F.lpad((F.col("n_nationkey") * 371 % 10000).cast(
+        "string"), 4, "0"), F.lit("_"), F.col("n_nationkey").cast("string"))
+    states = spark.read.parquet(f"{sf}/nation.parquet").select(
+        name.alias("state"), F.to_json(F.struct("n_nationkey", "n_name")).alias("config"))
+    states.write.partitionBy("state").text(folder)
+    late = states.agg(F.max("config").alias("config")).withColumn("state", F.lit("net_last"))
+    import time
+    time.sleep(1.1)  # file times may have whole seconds only
+    late.write.mode("append").partitionBy("state").text(folder)
+    listed = saved_states(spark, folder).withColumn("path", F.regexp_replace("path", "^state=", ""))
+    newest = registry_newest(listed).select((F.col("path") == "net_last").alias("newest_is_last"))
+    count = listed.agg(F.count(F.lit(1)).alias("n_states"))
+    # one row each
+    return registry_best(listed).withColumn("f1", F.round("f1", 6)).join(F.broadcast(count)).join(
+        F.broadcast(newest))
+
+
+@query("run_names")
+def q_run_names(spark, sf):
+    """The run name of every order's time."""
+    from eventcraft.sources.csv_io import run_id
+    return spark.read.parquet(f"{sf}/orders.parquet").select(
+        "o_orderkey", run_id(F.col("o_orderdate").cast("timestamp")).alias("run_name"))
+
+
+@query("csv_inferred")
+def q_csv_inferred(spark, sf):
+    """S2 as an option: events written as CSV and read with inferred types."""
+    from eventcraft.sources.csv_io import read_csv_inferred, scratch_path, write_csv
+    path = scratch_path(spark, "inferred")
+    write_csv(_el(spark, sf).select("row_id", "did", "mid", "eid", "channel", "common_ts", "udmap"), path)
+    return read_csv_inferred(spark, path).select(
+        F.col("row_id").cast("bigint"), F.col("did").cast("bigint"), F.col("mid").cast("int"), "eid",
+        F.col("channel").cast("int"), F.col("common_ts").cast("bigint"), "udmap")
+
+
+@query("report_csv")
+def q_report_csv(spark, sf):
+    """A small report as one CSV file with a header, read back."""
+    from eventcraft.sources.csv_io import read_csv_inferred, scratch_path, write_csv
+    path = scratch_path(spark, "report")
+    write_csv(_el(spark, sf).groupBy("eid").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("is_new_did"), 6).alias("rate")), path,
+        single_file=True)
+    back = read_csv_inferred(spark, path)
+    files = len(set(back.inputFiles()))
+    return back.select("eid", F.col("n").cast("bigint"), F.col("rate").cast("double"),
+                       F.lit(files).cast("bigint").alias("files"))
+
+
+@query("device_stats_bits")
+def q_device_stats_bits(spark, sf):
+    """A1 with distinct counts by bitmaps over dictionary codes: no row is expanded."""
+    from eventcraft.operators import bitmap
+    return bitmap.device_stats(_el(spark, sf)).select("did", *DEVICE_STATS_COLUMNS,
+                                                      _r6("ts_span", "ts_span"))
+
+
+@query("device_stats_merged")
+def q_device_stats_merged(spark, sf):
+    """A1 carried over to new events: the state of the train half merged with that of the test
+    half equals the statistics over all."""
+    from eventcraft.operators import bitmap
+    el = _el(spark, sf)
+    dicts = bitmap.dictionaries(el, bitmap.COUNTED)
+    old, new = (bitmap.device_state(x, dicts) for x in _split(spark, sf))
+    return bitmap.state_stats(bitmap.merge_states(old, new)).select(
+        "did", *DEVICE_STATS_COLUMNS, _r6("ts_span", "ts_span"))
+
+
+@query("stats_joined_bucketed")
+def q_stats_joined_bucketed(spark, sf):
+    """J1 + A1 on events stored in buckets by device: neither the statistics nor the join back
+    exchanges event rows."""
+    from eventcraft.operators import bitmap, device
+    from eventcraft.sources.event_log import bucketed_events
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    el = bucketed_events(_el(spark, sf).select(
+        "row_id", "did", "mid", "eid", "device_brand", "common_ts"), buckets)
+    return device.join_device_stats(el, bitmap.device_stats(el)).select(
+        "row_id", "did", *DEVICE_STATS_COLUMNS, _r6("ts_span", "ts_span"))
+
+
 @query("trials_left")
 def q_trials_left(spark, sf):
     """Planned ids (orders) with no finished record (a returned line) - a left anti join."""

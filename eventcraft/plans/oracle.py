@@ -763,3 +763,42 @@ SQL["leaf_search"] = """
 SELECT CAST(100 AS BIGINT) AS trials, CAST(100 AS BIGINT) AS scored, CAST(1 AS BIGINT) AS best,
        true AS good_auc, true AS scans_bounded
 """
+
+SQL["registry_files"] = """
+SELECT 'net_f1_0.' || lpad(CAST(n_nationkey * 371 % 10000 AS VARCHAR), 4, '0') || '_'
+       || CAST(n_nationkey AS VARCHAR) AS path,
+       round(CAST('0.' || lpad(CAST(n_nationkey * 371 % 10000 AS VARCHAR), 4, '0') AS DOUBLE), 6) AS f1,
+       (SELECT count(*) + 1 FROM nation) AS n_states, true AS newest_is_last
+FROM nation ORDER BY f1 DESC, path DESC LIMIT 1
+"""
+
+SQL["run_names"] = """
+SELECT o_orderkey, strftime(CAST(o_orderdate AS TIMESTAMP), '%Y%m%d_%H%M%S') AS run_name FROM orders
+"""
+
+SQL["csv_inferred"] = f"""{EL}
+SELECT row_id, CAST(did AS BIGINT) AS did, mid, eid, CAST(channel AS INTEGER) AS channel, common_ts,
+       udmap
+FROM event_log
+"""
+
+SQL["report_csv"] = f"""{EL}
+SELECT eid, count(*) AS n, round(avg(is_new_did), 6) AS rate, CAST(1 AS BIGINT) AS files
+FROM event_log GROUP BY eid
+"""
+
+_STATS = """s AS (
+  SELECT did, count(mid) AS mid_count, count(DISTINCT mid) AS mid_nunique,
+         count(eid) AS eid_count, count(DISTINCT eid) AS eid_nunique,
+         count(DISTINCT device_brand) AS device_brand_nunique,
+         min(common_ts) AS common_ts_min, max(common_ts) AS common_ts_max,
+         round((max(common_ts) - min(common_ts)) / 1000.0, 6) AS ts_span
+  FROM event_log GROUP BY did)"""
+
+SQL["device_stats_bits"] = f"""{EL}, {_STATS} SELECT * FROM s"""
+
+SQL["device_stats_merged"] = SQL["device_stats_bits"]
+
+SQL["stats_joined_bucketed"] = f"""{EL}, {_STATS}
+SELECT row_id, did, s.* EXCLUDE (did) FROM event_log LEFT JOIN s USING (did)
+"""

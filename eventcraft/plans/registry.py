@@ -43,6 +43,19 @@ def load_state(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
     return model, json.loads(cfg["config"])
 
 
+def saved_states(spark: SparkSession, folder: str) -> DataFrame:
+    """What is saved in ``folder``: (path: name of the state, saved_at: last change, files, bytes).
+
+    A listing alone: path, time and length are file metadata, contents are not read.
+    """
+    base = folder.rstrip("/").rpartition("/")[2]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    name = F.regexp_extract("path", rf"/\Q{base}\E/([^/]+)/", 1)
+    return files.select(name.alias("path"), "modificationTime", "length").where("path <> ''").groupBy(
+        "path").agg(F.max("modificationTime").alias("saved_at"), F.count(F.lit(1)).alias("files"),
+                    F.sum("length").alias("bytes"))
+
+
 def registry_best(reg: DataFrame, name_col: str = "path", metric: str = "f1") -> DataFrame:
     """S9 + F19: the entry whose name carries the highest ``<metric>_<x.xxxx>`` (ties by name)."""
     m = metric_from_name(F.col(name_col), metric)

@@ -63,6 +63,25 @@ def event_log(spark: SparkSession, sf_dir: str, udmap: str = "props") -> DataFra
     return event_log_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"), udmap)
 
 
+def bucketed_events(events: DataFrame, buckets: int, key: str = "did",
+                    path: str | None = None) -> DataFrame:
+    """Store ``events`` once in ``buckets`` files by ``key``, sorted by it, and read them as a table.
+
+    Aggregates by ``key`` and joins on it then need no exchange of the events, on any
+    number of later runs. ``path`` is in the shared folder unless given; nulls share a
+    bucket. Deal out a key with far more rows than a bucket beforehand (rows stay whole
+    for each key): a bucket is read by one task.
+    """
+    import uuid
+
+    from eventcraft.sources.csv_io import scratch_path
+    spark = events.sparkSession
+    name = f"events_{uuid.uuid4().hex[:12]}"
+    events.write.bucketBy(buckets, key).sortBy(key).option(
+        "path", path or scratch_path(spark, "bucketed")).saveAsTable(name)
+    return spark.table(name)
+
+
 # DuckDB twin of the adapter, used only by the oracle SQL.
 EVENT_LOG_SQL = """
 event_log AS (
