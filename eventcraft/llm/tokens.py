@@ -31,7 +31,7 @@ from eventcraft.llm.common import Recent, int_lists, slices
 
 END_ID = 2
 #: words kept by a Python worker in each of two generations
-CACHE_WORDS = 300_000
+CACHE_WORDS = 120_000
 #: characters of a word from which the library itself encodes it: the faster encoder takes
 #: time in the square of a part's length
 LONG_PART = 1 << 9
