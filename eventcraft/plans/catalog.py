@@ -1024,7 +1024,7 @@ def q_leaf_boost_folds(spark, sf):
     fit = boost.fit_folds(d, _leaf_bins(d), "planted", 5, "row_id", params=boost.Params(**LEAF_PARAMS))
     oof = boost.out_of_fold(fit).checkpoint(eager=True)
     gain = boost.total_gain(boost.node_table(spark, fit)).groupBy(F.col("model").alias("fold")).agg(
-        (F.sum(F.when(F.col("feature").isin("channel", "hour", "time_period"), F.col("gain"))) > 0.8 * F.sum(
+        (F.sum(F.when(F.col("feature").isin("channel", "hour", "time_period"), F.col("gain"))) > 0.5 * F.sum(
             "gain")).alias("planted_gain"))
     ended = spark.createDataFrame([(m.fold, m.ended, m.best_round < len(m.trees))
                                    for m in fit.models], "fold int, ended string, cut_back boolean")
