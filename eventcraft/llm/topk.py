@@ -87,7 +87,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id"
     every row of the same length but those with its own id; equal scores go to
     the smaller id; fewer than k candidates give all of them. Rows whose id or
     vector is null, or whose vector holds a null, take no part; repeated
-    candidate rows each count, repeated query rows count once. Empty tables
+    candidate rows each count; of query rows that share an id the least vector counts,
+    once. Empty tables
     give no rows. Other columns are left out.
     """
     def clean(df: DataFrame) -> DataFrame:
@@ -96,7 +97,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id"
         return d.where("id is not null and v is not null").where(
             ~F.exists("v", lambda x: x.isNull())).withColumn("dim", F.size("v"))
 
-    c, q = clean(vectors), clean(queries).dropDuplicates(["id"])
+    c = clean(vectors)
+    q = clean(queries).groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
     n_c = max(1, -(-c.count() // CANDIDATE_BLOCK))
     n_q = max(1, -(-q.count() // QUERY_BLOCK))
     c = c.withColumn("cb", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(n_c))).withColumn(
