@@ -21,7 +21,16 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventcraft.llm.native import after, before, with_spans
+from eventcraft.llm.native import (
+    CHUNK,
+    after,
+    before,
+    between,
+    chunks,
+    let,
+    running,
+    with_spans,
+)
 
 KINDS = ("email", "ip", "card", "phone")
 #: strict patterns; possessive and anchored at run starts, so that they stay linear
@@ -33,12 +42,14 @@ STRICT = {
 }
 #: looser forms of the same kinds
 LOOSE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,64}+ ?(?:\(at\)|\[at\]|\{at\}) ?"
-             r"[A-Za-z0-9-]{2,63}+(?: ?(?:\(dot\)|\[dot\]|\{dot\}|\.) ?[A-Za-z0-9-]{2,63}+){1,4}",
+    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++ ?(?:\(at\)|\[at\]|\{at\}) ?"
+             r"[a-z0-9-]++(?: ?(?:\(dot\)|\[dot\]|\{dot\}|\.) ?[a-z0-9-]++)++",
     "phone": r"(?<![A-Za-z0-9.+-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
              r"(?![A-Za-z0-9-])",
 }
-NEEDS = {"email": "@", "ip": ".", "phone": "+"}
+#: a text without any of these has no match of the kind
+NEEDS = {"email": ("@",), "ip": (".",), "phone": ("+",)}
+LOOSE_NEEDS = {"email": ("(", "[", "{")}
 #: fixed word lists of the labelers
 CONTACT_WORDS = ("call", "phone", "tel", "mobile", "fax", "mail", "email", "contact", "reach",
                  "write", "card", "visa", "credit", "payment", "address", "host", "ip", "login")
@@ -89,11 +100,11 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, 1).when(no, -1).otherwise(0)
 
 
-def _candidate(text: Column, kind: str, strict: bool, s: Column) -> Column:
+def _candidate(pieces: Column, kind: str, strict: bool, s: Column) -> Column:
     """A span with the labelers' votes and its form."""
     hit, digits = s["hit"], _digits(s["hit"])
-    lead = F.lower(before(text, s["start"], 24))
-    prev, nxt = before(text, s["start"], 1), after(text, s["end"], 1)
+    lead = F.lower(before(pieces, s["start"], 24))
+    prev, nxt = before(pieces, s["start"], 1), after(pieces, s["end"], 1)
     word = rf"(?:^|[^a-z]){{0}}[^a-z]{{{{0,3}}}}(?:[a-z]{{{{0,3}}}}[^a-z]{{{{0,3}}}})?$"
     distinct = F.size(F.array_distinct(F.split(digits, "(?!^)")))
     listed = {
@@ -122,23 +133,24 @@ def _usable(kind: str, s: Column) -> Column:
     return F.length(_digits(s["hit"])).between(12, 19) if kind == "card" else F.lit(True)
 
 
-def _candidates(text: Column, spans: Column, kind: str, strict: bool) -> Column:
+def _candidates(pieces: Column, spans: Column, kind: str, strict: bool) -> Column:
     return F.transform(F.filter(spans, lambda s: _usable(kind, s)),
-                       lambda s: _candidate(text, kind, strict, s))
+                       lambda s: _candidate(pieces, kind, strict, s))
 
 
 def with_candidates(df: DataFrame, text_col: str) -> DataFrame:
     """Add ``__pii``: every candidate of a text with its votes, and drop nothing else."""
     df = df.withColumn("__t", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    parts = []
-    for strict, patterns in ((True, STRICT), (False, LOOSE)):
+    found, names = [], []
+    for strict, patterns, needs in ((True, STRICT, NEEDS), (False, LOOSE, LOOSE_NEEDS)):
         for kind, pattern in patterns.items():
             name = f"__{kind}_{int(strict)}"
-            needs = NEEDS.get(kind) if strict else {"email": "at", "phone": None}[kind]
-            df = with_spans(df, "__t", pattern, name, needs)
-            parts.append(_candidates(F.col("__t"), F.col(name), kind, strict))
-    names = [f"__{k}_1" for k in STRICT] + [f"__{k}_0" for k in LOOSE]
-    return df.withColumn("__pii", F.concat(*parts)).drop("__t", *names)
+            df = with_spans(df, "__t", pattern, name, needs.get(kind, ()))
+            found.append((F.col(name), kind, strict))
+            names.append(name)
+    some = sum((F.size(n) for n in names[1:]), F.size(names[0])) > 0
+    return df.withColumn("__pii", let(F.when(some, chunks(F.col("__t"))), lambda pieces: F.concat(
+        *[_candidates(pieces, *x) for x in found]))).drop("__t", *names)
 
 
 def em(rows: list[dict], rounds: int = EM_ROUNDS) -> list[float]:
@@ -190,7 +202,9 @@ def train(docs: DataFrame, text_col: str = "text", least: float = 0.5) -> Classi
     Without candidates the classifier accepts nothing beyond the base spans.
     """
     spark = docs.sparkSession
-    c = with_candidates(docs.select(text_col), text_col).select(F.explode("__pii").alias("s"))
+    # (explode would infer a filter that finds all candidates a second time)
+    c = with_candidates(docs.select(text_col), text_col).select(
+        F.explode_outer("__pii").alias("s")).where("s is not null")
     names = [*LABELERS, *FORM]
     counted = [r.asDict() for r in c.select(*[F.col(f"s.{n}") for n in names]).groupBy(
         *names).agg(F.count(F.lit(1)).alias("n")).collect()]  # at most 3^5 votes x 8 forms
@@ -224,9 +238,31 @@ def find(df: DataFrame, model: Classifier, text_col: str = "text") -> DataFrame:
 
     df = with_candidates(df, text_col)
     df = df.withColumn("pii_base", slim(F.filter("__pii", lambda s: s["base"])))
-    more = F.filter("__pii", lambda s: ~s["base"] & model.accepts(s) & ~F.exists(
-        F.col("pii_base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return df.withColumn("pii_spans", F.array_sort(F.concat("pii_base", slim(more)))).drop("__pii")
+    df = df.withColumn("__more", slim(F.filter("__pii", lambda s: ~s["base"] & model.accepts(s))))
+    some = (F.size("__more") > 0) & (F.size("pii_base") > 0)
+    free = F.when(some, _free(F.col("__more"), F.col("pii_base"))).otherwise(F.col("__more"))
+    return df.withColumn("pii_spans", F.array_sort(F.concat("pii_base", free))).drop(
+        "__pii", "__more")
+
+
+def _free(spans: Column, base: Column) -> Column:
+    """Those of ``spans`` that overlap none of ``base``.
+
+    In the order of their ends, the furthest end of all base spans that start before a
+    span's end tells whether one of them reaches beyond its start.
+    """
+    marks = F.array_sort(F.concat(
+        F.transform(spans, lambda s: F.struct(
+            s["end"].alias("at"), F.lit(0).alias("is_base"), F.lit(0).alias("reach"),
+            s.alias("span"))),
+        F.transform(base, lambda b: F.struct(
+            b["start"].alias("at"), F.lit(1).alias("is_base"), b["end"].alias("reach"),
+            b.alias("span")))))
+    return let(marks, lambda all_marks: F.transform(F.filter(F.zip_with(
+        all_marks, running(F.transform(all_marks, lambda m: m["reach"]), F.greatest),
+        lambda m, reach: F.struct(m.alias("m"), reach.alias("reach"))),
+        lambda x: (x["m"]["is_base"] == 0) & (x["reach"] <= x["m"]["span"]["start"])),
+        lambda x: x["m"]["span"]))
 
 
 def listing(spans: Column) -> Column:
@@ -237,16 +273,16 @@ def listing(spans: Column) -> Column:
 
 def redact(text: Column, spans: Column) -> Column:
     """The text with each span (overlapping ones: their union) replaced by its kind in brackets."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        out = F.when(s["start"] >= acc["at"], F.concat(
-            acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("<"),
-            F.upper(s["kind"]), F.lit(">"))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
-
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, lambda a: F.concat(
-        a["out"], F.substring(text, a["at"] + 1, F.length(text))))).otherwise(text)
+    def parts(pieces: Column, reach: Column) -> Column:
+        def part(s: Column, i: Column) -> Column:
+            at = F.coalesce(F.get(reach, i - 1), F.lit(0))
+            return F.when(s["start"] >= at, F.concat(
+                between(pieces, at, s["start"]), F.lit("<"), F.upper(s["kind"]), F.lit(">")))
+        rest = between(pieces, F.element_at(reach, -1), F.size(pieces) * CHUNK)
+        return F.concat(F.array_join(F.transform(spans, part), ""), rest)
+
+    return F.when(F.size(spans) > 0, let(chunks(text), lambda pieces: let(running(F.transform(
+        spans, lambda s: s["end"]), F.greatest), lambda reach: parts(pieces, reach)))).otherwise(text)
 
 
 def count(spans: Column, kind: str) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventcraft.llm.common import write_table
-from eventcraft.llm.native import after, before, with_spans
+from eventcraft.llm.native import after, before, chunks, let, with_spans
 
 CANDIDATE = (r"(?<![A-Za-z0-9+/_-])(?:(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{12,}+|[A-Z0-9]{16,}+"
              r"(?![A-Za-z0-9+/_-])|(?<=[=:]|[=:][\x20\"']|[=:]\x20[\"'])[A-Za-z0-9+/_-]{8,}+)")
@@ -40,9 +40,9 @@ def _share(hit: Column, chars: str) -> Column:
     return F.length(F.regexp_replace(hit, f"[^{chars}]", "")) / F.length(hit)
 
 
-def _features(text: Column, path: Column, s: Column) -> list[Column]:
+def _features(pieces: Column, path: Column, s: Column) -> list[Column]:
     hit = s["hit"]
-    lead, tail = before(text, s["start"], 32), after(text, s["end"], 16)
+    lead, tail = before(pieces, s["start"], 32), after(pieces, s["end"], 16)
     shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
         hit, "[a-z]", "l"), "[A-Z]", "U"), "[0-9]", "9"), "[^lU9]", "m")
     changes = F.length(F.regexp_replace(shape, r"(.)\1*+", "$1")) - 1
@@ -78,11 +78,14 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     path = F.lit("") if path_col is None else F.coalesce(F.col(path_col).cast("string"), F.lit(""))
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                     path.alias("path"))
-    d = with_spans(d, "text", CANDIDATE, "found").where(F.size("found") > 0)
-    d = d.withColumn("found", F.transform("found", lambda s: F.struct(
+    d = with_spans(d, "text", CANDIDATE, "found")
+    pieces = F.when(F.size("found") > 0, chunks(F.col("text")))
+    d = d.withColumn("found", let(pieces, lambda p: F.transform("found", lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["hit"].alias("candidate"),
-        *_features(F.col("text"), F.col("path"), s))))
-    return d.select("doc_id", F.explode("found").alias("s")).select("doc_id", "s.*")
+        *_features(p, F.col("path"), s)))))
+    # (explode would infer a filter that finds all candidates a second time)
+    return d.select("doc_id", F.explode_outer("found").alias("s")).where("s is not null").select(
+        "doc_id", "s.*")
 
 
 class Filter:
