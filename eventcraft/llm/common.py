@@ -159,55 +159,58 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], count: str,
 TASK_EDGES = 1 << 20
 
 
-def spanning(edges: DataFrame, limit: int = TASK_EDGES) -> DataFrame:
-    """Edges (a, b), a > b, that connect the same ids: each task links its ids to their smallest one.
+def unite(batches: Iterator[pa.RecordBatch], limit: int = TASK_EDGES) -> Iterator[pa.RecordBatch]:
+    """Edges (a, b), a > b, that connect the same ids: each id is linked to the smallest one it reaches.
 
-    A task holds the ids of at most ``limit`` of its edges at once, then passes their
-    links on and begins anew.
+    The ids of at most ``limit`` edges are held at once, then their links are passed on
+    and it begins anew.
     """
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = up[y]
+            x = y
+        return x
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        up: dict[int, int] = {}
-
-        def root(x: int) -> int:
-            while (y := up.setdefault(x, x)) != x:
-                up[x] = up[y]
-                x = y
-            return x
-
-        def links() -> pa.RecordBatch:
-            pairs = [(x, root(x)) for x in up]
-            pairs = [p for p in pairs if p[0] != p[1]]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-        seen = 0
-        for batch in batches:
-            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if a != b and (x := root(a)) != (y := root(b)):
-                    up[max(x, y)] = min(x, y)
-            seen += batch.num_rows
-            if seen >= limit:
-                yield links()
-                up, seen = {}, 0
-        if up:
+    def links() -> pa.RecordBatch:
+        pairs = [(x, root(x)) for x in up]
+        pairs = [p for p in pairs if p[0] != p[1]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    seen = 0
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if a != b and (x := root(a)) != (y := root(b)):
+                up[max(x, y)] = min(x, y)
+        seen += batch.num_rows
+        if seen >= limit:
             yield links()
+            up, seen = {}, 0
+    if up:
+        yield links()
 
-    return edges.select("a", "b").mapInArrow(run, "a bigint, b bigint")
+
+def spanning(edges: DataFrame, limit: int = TASK_EDGES) -> DataFrame:
+    """``unite`` the edges (a, b) of each task."""
+    return edges.select("a", "b").mapInArrow(lambda it: unite(it, limit), "a bigint, b bigint")
 
 
-def connected(edges: DataFrame, rounds: int = 60, task_edges: int = TASK_EDGES) -> DataFrame:
+def connected(edges: DataFrame, rounds: int = 60, task_edges: int = TASK_EDGES,
+              united: bool = False) -> DataFrame:
     """(id, component): the smallest id reachable from each id that has an edge (a, b).
 
     Tasks first unite their own edges, which leaves at most one edge for each id of a
-    task. Up to ``task_edges`` of them are then united by one task. More of them
+    task (``united``: the tasks that made the edges did so, and need no second Python
+    worker for it). Up to ``task_edges`` of them are then united by one task. More of them
     alternate two steps until nothing changes: every vertex links its larger
     neighbours to the smallest id it sees, then its smaller neighbours likewise. The
     edge list never grows, each round is cut with ``checkpoint()``, and a vertex of
     any degree is a partial aggregation and a split join, never one task's work.
     """
     ensure_checkpoint_dir(edges.sparkSession)
-    e = spanning(edges).distinct().checkpoint()
+    e = (edges.select("a", "b") if united else spanning(edges)).distinct().checkpoint()
     if e.count() <= task_edges:
         e = spanning(e.coalesce(1), 2 * task_edges).checkpoint()
         return _labels(e)

@@ -38,6 +38,7 @@ from eventcraft.llm.common import (
     slices,
     sorted_groups,
     text_bytes,
+    unite,
     word_hashes,
     word_spans,
     write_table,
@@ -297,8 +298,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          F.xxhash64("doc_id"))
     near = banded.select("key", "i", "j", "doc_id", "side", "low").repartition(
         "key", "i", "j").sortWithinPartitions("key", "i", "j", "doc_id").mapInArrow(
-        lambda it: _near(it, least), "a bigint, b bigint")
-    coarse = connected(near).checkpoint()
+        lambda it: unite(_near(it, least)), "a bigint, b bigint")
+    coarse = connected(near, united=True).checkpoint()
 
     # coarse groups: the whole shingle sets of their members meet
     member = own.select("doc_id", "n_shingles").join(
@@ -326,10 +327,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         F.xxhash64("doc_id"))
     links = group.select("component", "i", "j", "doc_id", "side", "shingles", "low").repartition(
         "component", "i", "j").sortWithinPartitions("component", "i", "j", "doc_id").mapInArrow(
-        lambda it: _confirm(it, num, den, least), "a bigint, b bigint")
+        lambda it: unite(_confirm(it, num, den, least)), "a bigint, b bigint")
     # an id in several classes is still one vertex
     found = connected(links.unionByName(shared_ids(
-        real.select("doc_id", *prints), classes, "doc_id", prints, total)))
+        real.select("doc_id", *prints), classes, "doc_id", prints, total)), united=True)
 
     classes = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         *prints, "copies", F.coalesce("component", "rep").alias("component_id"))
