@@ -358,6 +358,21 @@ def q_encoded_sequence(spark, sf):
     return s.select("row_id", sequence_text("seq").alias("seq"))
 
 
+@query("sequence_carried")
+def q_sequence_carried(spark, sf):
+    """W1-W4 on the later half of the events, given the histories of the earlier half."""
+    from eventcraft.operators.carry import continue_events, history_state
+    from eventcraft.operators.sequence import sequence_text
+    el = _el(spark, sf)
+    ends = el.agg(F.min("common_ts").alias("a"), F.max("common_ts").alias("b")).first()
+    cut = F.lit((ends["a"] + ends["b"]) // 2)
+    old = history_state(el.where(F.col("common_ts") < cut)).checkpoint(eager=True)
+    new = el.where(F.coalesce(F.col("common_ts") >= cut, F.lit(True)))
+    rows, _ = continue_events(old, new)
+    return rows.select("row_id", "event_rank", "first_token", F.round("time_since_first", 6).alias(
+        "time_since_first"), sequence_text("seq").alias("seq"))
+
+
 # --- missing values -----------------------------------------------------------------------
 
 def _appver_num(df):

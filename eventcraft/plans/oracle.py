@@ -242,6 +242,19 @@ SQL["trailing_sequence"] = f"""{EL}
 {_seq_sql('event_log', 'eid')}
 """
 
+SQL["sequence_carried"] = f"""{EL},
+q AS ({_seq_sql('event_log', 'eid')}),
+w AS (SELECT row_id, common_ts, (SELECT (min(common_ts) + max(common_ts)) // 2 FROM event_log) AS cut,
+             row_number() OVER (PARTITION BY did ORDER BY common_ts, row_id) AS event_rank,
+             first(eid IGNORE NULLS) OVER (PARTITION BY did ORDER BY common_ts, row_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_token,
+             round(coalesce((common_ts - min(common_ts) OVER (PARTITION BY did)) / 1000.0, 0), 6)
+               AS time_since_first
+      FROM event_log)
+SELECT w.row_id, event_rank, first_token, time_since_first, seq
+FROM w JOIN q USING (row_id) WHERE common_ts >= cut OR common_ts IS NULL
+"""
+
 SQL["encoded_sequence"] = f"""{EL},
 v AS (SELECT value, row_number() OVER (ORDER BY value) AS code FROM (
         SELECT DISTINCT eid AS value FROM event_log WHERE split = 'train'
