@@ -834,6 +834,30 @@ def q_trials_left(spark, sf):
     return trials_left(planned, done)
 
 
+@query("search_shared")
+def q_search_shared(spark, sf):
+    """S11 + S12 with several writers: one trial for each discount, scored by the F1 of score >=
+    discount. One worker fits four trials, one claims a trial and dies, one takes that over
+    and fits the rest."""
+    from eventcraft.operators.evaluate import f1_at
+    from eventcraft.plans.claims import Claims, ledger
+    from eventcraft.sources.csv_io import scratch_path
+    d = _lineitem_scores(spark, sf)
+    # a dozen values, whatever the size
+    plan = [{"threshold": r["score"]} for r in d.select("score").distinct().orderBy("score").collect()]
+    folder = scratch_path(spark, "claims")
+
+    def fit(p):
+        return f1_at(d, "y", "score", p["threshold"]).first()["f1"]
+    Claims(spark, folder, "first").run(plan, fit, most=4)
+    Claims(spark, folder, "dies").claim(range(len(plan)))
+    Claims(spark, folder, "last", expiry_s=0).run(plan, fit)
+    return ledger(spark, folder).select(
+        "trial_id", F.round(
+            F.get_json_object("params", "$.threshold").cast("double"), 6).alias("threshold"),
+        F.round("score", 6).alias("f1"), "worker", "generation")
+
+
 # --- model fits: the full fit runs, the twin states what SQL can know of its result --------
 
 def _model_frames(spark, sf):

@@ -718,6 +718,19 @@ FROM lineitem
 
 _TRAIN = EL + ", tr AS (SELECT * FROM event_log WHERE split = 'train')"
 
+SQL["search_shared"] = f"""{LI},
+t AS (SELECT at, row_number() OVER (ORDER BY threshold) - 1 AS n FROM (SELECT DISTINCT score AS threshold FROM d)),
+c AS (SELECT n, threshold, sum(CASE WHEN y = 1 AND score >= threshold THEN 1 ELSE 0 END) AS tp,
+             sum(CASE WHEN y = 0 AND score >= threshold THEN 1 ELSE 0 END) AS fp,
+             sum(CASE WHEN y = 1 AND NOT score >= threshold THEN 1 ELSE 0 END) AS fn
+      FROM t, d GROUP BY n, threshold)
+SELECT CAST(n AS INTEGER) AS trial_id, round(threshold, 6) AS threshold,
+       round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END, 6) AS f1,
+       CASE WHEN n < 4 THEN 'first' ELSE 'last' END AS worker,
+       CASE WHEN n = 4 THEN 1 ELSE 0 END AS generation
+FROM c
+"""
+
 SQL["gbt_oof"] = f"""{_TRAIN}
 SELECT row_id, CAST(is_new_did AS INTEGER) AS label,
        CAST(({_RANK.format(g='is_new_did', i='row_id')} - 1) % 5 AS INTEGER) AS fold,
