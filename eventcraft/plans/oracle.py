@@ -719,7 +719,7 @@ FROM lineitem
 _TRAIN = EL + ", tr AS (SELECT * FROM event_log WHERE split = 'train')"
 
 SQL["search_shared"] = f"""{LI},
-t AS (SELECT at, row_number() OVER (ORDER BY threshold) - 1 AS n FROM (SELECT DISTINCT score AS threshold FROM d)),
+t AS (SELECT threshold, row_number() OVER (ORDER BY threshold) - 1 AS n FROM (SELECT DISTINCT score AS threshold FROM d)),
 c AS (SELECT n, threshold, sum(CASE WHEN y = 1 AND score >= threshold THEN 1 ELSE 0 END) AS tp,
              sum(CASE WHEN y = 0 AND score >= threshold THEN 1 ELSE 0 END) AS fp,
              sum(CASE WHEN y = 1 AND NOT score >= threshold THEN 1 ELSE 0 END) AS fn
