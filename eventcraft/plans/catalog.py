@@ -848,7 +848,7 @@ def q_search_shared(spark, sf):
     folder = scratch_path(spark, "claims")
 
     def fit(p):
-        return f1_at(d, "y", "score", p["threshold"]).first()["f1"]
+        return f1_at(d, "y", "score", p["threshold"], inclusive=True).first()["f1"]
     Claims(spark, folder, "first").run(plan, fit, most=4)
     Claims(spark, folder, "dies").claim(range(len(plan)))
     Claims(spark, folder, "last", expiry_s=0).run(plan, fit)
