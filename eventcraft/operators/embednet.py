@@ -205,7 +205,8 @@ def fit(train: DataFrame, valid: DataFrame, s: Settings, label: str, id_col: str
             table = update(table, grads, own["n"], s.rate).checkpoint(eager=True)
             t += 1
             dense, m, v = adam(dense, m, v, np.array(own["g"]) / own["n"], t, s.rate)
-        now = auc(_scored(held, table, dense, s), "label", "score").first()
+        # the curve reads the scores several times
+        now = auc(_scored(held, table, dense, s).checkpoint(eager=True), "label", "score").first()
         aucs.append(now["auc"] if now and now["auc"] is not None else 0.5)
         if len(aucs) == 1 or aucs[-1] > max(best.aucs) + s.min_gain:
             best, since = Net(s, table, dense, list(aucs)), 0

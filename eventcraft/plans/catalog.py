@@ -1109,6 +1109,34 @@ def q_leaf_search(spark, sf):
                    F.lit(fit.scans <= 4 * rounds + 1).alias("scans_bounded"))
 
 
+@query("embed_net")
+def q_embed_net(spark, sf):
+    """L6 + L7 + P13 + R2: a net with an embedding for every value of its category columns (the
+    parameters are a table), on a planted label with turned labels. Per part: its rows,
+    whether all are scored, whether the AUC passes 0.75, and whether patience ended the fit."""
+    from eventcraft.operators import embednet
+    from eventcraft.operators.encode import fit_scaler, scale
+    from eventcraft.operators.evaluate import auc
+    from eventcraft.operators.split import holdout
+    tr, _ = _model_frames(spark, sf)
+    cats, nums = ("channel", "hour", "device_brand"), ("mid_count", "ts_span")
+    d = holdout(tr.withColumn("planted", planted_label()), "planted", 0.2, 42).select(
+        "row_id", "planted", "is_valid", *cats, *nums).checkpoint(eager=True)
+    tr, va = d.where("is_valid = 0"), d.where("is_valid = 1")
+    stats = fit_scaler(tr, list(nums))
+    tr, va = scale(tr, stats), scale(va, stats)
+    net = embednet.fit(tr, va, embednet.Settings(cats, nums, rate=0.1, patience=5), "planted", "row_id")
+    scored = embednet.score(scale(d, stats), net, "row_id").join(
+        d.select("row_id", "planted", "is_valid"), "row_id").checkpoint(eager=True)
+    good = auc(scored, "planted", "score", ["is_valid"]).select(
+        "is_valid", (F.col("auc") > 0.75).alias("good_auc"))
+    return scored.groupBy("is_valid").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("planted").alias("n_positive"),
+        F.count_if(_in_range()).alias("scored")).join(good, "is_valid").select(
+        F.when(F.col("is_valid") == 1, "valid").otherwise("train").alias("part"), "n_rows",
+        "n_positive", "scored", "good_auc", F.lit(net.ended).alias("ended"))
+
+
 @query("sequence_dataset")
 def q_sequence_dataset(spark, sf):
     """W4 + W5 + A6 + A7 + E2 + E3 + F11: the sequence model's inputs for the test split,

@@ -780,6 +780,15 @@ SELECT fold, count(*) AS n_rows, CAST(sum(planted) AS BIGINT) AS n_positive, tru
 FROM f GROUP BY fold
 """
 
+SQL["embed_net"] = f"""{_PLANTED},
+v AS (SELECT planted, {_RANK.format(g='planted', i='row_id')}
+        <= floor(0.2 * count(*) OVER (PARTITION BY planted)) AS held FROM p)
+SELECT CASE WHEN held THEN 'valid' ELSE 'train' END AS part, count(*) AS n_rows,
+       CAST(sum(planted) AS BIGINT) AS n_positive, count(*) AS scored, true AS good_auc,
+       'patience' AS ended
+FROM v GROUP BY held
+"""
+
 SQL["category_split"] = f"""{EL}
 SELECT channel, count(*) AS n_rows, channel IN (1, 4, 6, 9, 12) AS positive_side
 FROM event_log GROUP BY channel
