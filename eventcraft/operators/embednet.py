@@ -115,11 +115,14 @@ def to_blocks(df: DataFrame, s: Settings, id_col: str, label: str | None = None)
 
 def with_weights(blocks: DataFrame, table: DataFrame) -> DataFrame:
     """Every block with the weights of its keys, (place, w) pairs: at most its rows x columns.
-    Keys that the table does not hold are left out and count as zeros."""
+    Keys that the table does not hold are left out and count as zeros.
+
+    Both joins are merge joins: Spark counts a list as one element, so it takes lists of
+    weights for small and would gather them on the driver to broadcast them."""
     uses = blocks.select("block", F.posexplode("keys").alias("place", "key"))
-    got = uses.join(table.select("key", "w"), "key").groupBy(F.col("block").alias("__b")).agg(
-        F.collect_list(F.struct("place", "w")).alias("weights"))
-    return blocks.join(got, F.col("block") == F.col("__b"), "left").drop("__b")
+    got = uses.join(table.select("key", "w").hint("merge"), "key").groupBy(
+        F.col("block").alias("__b")).agg(F.collect_list(F.struct("place", "w")).alias("weights"))
+    return blocks.join(got.hint("merge"), F.col("block") == F.col("__b"), "left").drop("__b")
 
 
 def forward(s: Settings, dense: np.ndarray, r: dict) -> tuple[np.ndarray, ...]:
@@ -173,7 +176,7 @@ def adam(w, m, v, g, t, rate):
 
 def update(table: DataFrame, grads: DataFrame, n: int, rate: float) -> DataFrame:
     """The table after one step: rows with a gradient move, the others stay as they are."""
-    g = grads.select("key", F.transform("g", lambda x: x / n).alias("g"))
+    g = grads.select("key", F.transform("g", lambda x: x / n).alias("g")).hint("merge")
     t = F.col("t") + 1
     m = F.zip_with("m", "g", lambda a, b: a * 0.9 + b * 0.1)
     v = F.zip_with("v", "g", lambda a, b: a * 0.999 + b * b * 0.001)

@@ -86,6 +86,18 @@ def test_unseen_values_and_empty_tables(spark):
     assert empty.aucs == [] and en.score(df, empty, "row_id").count() == 60
 
 
+def test_no_join_gathers_weights_on_the_driver(spark):
+    """Lists count as one element in Spark's estimates: these tables look small enough to broadcast."""
+    df, s = rows(spark, 200), en.Settings(("a", "b"), ("x",), width=2, hidden=3)
+    blocks = en.to_blocks(df, s, "row_id", "y").checkpoint()
+    table, dense = en.start_table(blocks, s).checkpoint(), en.start_dense(s)
+    grads = en.gradients(blocks, table, dense, s).checkpoint()
+    for step in (en.gradients(blocks, table, dense, s), en.update(table, grads, 200, 0.1),
+                 en._scored(blocks, table, dense, s)):
+        plan = step._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_a_million_categories(spark):
     df = spark.range(1_000_000).selectExpr("id as row_id", "concat('u', id) as a", "cast(id % 2 as int) as y")
     s = en.Settings(("a",), width=4, hidden=4)
