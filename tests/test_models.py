@@ -54,3 +54,19 @@ def test_search_resumes_from_ledger(spark, tmp_path):
     # only the third trial ran; the ledger holds each trial once
     assert sorted(r["trial_id"] for r in again.collect()) == [0, 1, 2]
     assert spark.read.parquet(ledger).count() == 3
+
+
+def test_forest_partitions_grow_with_the_rows(spark, monkeypatch):
+    from eventcraft.plans import model
+    seen = []
+
+    def fit(df, cols, est, _fit=model.fit_pipeline):
+        seen.append((df.rdd.getNumPartitions(), df.rdd.glom().map(len).max(), df.count()))
+        return _fit(df, cols, est)
+    monkeypatch.setattr(model, "fit_pipeline", fit)
+    monkeypatch.setattr(model, "FOREST_ROWS", 20)
+    df = _planted(spark).withColumn("y", (F.col("signal") > 0.5).cast("int")).coalesce(2)
+    kept = model.forest_select(df, ["signal", "mid"], "y", num_trees=3, max_depth=3)
+    assert {r.feature for r in kept.collect()} >= {"signal"}
+    parts, most, rows = seen[0]
+    assert parts >= rows / 20 and most <= 2 * 20 and rows == df.count()
