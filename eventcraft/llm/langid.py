@@ -7,15 +7,16 @@ the forward sum over every way to cut its bytes into pieces; a text's is the
 product over its words; the prediction is the likeliest language and its
 posterior.
 
-Training reads at most about ``docs_per_lang`` labelled documents of each
-language, picked by a hash of their text (the documented bound of the fit);
-counting the labels and predicting cover all rows and whole texts.
+Training reads all labelled documents as their distinct words with counts; a caller may
+bound it to about ``docs_per_lang`` documents of each language, picked by a hash of their
+text. Thresholds and predictions cover all rows and whole texts.
 """
 
 from __future__ import annotations
 
 import base64
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: labelled documents of a language that the fit reads, about
-DOCS_PER_LANG = 3000
+from eventcraft.operators.rank import running_totals
+
 #: longest piece in bytes; longest stretch of letters scored as one
 PIECE_BYTES, PART_LETTERS = 8, 24
 EM_ROUNDS = 3
 SMOOTHING = 0.02
+#: distinct words of a language that a task counts before it sends them on
+COUNT_WORDS = 1 << 17
 #: words whose scores a Python worker keeps; beyond it the cache starts again
 CACHE_WORDS = 150_000
 #: text that is split into words at once
@@ -167,10 +170,12 @@ class Model:
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-          docs_per_lang: int = DOCS_PER_LANG, rounds: int = EM_ROUNDS,
+          docs_per_lang: int | None = None, rounds: int = EM_ROUNDS,
           vocabulary: str | None = None) -> Model:
     """Fit on rows with a text and a label. Without any, the model knows no language.
 
+    ``docs_per_lang`` bounds the documents of a language that are read; none by default.
+
     What comes to the driver is bounded by the vocabulary times the languages.
     """
     d = docs.select(F.col(text_col).cast("string").alias("text"),
@@ -182,22 +187,31 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     size = len(own.pieces) + 1
     if not langs:
         return Model([], np.zeros((size, 0)), vocabulary)
-    share = F.create_map(*[x for g in langs for x in (
-        F.lit(g), F.lit(min(1.0, docs_per_lang / counts[g])))])
-    sample = d.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
+    if docs_per_lang is not None:
+        share = F.create_map(*[x for g in langs for x in (
+            F.lit(g), F.lit(min(1.0, docs_per_lang / counts[g])))])
+        d = d.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, Counter[str]] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for lang, n in found.items():
+                keys = list(n)
+                for k in range(0, len(keys), 10_000):
+                    part = keys[k:k + 10_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(part)), pa.array(part),
+                         pa.array([n[w] for w in part], pa.int64())], names=["lang", "word", "n"])
         for b in batches:
-            found: dict[tuple[str, str], int] = {}
             for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for w in words_of(text):
-                    found[lang, w] = found.get((lang, w), 0) + 1
-            if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k in found]), pa.array([k[1] for k in found]),
-                     pa.array(list(found.values()), pa.int64())], names=["lang", "word", "n"])
+                found.setdefault(lang, Counter()).update(words_of(text))
+            if sum(map(len, found.values())) > COUNT_WORDS:
+                yield from out()
+                found.clear()
+        yield from out()
 
-    words = sample.mapInArrow(split, "lang string, word string, n bigint").groupBy(
+    words = d.mapInArrow(split, "lang string, word string, n bigint").groupBy(
         "lang", "word").agg(F.sum("n").alias("n")).checkpoint()
     index = {g: i for i, g in enumerate(langs)}
     # start: every piece as likely as its length allows
@@ -311,23 +325,26 @@ def predict(model: Model, spark, text: Column, with_fit: bool = False) -> Column
 
 
 def least_fit(model: Model, docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-              docs_per_lang: int = DOCS_PER_LANG, lost: float = LOST) -> float:
+              lost: float = LOST) -> float:
     """The fit below which a text is of no learned language, from labelled rows held out of the fit.
 
     0, where the equally likely pieces explain a text as well as any language does,
-    or less if more than ``lost`` of about ``docs_per_lang`` held-out documents of each
-    language are below it. Without any: 0.
+    or less if more than ``lost`` of all held-out documents with a known label are below
+    it: the exact percentile of their fits. Without any: 0.
     """
     d = docs.select(F.col(text_col).cast("string").alias("text"),
                     F.col(lang_col).cast("string").alias("lang")).where(
         "text is not null").where(F.col("lang").isin(model.langs))
-    counts = {r["lang"]: r["count"] for r in d.groupBy("lang").count().collect()}
-    if not counts:
-        return 0.0
-    share = F.create_map(*[x for g, n in counts.items() for x in (
-        F.lit(g), F.lit(min(1.0, docs_per_lang / n)))])
-    d = d.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
     p = predict(model, docs.sparkSession, F.col("text"), with_fit=True)
-    # one use of the prediction: a filter on it would compute it a second time
-    low = d.select(p.alias("p")).agg(F.percentile("p.fit", F.lit(lost))).first()[0]
-    return min(0.0, low) if low is not None else 0.0
+    # stored: a filter on the prediction would compute it a second time
+    fits = d.select(p.alias("p")).select("p.fit").checkpoint(eager=True).where("fit is not null")
+    n, below = fits.agg(F.count(F.lit(1)), F.count_if(F.col("fit") < 0)).first()
+    at = (n - 1) * lost
+    if not n or below <= int(at):
+        return 0.0
+    # the two values that the place lies between, by a distributed order of all fits
+    places = running_totals(fits.withColumn("n", F.lit(1)), "fit", ["n"])
+    value = {k: places.where((F.col("n_lt") <= k) & (F.col("n_le") > k)).first()["fit"]
+             for k in {int(at), min(int(at) + 1, n - 1)}}
+    low, high = value[int(at)], value[min(int(at) + 1, n - 1)]
+    return min(0.0, low + (high - low) * (at - int(at)))

@@ -55,3 +55,25 @@ def test_edges(spark, ugly, empty):
     assert none.langs == [] and {r.p.lang for r in ugly.select(langid.predict(
         none, spark, F.col("text")).alias("p")).collect()} == {"und"}
     assert empty.select(langid.predict(model, spark, F.col("text"))).count() == 0
+
+
+def test_fit_and_threshold_read_all_labelled_rows(spark):
+    """7,000 documents a language: a sample's threshold and table would differ."""
+    docs = spark.range(7000).selectExpr(
+        "id as doc_id", "case when id % 100 = 7 then translate(sha2(string(id), 256), "
+        "'0123456789abcdef', '人生而自由在尊严和权利上一律平') else "
+        "concat('the house of number ', sha1(string(id div 50)), ' is open today') end as text",
+        "'en' as lang").checkpoint()
+    model = langid.train(docs)
+    whole = langid.train(docs, docs_per_lang=10**9)
+    assert np.array_equal(model.table, whole.table)
+    assert not np.allclose(model.table, langid.train(docs, docs_per_lang=3000).table)
+    model = langid.train(docs.where("doc_id % 100 <> 7 and doc_id < 500"))
+    fits = [r.p.fit for r in docs.select(langid.predict(
+        model, spark, F.col("text"), with_fit=True).alias("p")).collect()]
+    for lost in (0.001, 0.0, 0.004):
+        want = min(0.0, float(np.percentile(fits, 100 * lost)))
+        assert want < 0 and np.isclose(langid.least_fit(model, docs, lost=lost), want, rtol=1e-12)
+    assert langid.least_fit(model, docs.where("doc_id % 100 <> 7")) == min(
+        0.0, float(np.percentile([f for k, f in enumerate(fits) if k % 100 != 7], 0.1)))
+    assert langid.least_fit(model, docs.where("false")) == 0.0
