@@ -2,6 +2,7 @@ import itertools
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from eventcraft.operators import boost
 from eventcraft.operators.evaluate import auc
@@ -171,3 +172,46 @@ def test_odd_tables(spark, frame):
                                  (None, 2.0, 1.0, "", None, 0)], frame.schema)
     assert boost.score(odd, bins, same.models, "row_id").count() == 3
     assert boost.fit_bins(frame.where("false"), ["a"], ["c"]).values == [[]]
+
+
+def random_tree(r, features, size, leaves):
+    tree = boost.Tree()
+    tree.add(float(r.normal()))
+    open_ = [0]
+    while len(open_) < leaves:
+        k = open_.pop(int(r.integers(len(open_))))
+        tree.feature[k] = int(r.integers(features))
+        tree.left_bins[k] = np.flatnonzero(r.random(size) < 0.5).tolist()
+        tree.left[k], tree.right[k] = tree.add(float(r.normal())), tree.add(float(r.normal()))
+        open_ += [tree.left[k], tree.right[k]]
+    return tree
+
+
+def test_walk_finds_the_leaves_of_many_trees_at_once():
+    r = np.random.default_rng(5)
+    x = r.integers(0, 32, (6, 500)).astype(np.uint8)
+    trees = [random_tree(r, 6, 32, n) for n in (1, 2, 8, 9, 3, 64, 65, 8, 8, 1, 5, 7, 8, 8, 31, 8)]
+    walk = boost.Walk(trees, 6, 32)
+    for tree, node, code in zip(trees, walk.node, walk.codes(x), strict=True):
+        assert (node[code] == tree.leaf_of(x, 32)).all()
+    want = sum(np.array(t.value)[t.leaf_of(x, 32)] for t in trees)
+    assert np.allclose(walk.sums(x, [list(range(len(trees))), []])[0], want)
+
+
+def test_rows_alike_are_one_cell_and_count_as_rows(spark, frame):
+    """The same trees from cells as from rows; a fit reads fewer rows than the table has."""
+    bins = boost.fit_bins(frame, ["a"], ["c"], size=4)
+    d = frame.select("row_id", "a", "c", "y", F.expr("cast(row_id % 3 as int)").alias("fold"))
+    settings = [(boost.Params(rounds=3, leaves=5, min_rows=5), k, 0) for k in range(3)]
+    fit = boost.start(d, bins, "y", "row_id", settings, "fold")
+    cells = [r["n"] for r in fit.blocks.collect()]
+    rows = boost.start(d, bins, "y", "row_id", settings, "fold")
+    rows.blocks = rows.rows
+    assert sum(cells) <= 4 * 4 * 2 * 3 < frame.where("y is not null").count() == sum(
+        r["n"] for r in rows.blocks.collect())
+    for a, b in zip(fit.run(), rows.run(), strict=True):
+        assert a.auc == pytest.approx(b.auc)
+        for s, t in zip(a.trees, b.trees, strict=True):
+            assert (s.feature, s.left_bins, s.cover) == (t.feature, t.left_bins, t.cover)
+            assert s.value == pytest.approx(t.value)
+    assert boost.out_of_fold(fit).count() == frame.where("y is not null").count()
