@@ -39,11 +39,11 @@ CHUNK = 1 << 16
 #: fragments that one step of the tree joins
 FAN = 16
 #: links of the documents that look up their counts together
-BLOCK_LINKS = 1 << 22
+BLOCK_LINKS = 1 << 20
 #: pairs sent in one row
 PAIR_ROW = 1 << 16
 #: bytes of text that one step aligns
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 19
 #: bytes without a change between blanks and others from which the heap-based encoder is used:
 #: the faster one takes time in the square of such a run
 LONG_RUN = 1 << 10
@@ -452,6 +452,26 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_
     return d.where(~long).mapInArrow(run, DOCS).unionByName(_long_texts(d.where(long), chunk, paths))
 
 
+def _flat(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The links of a column without nulls, end to end in its own buffer, and where each row's start.
+
+    Nothing is copied row by row: small objects by the million would stay in a worker's heap.
+    """
+    wide = pa.types.is_large_binary(col.type)
+    off = np.frombuffer(col.buffers()[1], np.int64 if wide else np.int32,
+                        count=col.offset + len(col) + 1)[col.offset:].astype(np.int64)
+    if off[0] == off[-1]:
+        return np.zeros(0, dtype=np.uint32), off - off[0]
+    data = np.frombuffer(col.buffers()[2], dtype=np.uint8)[off[0]:off[-1]]
+    return data.view(np.uint32), (off - off[0]) // 4
+
+
+def _release() -> None:
+    """Give back what earlier stages left in a reused worker: its tokenizers and free Arrow memory."""
+    _LOADED.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def blocks(aligned: DataFrame, size: int = BLOCK_LINKS) -> DataFrame:
     """The documents with a block number, and for each block its distinct pairs and their links."""
     keep = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"]
@@ -475,9 +495,8 @@ def blocks(aligned: DataFrame, size: int = BLOCK_LINKS) -> DataFrame:
                 [pa.array(np.full(b.num_rows, block)), *b.columns,
                  *[pa.nulls(b.num_rows, pa.list_(pa.int64()))] * 2],
                 names=["block", *keep, "pairs", "counts"])
-            for x in links.to_pylist():
-                held.append(np.frombuffer(x, dtype=np.uint32))
-                n += len(held[-1])
+            held.append(_flat(links)[0].copy())
+            n += len(held[-1])
             if n >= size:
                 yield from pairs()
                 block, held, n = block + 1, [], 0
@@ -514,6 +533,7 @@ def document_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
            "count_sum bigint, groups_sha256 string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _release()
         block, held, pairs, n, best = None, [], None, None, None
         for b in batches:
             state = b.column(0).to_numpy() * 2 + b.column(1).to_numpy()
@@ -525,23 +545,23 @@ def document_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 if g.column(0)[0].as_py() != block:
                     block, held, pairs = g.column(0)[0].as_py(), [], None
                 if g.column(1)[0].as_py() == 0:
-                    held.append((g.column(2).to_numpy(), g.column(3).to_numpy(),
+                    held.append((g.column(2).to_numpy().astype(np.uint32), g.column(3).to_numpy().copy(),
                                  g.column(4).to_numpy(zero_copy_only=False)))
                     continue
                 if pairs is None and held:
                     pairs, n, best = (np.concatenate(x) for x in zip(*held, strict=True))
                     held = []
-                total, most = [], []
-                for x in g.column(11).to_pylist():
-                    if not x:
-                        total.append(0), most.append(0)
-                        continue
-                    where = np.searchsorted(pairs, np.frombuffer(x, dtype=np.uint32))
-                    total.append(int(n[where].sum()))
-                    most.append(int(np.count_nonzero(best[where])))
-                yield pa.RecordBatch.from_arrays(
-                    [*g.columns[5:10], pa.array(most, pa.int64()), pa.array(total, pa.int64()),
-                     g.column(10)], names=[c.split()[0] for c in out.split(", ")])
+                for part in slices(iter([g]), 11, STEP_BYTES):
+                    links, at_link = _flat(part.column(11))
+                    total, most = np.zeros((2, len(links) + 1), dtype=np.int64)
+                    if len(links):
+                        where = np.searchsorted(pairs, links)
+                        np.cumsum(n[where], out=total[1:])
+                        np.cumsum(best[where], out=most[1:])
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns[5:10], pa.array(np.diff(most[at_link])),
+                         pa.array(np.diff(total[at_link])), part.column(10)],
+                        names=[c.split()[0] for c in out.split(", ")])
 
     return rows.select("block", "kind", "pair", "n", "best", *keep).repartition(
         "block").sortWithinPartitions("block", "kind", "pair").mapInArrow(run, out)

@@ -135,3 +135,20 @@ def test_query(spark):
     for r, w in zip(rows, want, strict=True):
         g = got[r.doc_id]
         assert (*g[:4], g[6]) == (*w[:4], w[6])
+
+
+def test_links_are_read_in_place(monkeypatch):
+    """Slices, empty rows and columns; a reused worker gives its tokenizers back."""
+    import pyarrow as pa
+    rows = [b"", np.arange(3, dtype=np.uint32).tobytes(), b"", np.array([9, 7], np.uint32).tobytes()]
+    for kind in (pa.binary(), pa.large_binary()):
+        col = pa.array(rows, kind)
+        links, at = align._flat(col)
+        assert links.tolist() == [0, 1, 2, 9, 7] and at.tolist() == [0, 0, 3, 3, 5]
+        links, at = align._flat(col.slice(2))
+        assert links.tolist() == [9, 7] and at.tolist() == [0, 0, 2]
+        links, at = align._flat(col.slice(0, 1))
+        assert links.tolist() == [] and at.tolist() == [0, 0]
+    monkeypatch.setattr(align, "_LOADED", {("a", "b"): None})
+    align._release()
+    assert align._LOADED == {}
