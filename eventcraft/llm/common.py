@@ -246,12 +246,13 @@ def shared_ids(rows: DataFrame, classes: DataFrame, id_col: str, keys: list[str]
                total: int) -> DataFrame:
     """Edges (a, b) from each id whose rows lie in several classes to those classes' ``rep``.
 
-    ``classes`` holds ``keys``, ``rep`` and the number of rows in ``copies``.
+    ``classes`` holds ``keys``, ``rep`` and the number of rows in ``copies``. The rows of
+    such ids, few as a rule, are stored: both halves of the join read them.
     """
     several = rows.groupBy(id_col).agg(F.min(F.xxhash64(*keys)).alias("x"), F.max(
         F.xxhash64(*keys)).alias("y")).where("x <> y").select(id_col)
-    return join_groups(rows.join(several, id_col, "left_semi").select(id_col, *keys), classes.select(
-        *keys, "rep", "copies"), keys, "copies", total).select(
+    rows = rows.join(several, id_col, "left_semi").select(id_col, *keys).checkpoint()
+    return join_groups(rows, classes.select(*keys, "rep", "copies"), keys, "copies", total).select(
         F.col(id_col).alias("a"), F.col("rep").alias("b"))
 
 

@@ -281,11 +281,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sig = write_table(signatures(docs, *bands_for(num / den), id_col, text_col), "signatures")
     real = sig.where("doc_id is not null and n_shingles > 0")
     total = sig.count()
+    # what several plans read is stored: plans that repeat it keep many more stages, tasks and
+    # broadcasts in the driver's memory at once
     prints = ["print1", "print2", "n_shingles"]
     classes = real.groupBy(*prints).agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")).checkpoint()
-    own = real.join(classes.select("print1", "print2", F.col("rep").alias("doc_id")),
-                    ["doc_id", "print1", "print2"]).select("doc_id", "n_shingles", "keys", "low")
+    own = write_table(real.join(
+        classes.select("print1", "print2", F.col("rep").alias("doc_id")),
+        ["doc_id", "print1", "print2"]).select("doc_id", "n_shingles", "keys", "low"), "classes")
 
     # buckets: (band key) -> representatives; large ones as block pairs
     banded = own.select("doc_id", "low", F.explode("keys").alias("key"))
@@ -303,11 +306,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # coarse groups: the whole shingle sets of their members meet
     member = own.select("doc_id", "n_shingles").join(
-        coarse.withColumnRenamed("id", "doc_id"), "doc_id")
+        coarse.withColumnRenamed("id", "doc_id"), "doc_id").checkpoint()
     sizes = member.groupBy("component").agg(
         F.count(F.lit(1)).alias("n"), F.greatest(
             F.ceil(F.count(F.lit(1)) / GROUP_BLOCK),
-            F.ceil(F.sum("n_shingles") / SHINGLE_BLOCK)).alias("blocks"))
+            F.ceil(F.sum("n_shingles") / SHINGLE_BLOCK)).alias("blocks")).checkpoint()
     member = join_groups(member.select("doc_id", "component"), sizes, ["component"], "n",
                          total).checkpoint()
     picked = member.select("doc_id")
@@ -333,7 +336,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         real.select("doc_id", *prints), classes, "doc_id", prints, total)), united=True)
 
     classes = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
-        *prints, "copies", F.coalesce("component", "rep").alias("component_id"))
+        *prints, "copies", F.coalesce("component", "rep").alias("component_id")).checkpoint()
     linked = join_groups(real.select("doc_id", *prints), classes, prints, "copies", total).select(
         "doc_id", "n_shingles", "component_id")
     alone = sig.where("doc_id is null or n_shingles = 0").select(

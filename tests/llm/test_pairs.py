@@ -55,6 +55,14 @@ def test_an_id_in_two_classes_is_one_vertex(spark):
     assert got == [(3, 3), (5, 3), (5, 3), (9, 3)]
 
 
+def test_the_last_plan_repeats_no_earlier_step(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x y z u v w"), (3, "o p")],
+                                 "doc_id bigint, text string")
+    plan = minhash.near_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
+    # what is left joins the documents to their stored classes, hot ones by broadcast
+    assert plan.count("Exchange") <= 8 and plan.count("HashAggregate") == 0
+
+
 def near_texts(n=60, seed=3):
     r = np.random.default_rng(seed)
     words = [f"w{k}" for k in range(400)]
