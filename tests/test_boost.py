@@ -215,3 +215,41 @@ def test_rows_alike_are_one_cell_and_count_as_rows(spark, frame):
             assert (s.feature, s.left_bins, s.cover) == (t.feature, t.left_bins, t.cover)
             assert s.value == pytest.approx(t.value)
     assert boost.out_of_fold(fit).count() == frame.where("y is not null").count()
+
+
+def test_features_share_codes_and_part_into_the_same_sums():
+    r = np.random.default_rng(7)
+    levels = (2, 31, 3, 5, 31, 2, 12, 1, 256, 0)
+    used = [np.sort(r.choice(256, n, replace=False)) for n in levels]
+    x = np.stack([u[r.integers(0, len(u), 700)] if len(u) else np.zeros(700) for u in used]).astype(np.uint8)
+    for limit in (1, 64, 1024):
+        groups = boost.Groups(used, limit)
+        codes = groups.pack(x)
+        assert sorted(f for m in groups.members for f in m) == list(range(len(levels)))
+        assert all(n <= limit or len(m) == 1 for n, m in zip(groups.sizes, groups.members, strict=True))
+        assert (groups.unpack(codes)[:9] == x[:9]).all()
+        place, w = r.integers(0, 3, 700), r.normal(size=(2, 700))
+        sums = [np.stack([np.bincount(place * n + c, v, 3 * n).reshape(3, n) for v in w])
+                for c, n in zip(codes, groups.sizes, strict=True)]
+        got = groups.part(sums, 256)
+        for f in range(9):
+            for k, v in enumerate(w):
+                want = np.bincount(place * 256 + x[f], v, 3 * 256).reshape(3, 256)
+                assert got[:, f, :, k] == pytest.approx(want)
+        trees = [random_tree(r, 9, 256, n) for n in (1, 8, 30, 70, 5)]
+        walk = boost.Walk(trees, len(levels), 256, groups)
+        for tree, node, code in zip(trees, walk.node, walk.codes(codes), strict=True):
+            assert (node[code] == tree.leaf_of(x, 256)).all()
+
+
+def test_passes_read_fewer_codes_than_features_and_not_the_last_split(frame):
+    """Blocks hold shared codes; the split that fills a tree needs no pass for its leaves."""
+    d = frame.selectExpr("row_id", "a", "c", "y", "cast(row_id % 2 as double) as d",
+                         "cast(row_id % 3 as double) as e", "cast(row_id % 7 as double) as f")
+    bins = boost.fit_bins(d, ["a", "d", "e", "f"], ["c"], size=32)
+    fit = boost.start(d, bins, "y", "row_id", [(boost.Params(rounds=1, leaves=2, row_share=0.8), -1, 0)])
+    tree = fit.run()[0].trees[0]
+    assert len(fit.groups.sizes) < 5
+    assert fit.scans == 2  # the root's, and the one that ends the fit
+    assert sum(tree.cover[k] for k in (tree.left[0], tree.right[0])) == tree.cover[0] > 0
+    assert tree.value[tree.left[0]] != tree.value[tree.right[0]]
