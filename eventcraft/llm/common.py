@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,35 @@ def fold(col: Column | str, parts: int) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % F.lit(parts)
 
 
+#: what modules keep in a Python worker between tasks: vocabularies and word caches
+HELD: dict[str, dict] = {}
+
+
+def give_back(keep: str = "") -> None:
+    """Drop what other stages (all of HELD but ``keep``) left in a reused worker, and free its memory."""
+    for name, held in HELD.items():
+        if name != keep:
+            held.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed memory otherwise
+    if trim is not None:
+        trim(0)
+
+
+def lean(step: Callable[[Iterator], Iterator], keep: str = "") -> Callable[[Iterator], Iterator]:
+    """A task's ``step`` over Arrow batches that leaves little behind in its worker.
+
+    Workers outlive their tasks, and those of all stages share an executor's memory with
+    later stages, also with those that run without Python.
+    """
+    def run(batches: Iterator) -> Iterator:
+        give_back(keep)
+        yield from step(batches)
+        give_back(keep)
+    return run
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int = 1,
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each slice holds about ``limit`` bytes of ``column``."""
@@ -194,7 +225,7 @@ def unite(batches: Iterator[pa.RecordBatch], limit: int = TASK_EDGES) -> Iterato
 
 def spanning(edges: DataFrame, limit: int = TASK_EDGES) -> DataFrame:
     """``unite`` the edges (a, b) of each task."""
-    return edges.select("a", "b").mapInArrow(lambda it: unite(it, limit), "a bigint, b bigint")
+    return edges.select("a", "b").mapInArrow(lean(lambda it: unite(it, limit)), "a bigint, b bigint")
 
 
 def connected(edges: DataFrame, rounds: int = 60, task_edges: int = TASK_EDGES,

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventcraft.llm.common import HELD, lean
 from eventcraft.operators.rank import running_totals
 
 #: longest piece in bytes; longest stretch of letters scored as one
@@ -94,7 +95,7 @@ class Pieces:
         return at, size
 
 
-_PIECES: dict[str | None, Pieces] = {}
+_PIECES: dict[str | None, Pieces] = HELD.setdefault("langid", {})
 
 
 def pieces(path: str | None = None) -> Pieces:
@@ -211,7 +212,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                 found.clear()
         yield from out()
 
-    words = d.mapInArrow(split, "lang string, word string, n bigint").groupBy(
+    words = d.mapInArrow(lean(split, "langid"), "lang string, word string, n bigint").groupBy(
         "lang", "word").agg(F.sum("n").alias("n")).checkpoint()
     index = {g: i for i, g in enumerate(langs)}
     # start: every piece as likely as its length allows
@@ -237,7 +238,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                     [pa.array(p, pa.int64()), pa.array(g, pa.int64()), pa.array(total[p, g])],
                     names=["piece", "lang", "n"])
 
-        got = words.mapInArrow(step, "piece bigint, lang bigint, n double").groupBy(
+        got = words.mapInArrow(lean(step, "langid"), "piece bigint, lang bigint, n double").groupBy(
             "piece", "lang").agg(F.sum("n").alias("n")).toArrow()
         table = np.zeros((size, len(langs)))
         table[got["piece"].to_numpy(), got["lang"].to_numpy()] = got["n"].to_numpy()
@@ -302,8 +303,7 @@ def predict(model: Model, spark, text: Column, with_fit: bool = False) -> Column
                          T.StructField("score", T.DoubleType())]
                         + [T.StructField("fit", T.DoubleType())] * with_fit)
 
-    @F.arrow_udf(kind)
-    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def scores(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = _Scorer(shared.value, with_fit)
         for col in parts:
             lang, score, fit, at = [], [], [], 0
@@ -321,6 +321,10 @@ def predict(model: Model, spark, text: Column, with_fit: bool = False) -> Column
                 x) if x else np.zeros(0), from_pandas=True) for x in (score, fit)[:1 + with_fit])]
             yield pa.StructArray.from_arrays(cols, names=kind.names)
 
+    @F.arrow_udf(kind)
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from lean(scores, "langid")(parts)
+
     return run(text.cast("string"))
 
 

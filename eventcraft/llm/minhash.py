@@ -32,6 +32,7 @@ from eventcraft.llm.common import (
     block_pairs,
     connected,
     join_groups,
+    lean,
     mix64,
     runs,
     shared_ids,
@@ -171,7 +172,7 @@ def signatures(docs: DataFrame, bands: int, rows: int, id_col: str = "doc_id",
                 names=["doc_id", "n_shingles", "print1", "print2", "keys", "low"])
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
-                       F.col(text_col).cast("string").alias("text")).mapInArrow(run, SIGNATURES)
+                       F.col(text_col).cast("string").alias("text")).mapInArrow(lean(run), SIGNATURES)
 
 
 def _words(col: pa.ChunkedArray) -> np.ndarray:
@@ -301,7 +302,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          F.xxhash64("doc_id"))
     near = banded.select("key", "i", "j", "doc_id", "side", "low").repartition(
         "key", "i", "j").sortWithinPartitions("key", "i", "j", "doc_id").mapInArrow(
-        lambda it: unite(_near(it, least)), "a bigint, b bigint")
+        lean(lambda it: unite(_near(it, least))), "a bigint, b bigint")
     coarse = connected(near, united=True).checkpoint()
 
     # coarse groups: the whole shingle sets of their members meet
@@ -326,11 +327,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  pa.array([low_bits(minima(x)) for x in found], pa.binary())],
                 names=["doc_id", "shingles", "low"])
 
-    group = block_pairs(texts.mapInArrow(sets, SETS).join(member, "doc_id"), "blocks",
+    group = block_pairs(texts.mapInArrow(lean(sets), SETS).join(member, "doc_id"), "blocks",
                         F.xxhash64("doc_id"))
     links = group.select("component", "i", "j", "doc_id", "side", "shingles", "low").repartition(
         "component", "i", "j").sortWithinPartitions("component", "i", "j", "doc_id").mapInArrow(
-        lambda it: unite(_confirm(it, num, den, least)), "a bigint, b bigint")
+        lean(lambda it: unite(_confirm(it, num, den, least))), "a bigint, b bigint")
     # an id in several classes is still one vertex
     found = connected(links.unionByName(shared_ids(
         real.select("doc_id", *prints), classes, "doc_id", prints, total)), united=True)

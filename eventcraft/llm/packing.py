@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from eventcraft.llm.common import slices
+from eventcraft.llm.common import lean, slices
 from eventcraft.llm.tokens import END_ID, in_id_order, word_ids
 
 WINDOW = 4096
@@ -229,4 +229,4 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
         if stream.pending:
             yield batch(stream.place(True))
 
-    return in_id_order(docs, id_col, text_col).mapInArrow(run, PIECES)
+    return in_id_order(docs, id_col, text_col).mapInArrow(lean(run, "tokens"), PIECES)

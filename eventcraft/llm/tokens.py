@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventcraft.llm.common import Recent, int_lists, slices
+from eventcraft.llm.common import HELD, Recent, int_lists, slices
 
 END_ID = 2
 #: words kept by a Python worker in each of two generations
@@ -108,7 +108,7 @@ class WordIds:
         return b"".join(map(known.__getitem__, words))
 
 
-_LOADED: dict[str, WordIds] = {}
+_LOADED: dict[str, WordIds] = HELD.setdefault("tokens", {})
 
 
 def word_ids(path: str | None = None) -> WordIds:

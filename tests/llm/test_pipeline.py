@@ -5,6 +5,7 @@ import string
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
+from eventcraft.llm import common, langid, tokens
 from eventcraft.llm.common import table
 from eventcraft.llm.queries import SQL
 from tests.llm.test_pairs import brute
@@ -76,3 +77,24 @@ def test_language_without_labels_drops_texts_without_letters(spark, ugly):
     out = cp.language(spark, ugly.withColumn("lang", F.lit(None).cast("string")), SF).collect()
     want = [x for x in ugly.collect() if re.search(r"[^\W\d_]", x.text or "")]
     assert len(out) == len(want) < ugly.count()
+
+
+def test_a_stage_leaves_a_worker_what_it_keeps_alone():
+    """Vocabularies and caches of other stages are dropped before and after a step."""
+    held = tokens._LOADED, langid._PIECES
+    before = [dict(h) for h in held]
+    try:
+        for keep, stay in (("", []), ("tokens", [0]), ("langid", [1])):
+            seen = []
+
+            def step(it, seen=seen):
+                seen.append([k for k, h in enumerate(held) if h])
+                yield from it
+            for h in held:
+                h["probe"] = object()
+            assert list(common.lean(step, keep)(iter([1, 2]))) == [1, 2]
+            assert seen == [stay] and [k for k, h in enumerate(held) if h] == stay
+    finally:
+        for h, old in zip(held, before, strict=True):
+            h.clear()
+            h.update(old)
