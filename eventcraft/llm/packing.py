@@ -221,8 +221,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
                 names=PIECES.names)
 
         for b in slices(batches):
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if ids := own.ids(text) + end:
+            all_ids, off = own.texts(b.column(1))
+            for doc_id, s, e in zip(b.column(0).to_pylist(), off, off[1:], strict=False):
+                if ids := all_ids[s:e].tobytes() + end:
                     stream.add(doc_id, ids)
                 if stream.pending >= block_windows * window:
                     yield batch(stream.place(False))

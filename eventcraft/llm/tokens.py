@@ -1,9 +1,9 @@
 """Token ids of whole texts by a public vocabulary, and Parquet token files.
 
-``WordIds`` gives the ids of the installed tokenizers library; words are
-looked up in a bounded cache, since most words of a corpus repeat. White space
+``WordIds`` gives the ids of the installed tokenizers library. White space
 always ends a token of this vocabulary and is dropped, so the ids of a text
-are those of its words in order.
+are those of its words in order; the texts of a slice are taken together, and
+each of their distinct words is encoded once.
 
 Token files (``write_tokens``) are Parquet with one row per document in
 ascending id order: ``tokens`` is a dictionary-encoded list column, the
@@ -14,33 +14,33 @@ alone, without reading the rest.
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventcraft.llm.common import HELD, Recent, int_lists, slices
+from eventcraft.llm.common import HELD, Recent, int_lists, slices, text_bytes
 
 END_ID = 2
-#: words kept by a Python worker in each of two generations
+#: words that only the library encodes, kept by a Python worker in each of two generations
 CACHE_WORDS = 120_000
-#: characters of a word from which the library itself encodes it: the faster encoder takes
+#: bytes of a word from which the library itself encodes it: the faster encoder takes
 #: time in the square of a part's length
 LONG_PART = 1 << 9
+#: bytes of text whose words are encoded together
+STEP_BYTES = 4 << 20
 
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-_ASCII_SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: all but printable ASCII without the apostrophe, Latin-1 letters, and the mark of an end
-_NOT_PLAIN = re.compile("[^!-&(-~À-ÖØ-öø-ÿ\n]|<\\|")
-_PARTS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^A-Za-z0-9À-ÖØ-öø-ÿ]+")
+_NOT_PLAIN = "[^!-&(-~À-ÖØ-öø-ÿ]|<\\|"
+_PARTS = f"([{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}]+)"
 
 
 #: stands for a word part's end; no word has it, as it is white space
@@ -55,7 +55,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 class WordIds:
-    """Ids of a text as little-endian unsigned 32-bit bytes.
+    """Ids of texts as little-endian unsigned 32-bit numbers.
 
     The ids of this kind of vocabulary ascend in merge order (bytes, bytes that end a
     word, merges), so they are the ranks that a byte-pair encoder merges by, with one
@@ -84,28 +84,44 @@ class WordIds:
         """A word by the library itself."""
         return array("I", self.whole.encode(word, add_special_tokens=False).ids).tobytes()
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """The ids of each word: those of plain characters in one call, part by part."""
-        if _NOT_PLAIN.search(_END.join(words)) or max(map(len, words)) >= LONG_PART:
-            plain = [len(w) < LONG_PART and not _NOT_PLAIN.search(w) for w in words]
-            some = [w for w, ok in zip(words, plain, strict=True) if ok]
-            known = iter(self._words(some) if some else ())
-            return [next(known) if ok else self._odd(w) for w, ok in zip(words, plain, strict=True)]
-        parts = list(map(_PARTS.findall, words))
-        ids = np.array(self.pieces.encode_ordinary(
-            _END.join(chain.from_iterable(parts)).lower() + _END), dtype="<u4")
-        after = np.flatnonzero(self.ends[ids]) + 1
-        stop = (4 * after[np.cumsum([len(x) for x in parts]) - 1]).tolist()
-        data = ids.tobytes()
-        return [data[s:e] for s, e in zip([0, *stop], stop, strict=False)]
+    def _plain(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of short words of plain characters, by one call, and how many each word has."""
+        parts = pc.replace_substring_regex(words, _PARTS, f"\\1{_END}")
+        ids = self.pieces.encode_to_numpy(text_bytes(parts)[0].tobytes().decode().lower())
+        last = np.cumsum(pc.count_substring(parts, _END).to_numpy())
+        stop = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])[last]
+        return ids.astype("<u4", copy=False), np.diff(stop, prepend=0)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of distinct words, where each word's ids start in them, and how many it has."""
+        odd = pc.or_(pc.match_substring_regex(words, _NOT_PLAIN),
+                     pc.greater_equal(pc.binary_length(words), LONG_PART))
+        ids, n = self._plain(words.filter(pc.invert(odd)))
+        odd = odd.to_numpy(zero_copy_only=False)
+        if not odd.any():
+            return ids, np.cumsum(n) - n, n
+        rest = words.filter(pa.array(odd)).to_pylist()
+        known = self.cache.fill(rest, self._odd)
+        rest = [known[w] for w in rest]
+        n = np.concatenate([n, np.fromiter(map(len, rest), np.int64, len(rest)) // 4])
+        ids = np.concatenate([ids, np.frombuffer(b"".join(rest), dtype="<u4")])
+        order = np.argsort(np.argsort(odd, kind="stable"), kind="stable")  # the odd ones are last
+        return ids, (np.cumsum(n) - n)[order], n[order]
+
+    def texts(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a column of texts (null: none) end to end, and the texts' offsets in them."""
+        lists = pc.ascii_split_whitespace(col.cast(pa.string()).fill_null(""))
+        words = lists.flatten().dictionary_encode()
+        ids, start, n = self._words(words.dictionary)
+        which = words.indices.to_numpy()
+        n = n[which]
+        after = np.concatenate([[0], np.cumsum(n)])
+        at = np.arange(after[-1])
+        at += np.repeat(start[which] - after[:-1], n)
+        return ids[at], after[lists.offsets.to_numpy()]
 
     def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        words = text.split() if not _ODD_SPACE.search(text) else [
-            w for w in _ASCII_SPACE.split(text) if w]
-        known = self.cache.fill_all(words, self._words)
-        return b"".join(map(known.__getitem__, words))
+        return self.texts(pa.array([text], pa.string()))[0].tobytes()
 
 
 _LOADED: dict[str, WordIds] = HELD.setdefault("tokens", {})
@@ -140,20 +156,18 @@ TOKEN_SCHEMA = T.StructType([
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            vocabulary: str | None = None, end_id: int | None = END_ID) -> DataFrame:
     """One row per document in id order: its ids, and the ids before it in its range."""
-    end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, before, own = TaskContext.get().partitionId(), 0, word_ids(vocabulary)
-        for b in slices(batches):
-            rows = [own.ids(t) + end for t in b.column(1).to_pylist()]
-            n = np.fromiter((len(r) // 4 for r in rows), np.int64, len(rows))
-            off = np.concatenate([[0], np.cumsum(n)])
-            ids = np.frombuffer(b"".join(rows), dtype="<u4").astype(np.int32, copy=False)
+        for b in slices(batches, limit=STEP_BYTES):
+            ids, off = own.texts(b.column(1))
+            if end_id is not None:
+                ids, off = np.insert(ids, off[1:], end_id), off + np.arange(len(off))
             yield pa.RecordBatch.from_arrays([
-                b.column(0), pa.array(np.full(len(rows), part, np.int32)),
-                pa.array(before + off[:-1]), pa.array(n),
-                int_lists(ids, off, pa.int32())], names=TOKEN_SCHEMA.names)
+                b.column(0), pa.array(np.full(b.num_rows, part, np.int32)),
+                pa.array(before + off[:-1]), pa.array(np.diff(off)),
+                int_lists(ids.view("<i4"), off, pa.int32())], names=TOKEN_SCHEMA.names)
             before += int(off[-1])
 
     return in_id_order(docs, id_col, text_col).mapInArrow(run, TOKEN_SCHEMA)

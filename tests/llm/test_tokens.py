@@ -1,7 +1,9 @@
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
@@ -34,6 +36,42 @@ def test_word_ids_equal_the_library(text):
     assert np.frombuffer(own.ids(text), "<u4").tolist() + [2] == ids_of(text)
 
 
+ODD_TEXTS = ["plain words, 12 of them's", None, "", "  \n", "Ünïcode ÷ × word's<|endoftext|>", "x" * 600,
+             "é" * 255 + " " + "é" * 256, "a\xa0b \u2003c d\x1ce", "слово и plain", "слово 中文 😀 e\u0301",
+             " lead and trail ", "< | <|", "İı ß ẞ Å"]
+
+
+def test_texts_together_equal_the_library():
+    own = tokens.WordIds(public_tokenizers.path("word_bpe_49k.json"), cache_words=2)
+    for rows in (ODD_TEXTS, ODD_TEXTS[::-1], ODD_TEXTS[2:4], [None]):
+        for kind in (pa.string(), pa.large_string()):
+            col = pa.array(["cut off", *rows], kind)[1:]
+            ids, off = own.texts(col)
+            assert [ids[s:e].tolist() + [2] for s, e in zip(off[:-1], off[1:], strict=True)] == [
+                ids_of(t) for t in rows]
+
+
+def test_words_cost_little_more_than_their_encoder():
+    own = tokens.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    r = np.random.default_rng(4)
+
+    def seconds(step, *args):
+        began = time.process_time()
+        step(*args)
+        return time.process_time() - began
+
+    def text():  # new words each time, each of them about five times
+        words = ["".join(map(chr, w)) for w in r.integers(97, 123, size=(40_000, 7))]
+        return words, " ".join(words[i] for i in r.integers(0, len(words), size=200_000))
+
+    ratios = []
+    for _ in range(5):
+        words, whole = text()
+        bare = seconds(own.pieces.encode_to_numpy, "\n".join(words) + "\n")
+        ratios.append(seconds(own.ids, whole) / bare)
+    assert min(ratios) < 3
+
+
 def test_token_files_round_trip(spark, ugly, empty):
     path = shared_path(spark, "tok")
     tokens.write_tokens(ugly, path)
