@@ -7,6 +7,10 @@ number of categories.
 
 Training rows are packed once into blocks; a block lists each of its keys once, so a value
 that a third of all rows share is sent to a block once and comes back as one gradient.
+
+Blocks are stored by their number, the list of what they use and the table by key, so a step is
+one plan with two exchanges: weights go to the blocks, gradients to the keys. The driver, which
+plans every step of a long fit, then stays small.
 """
 
 from __future__ import annotations
@@ -20,9 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventcraft.operators.evaluate import auc
-from eventcraft.session import ensure_checkpoint_dir
+from eventcraft.session import STORED_ROWS, ensure_checkpoint_dir, let_go, settings
 
 BLOCK_ROWS = 4096
+#: blocks, and uses of a key by a block, that are stored in a partition, about
+PART_BLOCKS, PART_USES = 64, 1 << 16
 BLOCK = ("block bigint, n int, id binary, y binary, num binary, slot binary, keys array<string>")
 DENSE = "\0dense"  # key of the dense part's gradient; categories' keys start with a digit
 GRADIENT = "key string, block bigint, g array<double>, n bigint, loss double"
@@ -113,16 +119,50 @@ def to_blocks(df: DataFrame, s: Settings, id_col: str, label: str | None = None)
         "block").applyInArrow(pack, BLOCK)
 
 
-def with_weights(blocks: DataFrame, table: DataFrame) -> DataFrame:
+@dataclass
+class Stored:
+    """Blocks by number, and which blocks use a key at which place of their list, by key; both are
+    checkpointed in ``parts`` and ``use_parts`` partitions that joins find in place."""
+    blocks: DataFrame
+    uses: DataFrame
+    parts: int
+    use_parts: int
+
+    def where(self, batches: int, k: int) -> Stored:
+        own = F.pmod("block", F.lit(batches)) == k
+        return replace(self, blocks=self.blocks.where(own), uses=self.uses.where(own))
+
+
+def uses_of(blocks: DataFrame) -> DataFrame:
+    return blocks.select("block", F.posexplode("keys").alias("place", "key"))
+
+
+def store(blocks: DataFrame) -> Stored:
+    """``blocks`` must be checkpointed: they are read to count them and to store them by number."""
+    n, uses = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()
+    cores = blocks.sparkSession.sparkContext.defaultParallelism
+    # two at least: of a single partition Spark forgets the key
+    parts = max(2, min(n, max(cores, -(-n // PART_BLOCKS))))
+    use_parts = max(2, -(-uses // PART_USES))
+    with settings(blocks.sparkSession, STORED_ROWS):
+        kept = blocks.repartition(parts, "block").sortWithinPartitions("block").checkpoint(eager=True)
+        return Stored(kept, uses_of(kept).repartition(use_parts, "key").sortWithinPartitions(
+            "key").checkpoint(eager=True), parts, use_parts)
+
+
+def with_weights(blocks: DataFrame | Stored, table: DataFrame) -> DataFrame:
     """Every block with the weights of its keys, (place, w) pairs: at most its rows x columns.
     Keys that the table does not hold are left out and count as zeros.
 
     Both joins are merge joins: Spark counts a list as one element, so it takes lists of
     weights for small and would gather them on the driver to broadcast them."""
-    uses = blocks.select("block", F.posexplode("keys").alias("place", "key"))
-    got = uses.join(table.select("key", "w").hint("merge"), "key").groupBy(
-        F.col("block").alias("__b")).agg(F.collect_list(F.struct("place", "w")).alias("weights"))
-    return blocks.join(got.hint("merge"), F.col("block") == F.col("__b"), "left").drop("__b")
+    stored = isinstance(blocks, Stored)
+    uses, rows = (blocks.uses, blocks.blocks) if stored else (uses_of(blocks), blocks)
+    got = uses.join(table.select("key", "w").hint("merge"), "key").withColumnRenamed("block", "__b")
+    if stored:
+        got = got.repartition(blocks.parts, "__b")
+    got = got.groupBy("__b").agg(F.collect_list(F.struct("place", "w")).alias("weights"))
+    return rows.join(got.hint("merge"), F.col("block") == F.col("__b"), "left").drop("__b")
 
 
 def forward(s: Settings, dense: np.ndarray, r: dict) -> tuple[np.ndarray, ...]:
@@ -139,7 +179,7 @@ def forward(s: Settings, dense: np.ndarray, r: dict) -> tuple[np.ndarray, ...]:
     return np.frombuffer(r["id"], np.int64), np.frombuffer(r["y"]), slot, x, h, p
 
 
-def gradients(blocks: DataFrame, table: DataFrame, dense: np.ndarray, s: Settings) -> DataFrame:
+def gradients(blocks: DataFrame | Stored, table: DataFrame, dense: np.ndarray, s: Settings) -> DataFrame:
     """(key, g, n, loss): gradients of the summed log loss by key over all blocks; the dense
     part's is the row of key ``DENSE``, with the rows' number and their loss."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,6 +202,8 @@ def gradients(blocks: DataFrame, table: DataFrame, dense: np.ndarray, s: Setting
                     pa.array([r["n"]] + [0] * k, pa.int64()), pa.array([loss] + [0.0] * k)],
                     names=["key", "block", "g", "n", "loss"])
     sparse = with_weights(blocks, table).mapInArrow(run, GRADIENT)
+    if isinstance(blocks, Stored):  # where the table's rows are
+        sparse = sparse.repartition(blocks.use_parts, "key")
     # at most one gradient a block and key, added up in the blocks' order: the same in every run
     rows = F.array_sort(F.collect_list(F.struct("block", "g")))
     total = F.aggregate(rows, F.transform(F.element_at(rows, 1)["g"], lambda x: x * 0.0),
@@ -174,53 +216,73 @@ def adam(w, m, v, g, t, rate):
     return w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8), m, v
 
 
-def update(table: DataFrame, grads: DataFrame, n: int, rate: float) -> DataFrame:
-    """The table after one step: rows with a gradient move, the others stay as they are."""
-    g = grads.select("key", F.transform("g", lambda x: x / n).alias("g")).hint("merge")
-    t = F.col("t") + 1
-    m = F.zip_with("m", "g", lambda a, b: a * 0.9 + b * 0.1)
-    v = F.zip_with("v", "g", lambda a, b: a * 0.999 + b * b * 0.001)
+def _moved(table: DataFrame, grads: DataFrame, n: int, rate: float) -> DataFrame:
+    """``update`` with the dense part's gradient sum in the row of key ``DENSE``, if the table has it."""
+    g = grads.select("key", F.col("g").alias("own"), F.transform("g", lambda x: x / n).alias("g")).hint("merge")
+    moves = F.col("g").isNotNull() & (F.col("key") != DENSE)
+    t = F.col("t") + F.when(moves, 1).otherwise(0)
+    m = F.when(moves, F.zip_with("m", "g", lambda a, b: a * 0.9 + b * 0.1)).otherwise(F.col("m"))
+    v = F.when(moves, F.zip_with("v", "g", lambda a, b: a * 0.999 + b * b * 0.001)).otherwise(F.col("v"))
     step = F.zip_with("m", "v", lambda a, b: (a / (1 - F.pow(F.lit(0.9), F.col("t")))) / (
         F.sqrt(b / (1 - F.pow(F.lit(0.999), F.col("t")))) + 1e-8) * rate)
-    moved = table.join(g, "key").select("key", "w", m.alias("m"), v.alias("v"), t.alias("t")).select(
-        "key", F.zip_with("w", step, lambda a, b: a - b).alias("w"), "m", "v", "t")
-    return moved.unionByName(table.join(g, "key", "left_anti"))
+    w = F.when(F.col("moves"), F.zip_with("w", step, lambda a, b: a - b)).otherwise(F.col("w"))
+    return table.join(g, "key", "left").select(
+        "key", "w", m.alias("m"), v.alias("v"), t.alias("t"), moves.alias("moves"),
+        F.when(F.col("key") == DENSE, F.col("own")).alias("own")).select(
+        "key", w.alias("w"), "m", "v", "t", "own")
+
+
+def update(table: DataFrame, grads: DataFrame, n: int, rate: float) -> DataFrame:
+    """The table after one step: rows with a gradient move, the others stay as they are."""
+    return _moved(table, grads, n, rate).drop("own")
 
 
 def fit(train: DataFrame, valid: DataFrame, s: Settings, label: str, id_col: str) -> Net:
     """Train in epochs of seeded batches, score ``valid`` after each, keep the best epoch's state
     and stop after ``patience`` epochs that gain no more than ``min_gain`` AUC."""
-    ensure_checkpoint_dir(train.sparkSession)
-    blocks = to_blocks(train, s, id_col, label).checkpoint(eager=True)
-    held = to_blocks(valid, s, id_col, label).checkpoint(eager=True)
-    batches = max(1, -(-blocks.agg(F.sum("n")).first()[0] // s.batch_rows)) if not blocks.isEmpty() else 0
+    spark = train.sparkSession
+    ensure_checkpoint_dir(spark)
+    blocks = store(to_blocks(train, s, id_col, label).checkpoint(eager=True))
+    held = store(to_blocks(valid, s, id_col, label).checkpoint(eager=True))
+    rows = blocks.blocks.agg(F.sum("n")).first()[0] or 0
+    batches = -(-rows // s.batch_rows)
+    sizes = {r["k"]: r["n"] for r in blocks.blocks.groupBy(F.pmod("block", F.lit(batches)).alias(
+        "k")).agg(F.sum("n").alias("n")).collect()} if batches else {}
     dense = start_dense(s)
     m, v, t = np.zeros_like(dense), np.zeros_like(dense), 0
-    table = start_table(blocks, s).checkpoint(eager=True)
-    best, aucs, since = Net(s, table, dense), [], 0
+    # the row of the dense part carries its gradient to the driver
+    own = spark.createDataFrame([(DENSE, [], [], [], 0)], TABLE)
+    with settings(spark, STORED_ROWS):
+        table = start_table(blocks.blocks, s).unionByName(own).repartition(
+            blocks.use_parts, "key").sortWithinPartitions("key").checkpoint(eager=True)
+    best, aucs, since = Net(s, table.where(F.col("key") != DENSE), dense), [], 0
     for _ in range(s.epochs if batches else 0):
         for k in range(batches):
-            grads = gradients(blocks.where(F.pmod("block", F.lit(batches)) == k), table, dense, s)
-            grads = grads.checkpoint(eager=True)
-            own = grads.where(F.col("key") == DENSE).first()
-            if own is None:  # fewer blocks than batches
+            if k not in sizes:  # fewer blocks than batches
                 continue
-            table = update(table, grads, own["n"], s.rate).checkpoint(eager=True)
+            with settings(spark, STORED_ROWS):
+                step = _moved(table, gradients(blocks.where(batches, k), table, dense, s), sizes[k],
+                              s.rate).checkpoint(eager=True)
+            g = step.where(F.col("own").isNotNull()).select("own").collect()[0]["own"]
+            table = step.drop("own")
             t += 1
-            dense, m, v = adam(dense, m, v, np.array(own["g"]) / own["n"], t, s.rate)
-        # the curve reads the scores several times
-        now = auc(_scored(held, table, dense, s).checkpoint(eager=True), "label", "score").first()
+            dense, m, v = adam(dense, m, v, np.array(g) / sizes[k], t, s.rate)
+        # the curve reads the scores several times; its tasks, which the driver keeps account of, follow their number
+        with settings(spark, STORED_ROWS | {"spark.sql.shuffle.partitions": str(held.parts)}):
+            scored = _scored(held, table, dense, s).checkpoint(eager=True)
+            now = auc(scored, "label", "score").first()
         aucs.append(now["auc"] if now and now["auc"] is not None else 0.5)
         if len(aucs) == 1 or aucs[-1] > max(best.aucs) + s.min_gain:
-            best, since = Net(s, table, dense, list(aucs)), 0
+            best, since = Net(s, table.where(F.col("key") != DENSE), dense, list(aucs)), 0
         else:
             since += 1
             if since >= s.patience:
                 return replace(best, aucs=aucs, ended="patience")
+        let_go(spark)
     return replace(best, aucs=aucs)
 
 
-def _scored(blocks: DataFrame, table: DataFrame, dense: np.ndarray, s: Settings) -> DataFrame:
+def _scored(blocks: DataFrame | Stored, table: DataFrame, dense: np.ndarray, s: Settings) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):

@@ -98,6 +98,27 @@ def test_no_join_gathers_weights_on_the_driver(spark):
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_a_step_is_one_small_plan(spark, monkeypatch):
+    """The driver plans every step of a long fit: rows lie where joins need them, so weights go to
+    the blocks, gradients to the keys, and nothing else moves; the session keeps its own settings."""
+    monkeypatch.setattr(en, "BLOCK_ROWS", 64)
+    plans, moved = [], en._moved
+
+    def seen(*a):
+        out = moved(*a)
+        plans.append((out._jdf.queryExecution().executedPlan().toString(), out.count()))
+        return out
+    monkeypatch.setattr(en, "_moved", seen)
+    df, s = rows(spark, 300), en.Settings(("a", "b"), ("x",), width=3, hidden=4, epochs=2, batch_rows=150)
+    net = en.fit(df, df, s, "y", "row_id")
+    assert len(plans) == 4 and len(net.aucs) == 2
+    keys = net.table.count()
+    for plan, n in plans:
+        assert plan.count("Exchange") == 2 and plan.count("SortMergeJoin") == 3 and n == keys + 1
+        assert "Adaptive" not in plan and "bloom_filter" not in plan
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
 def test_a_million_categories(spark):
     df = spark.range(1_000_000).selectExpr("id as row_id", "concat('u', id) as a", "cast(id % 2 as int) as y")
     s = en.Settings(("a",), width=4, hidden=4)
